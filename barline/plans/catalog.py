@@ -127,3 +127,106 @@ def _feature_sql() -> str:
 def q_feature_table(spark, sf):
     """W21+W22: the full feature table (rows with any null dropped)."""
     return rounded(feature_table(fx.prices(spark, sf), FEATURES))
+
+
+# ------------------------------------------------------------ cleaning ----
+from barline.operators import cleaning as C  # noqa: E402
+
+
+@register("bars_normalise", O.with_views(["raw_bars"], [], """
+SELECT "Ticker" AS asset_name, "Datetime" AS timestamp, round("Open", 4) AS "Open", round("High", 4) AS "High",
+       round("Low", 4) AS "Low", round("Close", 4) AS "Close", "Volume" FROM raw_bars"""))
+def q_bars_normalise(spark, sf):
+    """Landed bar files → asset_name, timestamp, Open, High, Low, Close, Volume."""
+    return rounded(C.normalise_bars(fx.raw_bars(spark, sf)))
+
+
+@register("bar_changes", O.with_views(["raw_bars"], [], f"""
+SELECT "Ticker" AS asset_name, "Datetime" AS timestamp, {O.r('"Close" - "Open"')} AS chg_abs,
+       {O.r('("Close" - "Open") / nullif("Open", 0) * 100')} AS chg_pct FROM raw_bars"""))
+def q_bar_changes(spark, sf):
+    """Absolute and percent bar change (Open = 0 → null)."""
+    b = C.bar_changes(C.normalise_bars(fx.raw_bars(spark, sf)))
+    return rounded(b.select("asset_name", "timestamp", "chg_abs", "chg_pct"))
+
+
+_STOCK_COLS = C.STOCK_COLUMNS
+_CRYPTO_COLS = C.CRYPTO_COLUMNS
+
+
+def _sel(cols, table):
+    return "SELECT " + ", ".join(
+        c if c in ("timestamp", "name", "symbol") else f"{O.r(c)} AS {c}" for c in cols) + f" FROM {table}"
+
+
+@register("stock_shape", O.with_views(["stock_shaped"], [], _sel(_STOCK_COLS, "stock_shaped")))
+def q_stock_shape(spark, sf):
+    """P5 (stocks): the stock table layout from bars."""
+    return rounded(C.stock_shape(fx.stock_bars(spark, sf)))
+
+
+@register("crypto_shape", O.with_views(["crypto_shaped"], [], _sel(_CRYPTO_COLS, "crypto_shaped")))
+def q_crypto_shape(spark, sf):
+    """P3/P4/P5/W15 (crypto): symbol, chg_7d, market-cap proxy, renames."""
+    return rounded(C.crypto_shape(fx.crypto_bars(spark, sf)))
+
+
+@register("union_assets", O.with_views(["stock_shaped", "crypto_shaped"], [], f"""
+SELECT timestamp, name, {O.r('last')} AS last, {O.r('high')} AS high, {O.r('low')} AS low,
+       {O.r('chg_abs')} AS chg_abs, {O.r('chg_pct')} AS chg_pct, {O.r('vol')} AS vol,
+       NULL::VARCHAR AS symbol, NULL::DOUBLE AS price_usd, NULL::DOUBLE AS vol_24h, NULL::DOUBLE AS total_vol,
+       NULL::DOUBLE AS chg_24h, NULL::DOUBLE AS chg_7d, NULL::DOUBLE AS market_cap
+FROM stock_shaped
+UNION ALL
+SELECT timestamp, name, NULL, NULL, NULL, NULL, NULL, NULL, symbol, {O.r('price_usd')}, {O.r('vol_24h')},
+       {O.r('total_vol')}, {O.r('chg_24h')}, {O.r('chg_7d')}, {O.r('market_cap')}
+FROM crypto_shaped"""))
+def q_union_assets(spark, sf):
+    """Stock and crypto tables stacked by name, missing columns null."""
+    s = C.stock_shape(fx.stock_bars(spark, sf))
+    c = C.crypto_shape(fx.crypto_bars(spark, sf))
+    return rounded(s.unionByName(c, allowMissingColumns=True))
+
+
+@register("clean_columns", O.with_views(["raw_stocks"], [], """
+SELECT "Timestamp" AS timestamp, "Name" AS name, "Last" AS last, round("High", 4) AS high,
+       round("Low", 4) AS low, round("Chg_", 4) AS chg_abs, "Chg_%" AS chg_pct, "Vol." AS vol, "Notes" AS notes
+FROM raw_stocks"""))
+def q_clean_columns(spark, sf):
+    """Header synonyms then character stripping; data untouched."""
+    from barline.functions.names import HEADER_SYNONYMS
+
+    return rounded(C.clean_columns(fx.raw_stocks(spark, sf), HEADER_SYNONYMS))
+
+
+@register("clean_numeric", O.with_views(["dirty"], [], f"""
+SELECT o_orderkey, raw, {O.r(O.sql_clean_numeric('raw'))} AS value FROM dirty"""))
+def q_clean_numeric(spark, sf):
+    """Messy numeric text → double (M/B suffixes, $ , % stripped, junk → null)."""
+    from barline.functions.numeric import clean_numeric
+
+    d = fx.dirty(spark, sf)
+    return rounded(d.select("o_orderkey", "raw", clean_numeric("raw").alias("value")))
+
+
+@register("preprocess_stocks", O.with_views(["raw_stocks"], [], f"""
+SELECT * FROM (
+  SELECT CAST("Timestamp" AS TIMESTAMP) AS timestamp, "Name" AS name,
+         {O.r(O.sql_clean_numeric('"Last"'))} AS last, round("High", 4) AS high, round("Low", 4) AS low,
+         round("Chg_", 4) AS chg_abs, {O.r(O.sql_clean_numeric('"Chg_%"'))} AS chg_pct,
+         {O.r(O.sql_clean_numeric('"Vol."'))} AS vol
+  FROM raw_stocks) WHERE last IS NOT NULL AND name IS NOT NULL"""))
+def q_preprocess_stocks(spark, sf):
+    """P11 (stocks): full cleaning chain on a scraped stock table."""
+    return rounded(C.preprocess_stocks(fx.raw_stocks(spark, sf)))
+
+
+@register("preprocess_crypto", O.with_views(["raw_crypto"], [], f"""
+SELECT * FROM (
+  SELECT CAST("Timestamp" AS TIMESTAMP) AS timestamp, "Name" AS name, "Symbol" AS symbol,
+         {O.r(O.sql_clean_numeric('"Price_USD"'))} AS price_usd, CAST("Vol_24h" AS DOUBLE) AS vol_24h,
+         round("Chg_24h", 4) AS chg_24h, {O.r(O.sql_clean_numeric('"Market_Cap"'))} AS market_cap
+  FROM raw_crypto) WHERE price_usd IS NOT NULL AND name IS NOT NULL"""))
+def q_preprocess_crypto(spark, sf):
+    """P11 (crypto): full cleaning chain on a scraped crypto table."""
+    return rounded(C.preprocess_crypto(fx.raw_crypto(spark, sf)))

@@ -213,3 +213,77 @@ SELECT *, (bb_high - bb_low) / nullif(close, 0) AS bb_width,
           (close - bb_low) / nullif(bb_high - bb_low, 0) AS bb_position
 FROM ind_raw"""))
     return ctes, "ind"
+
+
+# ---------------------------------------------------------- cleaning SQL ----
+FLOAT_RE = r"^[+-]?(?:[0-9](?:_?[0-9])*(?:\.(?:[0-9](?:_?[0-9])*)?)?|\.[0-9](?:_?[0-9])*)(?:[eE][+-]?[0-9](?:_?[0-9])*)?$"
+INF_RE = r"^[+-]?(?:INF|INFINITY)$"
+
+
+def sql_parse_float(t: str) -> str:
+    t = f"trim({t})"
+    return (f"CASE WHEN regexp_matches({t}, '{FLOAT_RE}') THEN CAST(replace({t}, '_', '') AS DOUBLE) "
+            f"WHEN regexp_matches({t}, '{INF_RE}') THEN "
+            f"(CASE WHEN starts_with({t}, '-') THEN {dlit(float('-inf'))} ELSE {dlit(float('inf'))} END) END")
+
+
+def sql_clean_numeric(x: str) -> str:
+    s = f"upper(trim(regexp_replace(CAST({x} AS VARCHAR), '[$,\"]', '', 'g')))"
+    return (f"CASE WHEN {s} IS NULL THEN NULL "
+            f"WHEN contains({s}, 'M') THEN ({sql_parse_float(f'replace({s}, ' + chr(39) + 'M' + chr(39) + ', ' + chr(39) + chr(39) + ')')}) * {dlit(1e6)} "
+            f"WHEN contains({s}, 'B') THEN ({sql_parse_float(f'replace({s}, ' + chr(39) + 'B' + chr(39) + ', ' + chr(39) + chr(39) + ')')}) * {dlit(1e9)} "
+            f"ELSE {sql_parse_float(f'replace({s}, ' + chr(39) + '%' + chr(39) + ', ' + chr(39) + chr(39) + ')')} END")
+
+
+VIEWS["raw_bars"] = """
+SELECT asset_name AS "Ticker", timestamp AS "Datetime", open AS "Open", high AS "High", low AS "Low",
+       close AS "Close", volume AS "Volume" FROM bars"""
+
+VIEWS["raw_stocks"] = """
+SELECT CAST(timestamp AS VARCHAR) AS "Timestamp",
+       CASE WHEN volume = 1 THEN NULL ELSE asset_name END AS "Name",
+       '$' || CAST(CAST(floor(close * 100) AS BIGINT) AS VARCHAR) AS "Last",
+       high AS "High", low AS "Low", close - open AS "Chg_",
+       CAST(CAST(floor((close - open) * 100) AS BIGINT) AS VARCHAR) || '%' AS "Chg_%",
+       CASE volume % 4 WHEN 0 THEN CAST(volume AS VARCHAR) || 'M' WHEN 1 THEN CAST(volume AS VARCHAR) || 'B'
+            WHEN 2 THEN CAST(volume AS VARCHAR) || '%' ELSE 'n/a' END AS "Vol.",
+       'x' AS "Notes"
+FROM bars"""
+
+VIEWS["raw_crypto"] = """
+SELECT CAST(timestamp AS VARCHAR) AS "Timestamp", upper(asset_name) || '-USD' AS "Name",
+       upper(asset_name) AS "Symbol",
+       CASE WHEN volume = 2 THEN '--'
+            ELSE '"' || CAST(CAST(floor(close * 100) AS BIGINT) AS VARCHAR) || '"' END AS "Price_USD",
+       volume AS "Vol_24h", close - open AS "Chg_24h",
+       CAST(CAST(floor(high * 100) AS BIGINT) AS VARCHAR) || 'M' AS "Market_Cap", 1 AS "Junk!"
+FROM bars"""
+
+VIEWS["stock_bars"] = """
+SELECT asset_name, timestamp, open AS "Open", high AS "High", low AS "Low", close AS "Close",
+       volume AS "Volume" FROM bars WHERE asset_name < 'p'"""
+
+VIEWS["crypto_bars"] = """
+SELECT upper(asset_name) || '-USD' AS asset_name, timestamp, open AS "Open", high AS "High", low AS "Low",
+       close AS "Close", volume AS "Volume" FROM bars WHERE asset_name >= 'p'"""
+
+VIEWS["stock_shaped"] = """
+SELECT timestamp, asset_name AS name, "Close" AS last, "High" AS high, "Low" AS low,
+       "Close" - "Open" AS chg_abs, ("Close" - "Open") / nullif("Open", 0) * 100 AS chg_pct,
+       "Volume" AS vol
+FROM stock_bars"""
+
+VIEWS["crypto_shaped"] = f"""
+SELECT timestamp, asset_name AS name, split_part(asset_name, '-', 1) AS symbol, "Close" AS price_usd,
+       "Volume" AS vol_24h, "Volume" AS total_vol, ("Close" - "Open") / nullif("Open", 0) * 100 AS chg_24h,
+       (CASE WHEN lag("Close", 7) OVER w = 0
+             THEN (CASE WHEN "Close" > 0 THEN {dlit(float('inf'))} WHEN "Close" < 0 THEN {dlit(float('-inf'))} END)
+             ELSE "Close" / lag("Close", 7) OVER w - 1 END) * 100 AS chg_7d,
+       "Close" * {dlit(1e6)} AS market_cap
+FROM crypto_bars WINDOW w AS (PARTITION BY asset_name ORDER BY timestamp)"""
+
+DEPS.update({
+    "raw_bars": ["bars"], "raw_stocks": ["bars"], "raw_crypto": ["bars"],
+    "stock_bars": ["bars"], "crypto_bars": ["bars"],
+    "stock_shaped": ["stock_bars"], "crypto_shaped": ["crypto_bars"],
+})

@@ -165,3 +165,59 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 6 == 5, "unknown").otherwise("known").alias("asset_name"),
         features.alias("features"),
     )
+
+
+def _cents(c: str):
+    return F.floor(F.col(c) * F.lit(100.0)).cast("long").cast("string")
+
+
+def raw_stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stock table as scraped: messy headers, numbers as text, a junk column."""
+    b = bars(spark, sf_dir)
+    diff_cents = F.floor((F.col("close") - F.col("open")) * F.lit(100.0)).cast("long").cast("string")
+    vol = F.col("volume").cast("string")
+    return b.select(
+        F.col("timestamp").cast("string").alias("Timestamp"),
+        F.when(F.col("volume") == 1, F.lit(None).cast("string")).otherwise(F.col("asset_name")).alias("Name"),
+        F.concat(F.lit("$"), _cents("close")).alias("Last"),
+        F.col("high").alias("High"),
+        F.col("low").alias("Low"),
+        (F.col("close") - F.col("open")).alias("Chg_"),
+        F.concat(diff_cents, F.lit("%")).alias("Chg_%"),
+        F.when(F.col("volume") % 4 == 0, F.concat(vol, F.lit("M")))
+        .when(F.col("volume") % 4 == 1, F.concat(vol, F.lit("B")))
+        .when(F.col("volume") % 4 == 2, F.concat(vol, F.lit("%")))
+        .otherwise(F.lit("n/a")).alias("Vol."),
+        F.lit("x").alias("Notes"),
+    )
+
+
+def raw_crypto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crypto table as scraped: quoted prices, market cap in millions, no total_vol."""
+    b = bars(spark, sf_dir)
+    return b.select(
+        F.col("timestamp").cast("string").alias("Timestamp"),
+        F.concat(F.upper("asset_name"), F.lit("-USD")).alias("Name"),
+        F.upper("asset_name").alias("Symbol"),
+        F.when(F.col("volume") == 2, F.lit("--"))
+        .otherwise(F.concat(F.lit('"'), _cents("close"), F.lit('"'))).alias("Price_USD"),
+        F.col("volume").alias("Vol_24h"),
+        (F.col("close") - F.col("open")).alias("Chg_24h"),
+        F.concat(_cents("high"), F.lit("M")).alias("Market_Cap"),
+        F.lit(1).alias("Junk!"),
+    )
+
+
+def stock_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised bars of the 'stock' event types (names before 'p')."""
+    from barline.operators.cleaning import normalise_bars
+
+    return normalise_bars(raw_bars(spark, sf_dir)).where(F.col("asset_name") < F.lit("p"))
+
+
+def crypto_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised bars of the 'crypto' event types, named like ``VIEW-USD``."""
+    from barline.operators.cleaning import normalise_bars
+
+    b = normalise_bars(raw_bars(spark, sf_dir)).where(F.col("asset_name") >= F.lit("p"))
+    return b.withColumn("asset_name", F.concat(F.upper("asset_name"), F.lit("-USD")))
