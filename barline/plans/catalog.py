@@ -230,3 +230,283 @@ SELECT * FROM (
 def q_preprocess_crypto(spark, sf):
     """P11 (crypto): full cleaning chain on a scraped crypto table."""
     return rounded(C.preprocess_crypto(fx.raw_crypto(spark, sf)))
+
+
+# ------------------------------------------------------------- quality ----
+from barline.functions.numeric import clean_numeric  # noqa: E402
+from barline.operators import drift as D  # noqa: E402
+from barline.operators import explore as X  # noqa: E402
+from barline.operators import metrics as M  # noqa: E402
+from barline.operators import quality as Q  # noqa: E402
+from barline.config import asset_frame, small  # noqa: E402
+from barline.sources.tables import read_table  # noqa: E402
+
+
+def _dirty_stocks(spark, sf):
+    d = fx.dirty(spark, sf)
+    return d.select(F.col("o_orderdate").alias("timestamp"), F.col("o_orderpriority").alias("name"),
+                    clean_numeric("raw").alias("last"), F.col("o_totalprice").alias("high"),
+                    F.col("raw").alias("vol"))
+
+
+def _customer_crypto(spark, sf):
+    c = read_table(spark, sf, "customer", "c_name", "c_acctbal", "c_nationkey")
+    return c.select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("price_usd"),
+                    F.col("c_nationkey").alias("vol_24h"))
+
+
+def _dq(spark, sf):
+    a = Q.validate_dataset(_dirty_stocks(spark, sf), Q.STOCK_RULES, "dirty_stocks")
+    b = Q.validate_dataset(_customer_crypto(spark, sf), Q.CRYPTO_RULES, "customer_crypto")
+    return a.unionByName(b)
+
+
+_DQ_CTES = [
+    ("ds", f"""SELECT o_orderdate AS timestamp, o_orderpriority AS name, {O.sql_clean_numeric('raw')} AS last,
+               o_totalprice AS high, raw AS vol FROM dirty"""),
+    ("cc", "SELECT c_name AS name, c_acctbal AS price_usd, c_nationkey AS vol_24h FROM customer"),
+    ("dq", O.dq_union("dirty_stocks", "ds", [("last", True), ("high", True), ("vol", False)], 0, 0.1,
+                      ["timestamp", "name"])
+     + "\nUNION ALL\n"
+     + O.dq_union("customer_crypto", "cc", [("price_usd", True), ("vol_24h", True)], 1, 0.1, ["name"])),
+]
+
+
+@register("dq_checks", O.with_views(["dirty"], _DQ_CTES,
+                                    "SELECT dataset, check_id, check_name, passed, round(observed, 4) AS observed FROM dq"))
+def q_dq_checks(spark, sf):
+    """Every validation check of two datasets as rows."""
+    return rounded(_dq(spark, sf))
+
+
+@register("dq_overall", O.with_views(["dirty"], _DQ_CTES, """
+SELECT dataset, bool_and(passed) AS passed, count(*) AS n_checks, count(*) FILTER (WHERE NOT passed) AS n_failed
+FROM dq GROUP BY dataset"""))
+def q_dq_overall(spark, sf):
+    """Overall verdict per dataset (AND of its checks)."""
+    return Q.overall(_dq(spark, sf))
+
+
+@register("dq_duplicates", O.with_views(["dirty"], [], """
+SELECT 'lineitem' AS dataset, 'l_orderkey,l_linenumber' AS keys, CAST(sum(c) AS BIGINT) AS n_rows,
+       CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS n_dupes, coalesce(sum(c - 1), 0) = 0 AS passed
+FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)
+UNION ALL
+SELECT 'dirty', 'timestamp,name', CAST(sum(c) AS BIGINT), CAST(coalesce(sum(c - 1), 0) AS BIGINT),
+       coalesce(sum(c - 1), 0) = 0
+FROM (SELECT count(*) AS c FROM dirty GROUP BY o_orderdate, o_orderpriority)"""))
+def q_dq_duplicates(spark, sf):
+    """Rows beyond the first per key (nulls equal) on two tables."""
+    li = read_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber")
+    d = fx.dirty(spark, sf).select(F.col("o_orderdate").alias("timestamp"), F.col("o_orderpriority").alias("name"))
+    return Q.duplicates_report(li, ["l_orderkey", "l_linenumber"], "lineitem").unionByName(
+        Q.duplicates_report(d, ["timestamp", "name"], "dirty"))
+
+
+def _config_values_sql() -> str:
+    cfg = fx.FIXTURE_CONFIG
+    rows = [f"('{a}', 'stock', {i})" for i, a in enumerate(cfg.stocks)]
+    rows += [f"('{a}', 'crypto', {len(cfg.stocks) + i})" for i, a in enumerate(cfg.cryptos)]
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") t(asset_name, asset_type, pos)"
+
+
+@register("missing_assets", O.with_views(["prices"], [("cfg", _config_values_sql())], """
+SELECT asset_name, asset_type FROM cfg WHERE asset_name NOT IN (SELECT DISTINCT asset_name FROM prices)"""))
+def q_missing_assets(spark, sf):
+    """Configured assets absent from the data."""
+    return Q.missing_assets(asset_frame(spark, fx.FIXTURE_CONFIG), fx.prices(spark, sf))
+
+
+@register("asset_filter", O.with_views(["prices"], [("cfg", _config_values_sql())], """
+SELECT p.asset_name, c.asset_type, p.ts, p.tie, round(p.price, 4) AS price
+FROM prices p JOIN cfg c ON c.asset_name = p.asset_name"""))
+def q_asset_filter(spark, sf):
+    """Rows of configured assets, typed from the configuration (broadcast dimension)."""
+    p = fx.prices(spark, sf).drop("asset_type")
+    return rounded(p.join(small(asset_frame(spark, fx.FIXTURE_CONFIG)), "asset_name", "inner")
+                   .select("asset_name", "asset_type", "ts", "tie", "price"))
+
+
+@register("asset_dimension", O.with_views(["prices"], [("cfg", _config_values_sql())], """
+SELECT c.asset_name, c.asset_type, coalesce(s.n_rows, 0) AS n_rows, s.first_ts, s.last_ts,
+       s.n_rows IS NOT NULL AS present
+FROM cfg c LEFT JOIN (SELECT asset_name, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts
+                      FROM prices GROUP BY 1) s ON s.asset_name = c.asset_name"""))
+def q_asset_dimension(spark, sf):
+    """Configured stocks ∪ cryptos with the data's per-asset extent."""
+    stats = fx.prices(spark, sf).groupBy("asset_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    dim = asset_frame(spark, fx.FIXTURE_CONFIG)
+    return dim.join(stats, "asset_name", "left").select(
+        "asset_name", "asset_type", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "first_ts", "last_ts",
+        F.col("n_rows").isNotNull().alias("present"))
+
+
+# ------------------------------------------------------------- metrics ----
+_METRIC_SQL = """
+SELECT asset_name, sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS rmse, avg(abs(y_true - y_pred)) AS mae,
+       coalesce(avg(abs((y_true - y_pred) / y_true)) FILTER (WHERE y_true <> 0) * 100,
+                CAST('Infinity' AS DOUBLE)) AS mape,
+       CASE WHEN max(y_true) = min(y_true) THEN CAST('Infinity' AS DOUBLE)
+            ELSE sqrt(avg((y_true - y_pred) * (y_true - y_pred))) / (max(y_true) - min(y_true)) END AS minmax_rmse,
+       count(*) AS n
+FROM preds GROUP BY 1"""
+_DA_SQL = """
+SELECT asset_name, coalesce(avg(CASE WHEN yp IS NOT NULL THEN CAST(sign(y_true - yp) = sign(y_pred - pp) AS DOUBLE) END)
+                            * 100, 0) AS directional_accuracy
+FROM (SELECT *, lag(y_true) OVER w AS yp, lag(y_pred) OVER w AS pp FROM preds
+      WINDOW w AS (PARTITION BY asset_name ORDER BY ts, tie)) GROUP BY 1"""
+
+
+@register("forecast_metrics", O.with_views(["preds"], [("m", _METRIC_SQL), ("da", _DA_SQL)], f"""
+SELECT m.asset_name, {O.r('rmse')} AS rmse, {O.r('mae')} AS mae, {O.r('mape')} AS mape,
+       {O.r('minmax_rmse')} AS minmax_rmse, {O.r('directional_accuracy')} AS directional_accuracy, n
+FROM m JOIN da USING (asset_name)"""))
+def q_forecast_metrics(spark, sf):
+    """RMSE, MAE, MAPE, MinMax RMSE, directional accuracy per asset."""
+    p = fx.preds(spark, sf).withColumn("_day", F.to_date("ts"))
+    out = M.evaluate(p, ["asset_name"], "_day", ["ts", "tie"])
+    return rounded(out.select("asset_name", "rmse", "mae", "mape", "minmax_rmse", "directional_accuracy", "n"))
+
+
+@register("directional_accuracy", O.with_views(["preds"], [("da", _DA_SQL)],
+                                               f"SELECT asset_name, {O.r('directional_accuracy')} AS directional_accuracy FROM da"))
+def q_directional_accuracy(spark, sf):
+    """Share of matching change directions per asset."""
+    p = fx.preds(spark, sf).withColumn("_day", F.to_date("ts"))
+    return rounded(M.directional_accuracy(p, ["asset_name"], "_day", ["ts", "tie"]))
+
+
+# --------------------------------------------------------- exploration ----
+def _features(spark, sf):
+    return feature_table(fx.prices(spark, sf), FEATURES)
+
+
+_FEAT = O.feature_ctes(FEATURES, FEATURE_COLS)
+
+
+@register("asset_counts", O.with_views(["prices"], [], "SELECT asset_name, count(*) AS n_rows FROM prices GROUP BY 1"))
+def q_asset_counts(spark, sf):
+    """Rows per asset."""
+    return X.rows_per_asset(fx.prices(spark, sf))
+
+
+def _null_max_sql() -> str:
+    ctes, name = O.indicator_select(FEATURES)
+    cols = ["asset_name", "day", "asset_type", "close"] + [c for c in FEATURE_COLS if c != "close"]
+    counts = ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL)' for c in cols)
+    return O.with_views(["daily"], ctes, f"SELECT greatest({counts}) AS null_max FROM {name}", recursive=True)
+
+
+@register("null_max", _null_max_sql())
+def q_null_max(spark, sf):
+    """The largest per-column null count of the indicator panel (warm-up rows kept)."""
+    return X.null_profile(_panel(spark, sf))
+
+
+@register("return_distribution", O.with_views(["daily"], _FEAT + [("qd", """
+SELECT asset_name, quantile_cont(log_return, [0.0, 0.25, 0.5, 0.75, 1.0]) AS q, avg(log_return) AS mean,
+       stddev_samp(log_return) AS std, count(log_return) AS n FROM feat GROUP BY 1""")], f"""
+SELECT asset_name, {O.r('q[1]')} AS p0, {O.r('q[2]')} AS p25, {O.r('q[3]')} AS p50, {O.r('q[4]')} AS p75,
+       {O.r('q[5]')} AS p100, {O.r('mean')} AS mean, {O.r('std')} AS std, n FROM qd""", recursive=True))
+def q_return_distribution(spark, sf):
+    """Log-return quartiles, mean and std per asset."""
+    return rounded(X.distribution(_features(spark, sf), "log_return"))
+
+
+def _corr_sql() -> str:
+    cols = FEATURE_COLS
+    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i > j]
+    sel = ", ".join(f'corr("{a}", "{b}") AS "{a}|{b}"' for a, b in pairs)
+    return O.with_views(["daily"], _FEAT + [("cm", f"SELECT {sel} FROM feat")], f"""
+SELECT split_part(pair, '|', 1) AS col_a, split_part(pair, '|', 2) AS col_b, {O.r('corr')} AS corr
+FROM (UNPIVOT cm ON COLUMNS(*) INTO NAME pair VALUE corr)""", recursive=True)
+
+
+@register("corr_matrix", _corr_sql())
+def q_corr_matrix(spark, sf):
+    """Pearson correlations of all numeric feature pairs below the diagonal."""
+    f = _features(spark, sf)
+    return rounded(X.correlation_pairs(f, X.numeric_columns(f)))
+
+
+TAIL_N = 365
+
+
+@register("tail_n", O.with_views(["prices"], [], f"""
+SELECT asset_name, ts, tie, round(price, 4) AS price, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY asset_name ORDER BY ts DESC, tie DESC) AS rank FROM prices)
+WHERE rank <= {TAIL_N}"""))
+def q_tail_n(spark, sf):
+    """The newest 365 raw rows per asset (top-k pushed below the shuffle)."""
+    p = fx.prices(spark, sf).select("asset_name", "ts", "tie", "price")
+    return rounded(X.tail_per_asset(p, TAIL_N, [F.col("ts"), F.col("tie")]))
+
+
+# --------------------------------------------------------------- drift ----
+_DRIFT_COLS = ["return", "log_return", "macd_diff", "rsi", "bb_width", "bb_position",
+               f"volatility_{FEATURES.volatility_window}"]
+_SPLIT_SQL = f"""
+SELECT *, CASE WHEN n > 90 THEN (CASE WHEN rd > 30 THEN 'reference' ELSE 'current' END)
+               ELSE (CASE WHEN n - rd + 1 <= floor(n * {O.dlit(0.66)}) THEN 'reference' ELSE 'current' END) END AS side
+FROM (SELECT *, row_number() OVER (PARTITION BY asset_name ORDER BY day DESC) AS rd,
+             count(*) OVER (PARTITION BY asset_name) AS n FROM feat) WHERE rd <= 90"""
+_KS_SQL = """
+SELECT asset_name, "column", max(abs(f_ref - f_cur)) AS ks_stat, any_value(n_ref) AS n_ref,
+       any_value(n_cur) AS n_cur
+FROM (SELECT asset_name, "column",
+             sum(CASE WHEN side = 'reference' THEN 1 ELSE 0 END) OVER w / sum(CASE WHEN side = 'reference' THEN 1 ELSE 0 END) OVER g AS f_ref,
+             sum(CASE WHEN side = 'current' THEN 1 ELSE 0 END) OVER w / sum(CASE WHEN side = 'current' THEN 1 ELSE 0 END) OVER g AS f_cur,
+             sum(CASE WHEN side = 'reference' THEN 1 ELSE 0 END) OVER g AS n_ref,
+             sum(CASE WHEN side = 'current' THEN 1 ELSE 0 END) OVER g AS n_cur
+      FROM (UNPIVOT (SELECT asset_name, side, %s FROM split) ON %s INTO NAME "column" VALUE value)
+      WINDOW g AS (PARTITION BY asset_name, "column"),
+             w AS (PARTITION BY asset_name, "column" ORDER BY value RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+GROUP BY 1, 2""" % (", ".join(f'"{c}"' for c in _DRIFT_COLS), ", ".join(f'"{c}"' for c in _DRIFT_COLS))
+_KSP_SQL = """
+SELECT *, CASE WHEN lam < 0.2 THEN CAST(1 AS DOUBLE)
+               ELSE least(greatest((SELECT sum(2 * (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END)
+                                              * exp(-2 * k * k * lam * lam)) FROM range(1, 101) t(k)),
+                                   CAST(0 AS DOUBLE)), CAST(1 AS DOUBLE)) END AS p_value
+FROM (SELECT *, sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur)) * ks_stat AS lam FROM ks)"""
+
+
+@register("drift_columns", O.with_views(["daily"], _FEAT, "SELECT asset_name, day, " + ", ".join(
+    f'{O.r(chr(34) + c + chr(34))} AS "{c}"' for c in _DRIFT_COLS) + " FROM feat", recursive=True))
+def q_drift_columns(spark, sf):
+    """The feature table without keys and non-stationary columns."""
+    f = _features(spark, sf)
+    return rounded(f.select("asset_name", "day", *D.drift_columns(f)))
+
+
+@register("drift_split", O.with_views(["daily"], _FEAT + [("split", _SPLIT_SQL)],
+                                      "SELECT asset_name, day, side FROM split", recursive=True))
+def q_drift_split(spark, sf):
+    """Last 90 days per asset split 60/30 (or 0.66 of fewer) into reference/current."""
+    return D.split_reference_current(_features(spark, sf)).select("asset_name", "day", "side")
+
+
+def _ks(spark, sf):
+    f = _features(spark, sf)
+    return D.ks_statistics(D.split_reference_current(f), D.drift_columns(f))
+
+
+@register("drift_ks", O.with_views(["daily"], _FEAT + [("split", _SPLIT_SQL), ("ks", _KS_SQL), ("ksp", _KSP_SQL)],
+                                   f"""SELECT asset_name, "column", {O.r('ks_stat')} AS ks_stat, n_ref, n_cur,
+       {O.r('p_value')} AS p_value, p_value < 0.05 AS drifted FROM ksp""", recursive=True))
+def q_drift_ks(spark, sf):
+    """Two-sample KS statistic, asymptotic p-value and drift flag per asset and column."""
+    return rounded(_ks(spark, sf).select("asset_name", "column", "ks_stat", "n_ref", "n_cur", "p_value", "drifted"))
+
+
+@register("drift_summary", O.with_views(["daily"], _FEAT + [("split", _SPLIT_SQL), ("ks", _KS_SQL), ("ksp", _KSP_SQL)],
+                                        """
+SELECT asset_name, count(*) AS n_columns, count(*) FILTER (WHERE p_value < 0.05) AS n_drifted,
+       round(CAST(count(*) FILTER (WHERE p_value < 0.05) AS DOUBLE) / count(*), 4) AS drift_share,
+       CAST(count(*) FILTER (WHERE p_value < 0.05) AS DOUBLE) / count(*) >= 0.5 AS drift_detected,
+       CASE WHEN CAST(count(*) FILTER (WHERE p_value < 0.05) AS DOUBLE) / count(*) >= 0.5
+            THEN 'retrain_and_alert' ELSE 'none' END AS action
+FROM ksp GROUP BY 1""", recursive=True))
+def q_drift_summary(spark, sf):
+    """Drifted share, flag and action per asset."""
+    return rounded(D.drift_summary(_ks(spark, sf)))

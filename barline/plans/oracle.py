@@ -287,3 +287,50 @@ DEPS.update({
     "stock_bars": ["bars"], "crypto_bars": ["bars"],
     "stock_shaped": ["stock_bars"], "crypto_shaped": ["crypto_bars"],
 })
+
+
+def feature_ctes(cfg: FeatureConfig, feature_cols: list[str]) -> list[tuple[str, str]]:
+    """CTEs ending in ``feat`` (the feature table, full precision, rows with nulls dropped)."""
+    ctes, name = indicator_select(cfg)
+    cond = " AND ".join(f'"{c}" IS NOT NULL' for c in feature_cols)
+    ctes.append(("feat", f"SELECT * FROM {name} WHERE {cond}"))
+    return ctes
+
+
+def dq_union(dataset: str, source: str, present: list[tuple[str, bool]], required_missing: int,
+             max_ratio: float, dup_keys: list[str]) -> str:
+    """SQL rows of validate_dataset for one dataset (``present``: (column, is_numeric))."""
+    parts, cid = [], 0
+    aggs = ["count(*) AS n"]
+    for i, (c, num) in enumerate(present):
+        aggs.append(f'count(*) FILTER (WHERE "{c}" IS NULL) AS null_{i}')
+        if num:
+            aggs.append(f'count(*) FILTER (WHERE "{c}" < 0) AS neg_{i}')
+            aggs.append(f'count("{c}") AS nn_{i}')
+    stats = f"(SELECT {', '.join(aggs)} FROM {source})"
+
+    def row(check: str, passed: str, observed: str, where: str = "") -> None:
+        nonlocal cid
+        cid += 1
+        check_sql = check.replace("'", "''")
+        parts.append(f"SELECT '{dataset}' AS dataset, {cid} AS check_id, '{check_sql}' AS check_name, "
+                     f"({passed}) AS passed, CAST({observed} AS DOUBLE) AS observed FROM {stats} {where}")
+
+    row("DataFrame not empty", "n > 0", "n")
+    row("Required columns present", "true" if required_missing == 0 else "false", str(required_missing))
+    for c, num in present:
+        row(f"Column '{c}' is numeric", "true" if num else "false", "1.0" if num else "0.0")
+    for i, (c, _) in enumerate(present):
+        ratio = f"CAST(null_{i} AS DOUBLE) / nullif(CAST(n AS DOUBLE), 0)"
+        row(f"Null ratio for '{c}'", f"coalesce({ratio} <= {dlit(max_ratio)}, false)", ratio)
+    if dup_keys:
+        cid += 1
+        label = "No duplicates on [" + ", ".join(f"''{k}''" for k in dup_keys) + "]"
+        keys = ", ".join(f'"{k}"' for k in dup_keys)
+        parts.append(
+            f"SELECT '{dataset}', {cid}, '{label}', coalesce(sum(c - 1), 0) = 0, "
+            f"CAST(coalesce(sum(c - 1), 0) AS DOUBLE) FROM (SELECT count(*) AS c FROM {source} GROUP BY {keys})")
+    for i, (c, num) in enumerate(present):
+        if num:
+            row(f"Column '{c}' has no negative values", f"neg_{i} = 0", f"neg_{i}", f"WHERE nn_{i} > 0")
+    return "\nUNION ALL\n".join(parts)
