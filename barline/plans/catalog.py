@@ -510,3 +510,242 @@ FROM ksp GROUP BY 1""", recursive=True))
 def q_drift_summary(spark, sf):
     """Drifted share, flag and action per asset."""
     return rounded(D.drift_summary(_ks(spark, sf)))
+
+
+# ----------------------------------------------------------- sequences ----
+from barline.operators import registry as R  # noqa: E402
+from barline.operators import scoring as S  # noqa: E402
+from barline.operators import sequences as SQ  # noqa: E402
+from barline.functions import names as NM  # noqa: E402
+
+LOOK_BACK = fx.FIXTURE_CONFIG.lookback.look_back
+
+
+def _scaled(spark, sf):
+    f = SQ.minmax_fit(_features(spark, sf))
+    return f.withColumn("scaled", SQ.scale(F.col("close"), F.col("x_min"), F.col("x_max")))
+
+
+_SCALED_SQL = """
+SELECT *, CASE WHEN x_max = x_min THEN CAST(0 AS DOUBLE) ELSE (close - x_min) / (x_max - x_min) END AS scaled
+FROM (SELECT *, min(close) OVER (PARTITION BY asset_name) AS x_min, max(close) OVER (PARTITION BY asset_name) AS x_max
+      FROM feat)"""
+_SEQ_SQL = f"""
+SELECT *, rn - {LOOK_BACK} AS seq_idx FROM (
+  SELECT *, row_number() OVER w AS rn, [{', '.join(f'lag(scaled, {k}) OVER w' for k in range(LOOK_BACK, 0, -1))}] AS seq
+  FROM scaled WINDOW w AS (PARTITION BY asset_name ORDER BY day)) WHERE rn > {LOOK_BACK}"""
+_SPLIT3_SQL = f"""
+SELECT *, CASE WHEN seq_idx <= floor(n * {O.dlit(0.6)}) THEN 'train'
+               WHEN seq_idx <= floor(n * {O.dlit(0.6 + 0.2)}) THEN 'val' ELSE 'test' END AS split
+FROM (SELECT *, count(*) OVER (PARTITION BY asset_name) AS n FROM seqs)
+WHERE n >= 5 AND floor(n * {O.dlit(0.6)}) >= 1 AND floor(n * {O.dlit(0.6 + 0.2)}) > floor(n * {O.dlit(0.6)})
+  AND n > floor(n * {O.dlit(0.6 + 0.2)})"""
+_SEQ_CTES = _FEAT + [("scaled", _SCALED_SQL), ("seqs", _SEQ_SQL), ("splits", _SPLIT3_SQL)]
+
+
+@register("minmax_scale", O.with_views(["daily"], _SEQ_CTES[:len(_FEAT) + 1], f"""
+SELECT asset_name, day, round(close, 4) AS close, round(x_min, 4) AS x_min, round(x_max, 4) AS x_max,
+       {O.r('scaled')} AS scaled, {O.r('scaled * (x_max - x_min) + x_min')} AS restored FROM scaled""", recursive=True))
+def q_minmax_scale(spark, sf):
+    """Per-asset min-max scaling of close and its inverse."""
+    s = _scaled(spark, sf)
+    return rounded(s.select("asset_name", "day", "close", "x_min", "x_max", "scaled",
+                            SQ.unscale(F.col("scaled"), F.col("x_min"), F.col("x_max")).alias("restored")))
+
+
+def _seqs(spark, sf):
+    return SQ.lookback(_scaled(spark, sf), LOOK_BACK)
+
+
+@register("lookback_sequences", O.with_views(["daily"], _SEQ_CTES[:len(_FEAT) + 2], f"""
+SELECT asset_name, day, seq_idx, CAST(unnest(range(0, {LOOK_BACK})) AS INTEGER) AS pos,
+       round(unnest(seq), 4) AS x, round(scaled, 4) AS y FROM seqs""", recursive=True))
+def q_lookback_sequences(spark, sf):
+    """Look-back windows of scaled close (flattened: one row per element) and their label."""
+    s = _seqs(spark, sf)
+    flat = s.select("asset_name", "day", "seq_idx", F.posexplode("seq").alias("pos", "x"), F.col("scaled").alias("y"))
+    return rounded(flat)
+
+
+@register("sequence_align", O.with_views(["daily"], _SEQ_CTES[:len(_FEAT) + 2], """
+SELECT asset_name, day, seq_idx, round(close, 4) AS close, round(target, 4) AS target FROM seqs""", recursive=True))
+def q_sequence_align(spark, sf):
+    """Feature rows aligned to sequences (first look_back rows dropped)."""
+    return rounded(_seqs(spark, sf).select("asset_name", "day", "seq_idx", "close", "target"))
+
+
+@register("chrono_split", O.with_views(["daily"], _SEQ_CTES,
+                                       "SELECT asset_name, day, seq_idx, split FROM splits", recursive=True))
+def q_chrono_split(spark, sf):
+    """Chronological 60/20/20 split of each asset's sequences."""
+    return SQ.chrono_split(_seqs(spark, sf)).select("asset_name", "day", "seq_idx", "split")
+
+
+# ------------------------------------------------------------ registry ----
+_LATEST_SQL = """
+SELECT model_name, run_id, rmse, mae FROM (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY start_time DESC, run_id DESC) AS rk
+                 FROM runs WHERE status = 'FINISHED') WHERE rk <= 10 AND rmse IS NOT NULL)
+QUALIFY rk = min(rk) OVER (PARTITION BY model_name)"""
+
+
+@register("latest_run_metrics", O.with_views(["runs"], [("latest", _LATEST_SQL)],
+                                             "SELECT model_name, run_id, round(rmse, 4) AS rmse, round(mae, 4) AS mae FROM latest"))
+def q_latest_run_metrics(spark, sf):
+    """Per model, newest finished run (of the last 10) that has an RMSE."""
+    return rounded(R.latest_run_metrics(fx.runs(spark, sf)))
+
+
+@register("perf_threshold", O.with_views(["runs"], [("latest", _LATEST_SQL)], f"""
+SELECT model_name, run_id, round(rmse, 4) AS rmse, round(mae, 4) AS mae,
+       NOT coalesce(rmse > {O.dlit(R.RMSE_LIMIT)}, false) AS rmse_ok,
+       NOT coalesce(mae > {O.dlit(R.MAE_LIMIT)}, false) AS mae_ok,
+       NOT coalesce(rmse > {O.dlit(R.RMSE_LIMIT)}, false) AND NOT coalesce(mae > {O.dlit(R.MAE_LIMIT)}, false) AS healthy
+FROM latest"""))
+def q_perf_threshold(spark, sf):
+    """Health verdict of each model's latest metrics (rmse 20000, mae 15000)."""
+    return rounded(R.threshold_check(R.latest_run_metrics(fx.runs(spark, sf))))
+
+
+@register("run_metrics_view", O.with_views(["runs"], [("newest", """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY start_time DESC, run_id DESC) AS rk
+               FROM runs WHERE status = 'FINISHED') WHERE rk = 1""")], """
+SELECT model_name, run_id, metric, round(value, 4) AS value, 'available' AS status
+FROM (UNPIVOT (SELECT model_name, run_id, rmse, mae FROM newest) ON rmse, mae INTO NAME metric VALUE value)
+WHERE value IS NOT NULL
+UNION ALL
+SELECT DISTINCT model_name, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE), 'unavailable'
+FROM runs WHERE model_name NOT IN (SELECT model_name FROM newest)"""))
+def q_run_metrics_view(spark, sf):
+    """Metric rows of each model's newest finished run; 'unavailable' when none."""
+    return rounded(R.run_metrics_view(fx.runs(spark, sf), ["rmse", "mae"]))
+
+
+_PROMO_CTES = [
+    ("newest_v", """
+  SELECT model_name, arg_max(version, CAST(version AS BIGINT)) AS newest_version,
+         arg_max(run_id, CAST(version AS BIGINT)) AS newest_run_id FROM versions GROUP BY 1"""),
+    ("champ", """
+  SELECT a.model_name, a.version AS champion_version, v.run_id AS champion_run_id
+  FROM aliases a LEFT JOIN versions v ON v.model_name = a.model_name AND v.version = a.version
+  WHERE a.alias = 'Champion'"""),
+    ("plan", """
+  SELECT n.*, c.champion_version, c.champion_run_id, rn.rmse AS new_metric, rc.rmse AS champion_metric
+  FROM newest_v n LEFT JOIN champ c USING (model_name)
+  LEFT JOIN runs rn ON rn.run_id = n.newest_run_id LEFT JOIN runs rc ON rc.run_id = c.champion_run_id"""),
+    ("decided", """
+  SELECT *, CASE WHEN champion_version IS NULL THEN 'promote'
+                 WHEN newest_version = champion_version THEN 'keep'
+                 WHEN new_metric IS NULL OR champion_metric IS NULL THEN 'skip'
+                 WHEN new_metric < champion_metric THEN 'promote' ELSE 'keep' END AS action FROM plan"""),
+]
+
+
+@register("champion_promotion", O.with_views(["runs", "versions", "aliases"], _PROMO_CTES, """
+SELECT model_name, newest_version, champion_version, round(new_metric, 4) AS new_metric,
+       round(champion_metric, 4) AS champion_metric, action,
+       CASE WHEN action = 'promote' THEN newest_version ELSE champion_version END AS champion_after
+FROM decided"""))
+def q_champion_promotion(spark, sf):
+    """Promotion decision per model (strictly better RMSE wins)."""
+    return rounded(R.promotion_plan(fx.runs(spark, sf), fx.versions(spark, sf), fx.aliases(spark, sf)))
+
+
+def _configured_models(spark):
+    a = asset_frame(spark, fx.FIXTURE_CONFIG)
+    return a.select("asset_name", F.concat(F.lit("m_"), F.col("asset_name")).alias("model_name"))
+
+
+@register("champion_check", O.with_views(["versions", "aliases"], [("cfg", _config_values_sql())], """
+SELECT c.asset_name, 'm_' || c.asset_name AS model_name, a.version AS champion_version, v.run_id AS champion_run_id,
+       CASE WHEN a.version IS NULL THEN 'none' ELSE 'ok' END AS status
+FROM cfg c LEFT JOIN aliases a ON a.model_name = 'm_' || c.asset_name AND a.alias = 'Champion'
+LEFT JOIN versions v ON v.model_name = a.model_name AND v.version = a.version"""))
+def q_champion_check(spark, sf):
+    """Champion version per configured asset ('none' when absent)."""
+    out = R.champion_status(_configured_models(spark), fx.aliases(spark, sf), fx.versions(spark, sf))
+    return out.select("asset_name", "model_name", "champion_version", "champion_run_id", "status")
+
+
+@register("registry_listing", O.with_views(["versions", "aliases"], [], """
+SELECT v.model_name, v.version, v.run_id, coalesce(t.aliases, '') AS aliases
+FROM versions v LEFT JOIN (SELECT model_name, version, array_to_string(list_sort(list_distinct(list(alias))), ',') AS aliases
+                           FROM aliases GROUP BY 1, 2) t
+  ON t.model_name = v.model_name AND t.version = v.version
+WHERE starts_with(v.model_name, 'm_')"""))
+def q_registry_listing(spark, sf):
+    """Versions of the models with the registry prefix and their aliases."""
+    return R.registry_listing(fx.versions(spark, sf), fx.aliases(spark, sf), "m_")
+
+
+@register("model_info", O.with_views(["versions", "aliases"], [("cfg", _config_values_sql()), ("mi", f"""
+SELECT c.asset_name, a.model_name IS NOT NULL AS model_loaded,
+       'workspace.default.' || lower(translate('{NM.MODEL_PREFIX}' || translate(c.asset_name, '{NM.ARTIFACT_CHARS.replace("'", "''")}', '________'), '. ', '__')) AS registry_name
+FROM cfg c LEFT JOIN (SELECT DISTINCT model_name FROM aliases WHERE alias = 'Champion') a
+  ON a.model_name = 'm_' || c.asset_name""")], """
+SELECT *, count(*) FILTER (WHERE model_loaded) OVER () AS total_loaded FROM mi"""))
+def q_model_info(spark, sf):
+    """Configured assets, load state (champion present) and registry names."""
+    loaded = fx.aliases(spark, sf).where(F.col("alias") == R.CHAMPION).select(
+        F.expr("substring(model_name, 3)").alias("asset_name"))
+    return R.model_info(asset_frame(spark, fx.FIXTURE_CONFIG), loaded)
+
+
+@register("model_names", O.with_views(["prices", "crypto_bars"], [("names", """
+SELECT DISTINCT asset_name FROM prices UNION SELECT DISTINCT asset_name FROM crypto_bars""")], f"""
+SELECT asset_name,
+       translate(asset_name, '{NM.ARTIFACT_CHARS.replace("'", "''")}', '________') AS artifact_name,
+       '{NM.MODEL_PREFIX}' || translate(asset_name, '{NM.ARTIFACT_CHARS.replace("'", "''")}', '________') AS model_name,
+       'workspace.default.' || lower(translate('{NM.MODEL_PREFIX}' || translate(asset_name, '{NM.ARTIFACT_CHARS.replace("'", "''")}', '________'), '. ', '__')) AS registry_name,
+       lower(translate(asset_name, '. ', '__')) AS report_name
+FROM names"""))
+def q_model_names(spark, sf):
+    """Artifact, model, registry and report names of every asset in the data."""
+    names = fx.prices(spark, sf).select("asset_name").distinct().unionByName(
+        fx.crypto_bars(spark, sf).select("asset_name").distinct()).distinct()
+    a = F.col("asset_name")
+    return names.select(
+        "asset_name", NM.artifact_name_col(a).alias("artifact_name"), NM.model_base_col(a).alias("model_name"),
+        NM.registry_name_col(NM.model_base_col(a)).alias("registry_name"), NM.report_name_col(a).alias("report_name"))
+
+
+# ------------------------------------------------------------- scoring ----
+SERVED_ASSETS = ("known",)  # serving table of the request fixture
+
+
+def _served(spark):
+    return spark.createDataFrame([(a,) for a in SERVED_ASSETS], "asset_name string")
+
+
+@register("requests_explode", O.with_views(["requests_flat"], [], """
+SELECT request_id, asset_name, CAST(count(*) OVER (PARTITION BY request_id) - newest_rank AS INTEGER) AS pos,
+       round(close, 4) AS close FROM requests_flat"""))
+def q_requests_explode(spark, sf):
+    """Request payloads (array of feature maps) → one row per map."""
+    return rounded(S.explode_requests(fx.requests(spark, sf)))
+
+
+_ROUTE_SQL = f"""
+SELECT u.request_id, u.asset_name, CAST(coalesce(c.n, 0) AS BIGINT) AS n_rows,
+       CASE WHEN u.asset_name NOT IN ({', '.join(f"'{a}'" for a in SERVED_ASSETS)}) THEN 'Model for ''' || u.asset_name || ''' not available'
+            WHEN coalesce(c.n, 0) = 0 THEN 'Features list cannot be empty'
+            WHEN coalesce(c.n, 0) < {LOOK_BACK} THEN 'Validation error: Input data must contain at least {LOOK_BACK} rows for LSTM context.'
+       END AS error
+FROM request_users u LEFT JOIN (SELECT request_id, count(*) AS n FROM requests_flat GROUP BY 1) c USING (request_id)"""
+
+
+@register("batch_predict", O.with_views(["requests_flat", "request_users"], [("routed", _ROUTE_SQL)], """
+SELECT request_id, asset_name, n_rows, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS status, error
+FROM routed"""))
+def q_batch_predict(spark, sf):
+    """Per-request routing — model lookup, empty payload, too few rows."""
+    r = S.route_requests(fx.requests(spark, sf), _served(spark), LOOK_BACK)
+    return r.withColumn("n_rows", F.col("n_rows").cast("long"))
+
+
+@register("batch_predict_summary", O.with_views(["requests_flat", "request_users"], [("routed", _ROUTE_SQL)], """
+SELECT count(*) AS total_requests, count(*) FILTER (WHERE error IS NULL) AS successful,
+       count(*) FILTER (WHERE error IS NOT NULL) AS failed FROM routed"""))
+def q_batch_predict_summary(spark, sf):
+    """Batch metadata — total, successful, failed."""
+    return S.batch_summary(S.route_requests(fx.requests(spark, sf), _served(spark), LOOK_BACK))
