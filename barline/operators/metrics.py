@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barline.functions.numeric import INF
@@ -33,10 +33,17 @@ def error_metrics(df: DataFrame, keys: Sequence[str], y: str = "y_true", p: str
     )
 
 
-def directional_accuracy(df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str],
+def directional_accuracy(df: DataFrame, keys: Sequence[str], block: str | None, order: Sequence[str],
                          y: str = "y_true", p: str = "y_pred") -> DataFrame:
-    """A19 per group; consecutive rows are found block-wise (hot groups stay split)."""
-    lagged = blocked_lag(df, keys, block, order, [y, p])
+    """A19 per group; consecutive rows are found block-wise (hot groups stay split).
+
+    ``block=None`` uses a plain per-group window (for calendar-bounded series).
+    """
+    if block is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        lagged = df.withColumns({y + "_prev": F.lag(y).over(w), p + "_prev": F.lag(p).over(w)})
+    else:
+        lagged = blocked_lag(df, keys, block, order, [y, p])
     same = F.signum(F.col(y) - F.col(y + "_prev")) == F.signum(F.col(p) - F.col(p + "_prev"))
     has_prev = F.col(y + "_prev").isNotNull()
     return lagged.groupBy(*keys).agg(
@@ -45,7 +52,7 @@ def directional_accuracy(df: DataFrame, keys: Sequence[str], block: str, order:
     )
 
 
-def evaluate(df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str],
+def evaluate(df: DataFrame, keys: Sequence[str], block: str | None, order: Sequence[str],
              y: str = "y_true", p: str = "y_pred") -> DataFrame:
     """All five metrics per group."""
     return error_metrics(df, keys, y, p).join(directional_accuracy(df, keys, block, order, y, p), list(keys))

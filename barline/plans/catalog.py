@@ -749,3 +749,138 @@ SELECT count(*) AS total_requests, count(*) FILTER (WHERE error IS NULL) AS succ
 def q_batch_predict_summary(spark, sf):
     """Batch metadata — total, successful, failed."""
     return S.batch_summary(S.route_requests(fx.requests(spark, sf), _served(spark), LOOK_BACK))
+
+
+# ---------------------------------------------------------- model jobs ----
+from barline.plans import training as TR  # noqa: E402
+
+CFG = fx.FIXTURE_CONFIG
+
+
+def _l1(spark, sf):
+    return TR.stage1(_features(spark, sf), CFG, look_back=1, ridge=0.0)
+
+
+_L1_CTES = _FEAT + [("scaled", _SCALED_SQL), ("seqs1", """
+SELECT *, rn - 1 AS seq_idx FROM (
+  SELECT *, row_number() OVER w AS rn, lag(scaled, 1) OVER w AS x FROM scaled
+  WINDOW w AS (PARTITION BY asset_name ORDER BY day)) WHERE rn > 1"""), ("split1", f"""
+SELECT *, CASE WHEN seq_idx <= floor(n * {O.dlit(0.6)}) THEN 'train'
+               WHEN seq_idx <= floor(n * {O.dlit(0.6 + 0.2)}) THEN 'val' ELSE 'test' END AS split
+FROM (SELECT *, count(*) OVER (PARTITION BY asset_name) AS n FROM seqs1)
+WHERE n >= 5 AND floor(n * {O.dlit(0.6)}) >= 1 AND floor(n * {O.dlit(0.6 + 0.2)}) > floor(n * {O.dlit(0.6)})
+  AND n > floor(n * {O.dlit(0.6 + 0.2)})"""), ("fit1", """
+SELECT asset_name, regr_slope(scaled, x) AS slope, regr_intercept(scaled, x) AS intercept, count(*) AS n_train
+FROM split1 WHERE split = 'train' GROUP BY 1""")]
+
+
+@register("lookback_fit_l1", O.with_views(["daily"], _L1_CTES, f"""
+SELECT asset_name, {O.r('slope', 6)} AS slope, {O.r('intercept', 6)} AS intercept, n_train FROM fit1""", recursive=True))
+def q_lookback_fit_l1(spark, sf):
+    """M1 (L=1, no penalty): per-asset least-squares next-value model on the train part."""
+    w = _l1(spark, sf).weights
+    return w.select("asset_name", F.round(F.col("weights")[1], 6).alias("slope"),
+                    F.round(F.col("weights")[0], 6).alias("intercept"), F.col("n").alias("n_train"))
+
+
+@register("next_forecast_l1", O.with_views(["daily"], _L1_CTES + [("last1", """
+SELECT * FROM scaled QUALIFY row_number() OVER (PARTITION BY asset_name ORDER BY day DESC) = 1""")], f"""
+SELECT l.asset_name, l.day AS last_date, round(l.close, 4) AS current_price,
+       {O.r('(f.intercept + f.slope * l.scaled) * (l.x_max - l.x_min) + l.x_min')} AS forecast_price,
+       {O.r('((f.intercept + f.slope * l.scaled) * (l.x_max - l.x_min) + l.x_min - l.close) / l.close * 100')}
+         AS predicted_change_pct
+FROM last1 l JOIN fit1 f USING (asset_name)""", recursive=True))
+def q_next_forecast_l1(spark, sf):
+    """M6 (naive stage-1 forecast, L=1): next-day forecast record per asset."""
+    s1 = _l1(spark, sf)
+    live = TR.live_rows(s1, 1)
+    return rounded(TR.forecast_records(live, forecast="lstm_pred"))
+
+
+@register("lookback_fit")
+def q_lookback_fit(spark, sf):
+    """M1: per-asset ridge look-back regressor (L from config) — weights and train size."""
+    s1 = TR.stage1(_features(spark, sf), CFG)
+    return s1.weights.select("asset_name", F.transform("weights", lambda v: F.round(v, 6)).alias("weights"),
+                             F.col("n").alias("n_train"))
+
+
+@register("stack_features")
+def q_stack_features(spark, sf):
+    """val/test feature rows with the un-scaled stage-1 prediction attached."""
+    s1 = TR.stage1(_features(spark, sf), CFG)
+    st = TR.with_stage1_pred(s1.seqs.where(F.col("split") != "train"), s1.weights, CFG.lookback.look_back)
+    return rounded(st.select("asset_name", "day", "split", "lstm_pred", *TR.stack_features(st)))
+
+
+_TRAINED: dict = {}
+_SEARCHED: dict = {}
+
+
+def _trained(spark, sf):
+    """Train once per (application, data folder); scoring keys reuse the fitted stages."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        _TRAINED[key] = TR.train_stacked(_features(spark, sf), CFG)
+    return _TRAINED[key]
+
+
+def _searched(spark, sf):
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SEARCHED:
+        _SEARCHED[key] = TR.hyperparam_search(spark, _features(spark, sf), CFG).cache()
+    return _SEARCHED[key]
+
+
+@register("stacked_fit")
+def q_stacked_fit(spark, sf):
+    """Stage 2 trained on val, metrics on test per asset."""
+    _, stacked, _, model = _trained(spark, sf)
+    return rounded(TR.test_metrics(stacked, model))
+
+
+@register("batch_score")
+def q_batch_score(spark, sf):
+    """M4: batch scoring with lstm_pred supplied (close dropped) on the test rows."""
+    _, stacked, _, model = _trained(spark, sf)
+    test = stacked.where(F.col("split") == "test").drop("close")
+    return rounded(model.transform(test).select("asset_name", "day", "prediction"))
+
+
+@register("live_score")
+def q_live_score(spark, sf):
+    """M5: live scoring of each asset's newest row (last L closes → stage 1 → stage 2)."""
+    s1, _, _, model = _trained(spark, sf)
+    live = TR.live_rows(s1, CFG.lookback.look_back)
+    return rounded(model.transform(live).select("asset_name", "day", "close", "lstm_pred", "prediction"))
+
+
+@register("next_forecast")
+def q_next_forecast(spark, sf):
+    """M6: next-day forecast record per asset from the two-stage model."""
+    s1, _, _, model = _trained(spark, sf)
+    live = model.transform(TR.live_rows(s1, CFG.lookback.look_back))
+    return rounded(TR.forecast_records(live))
+
+
+@register("model_store")
+def q_model_store(spark, sf):
+    """Save both stages, load them back, score the test rows with the loaded models."""
+    s1, stacked, _, model = _trained(spark, sf)
+    root = TR.save_models(spark, s1.weights, model, "fixture")
+    weights, loaded = TR.load_models(spark, root)
+    test = stacked.where(F.col("split") == "test").drop("lstm_pred", "weights")
+    test = TR.with_stage1_pred(test, weights, CFG.lookback.look_back)
+    return rounded(loaded.transform(test).select("asset_name", "day", "lstm_pred", "prediction"))
+
+
+@register("hyperparam_search")
+def q_hyperparam_search(spark, sf):
+    """M7: seeded random search over the tuned parameters, RMSE on the last 20 %."""
+    return rounded(_searched(spark, sf))
+
+
+@register("param_override")
+def q_param_override(spark, sf):
+    """Configuration defaults overridden by the best search trial."""
+    return TR.effective_params(_searched(spark, sf), CFG)
