@@ -884,3 +884,48 @@ def q_hyperparam_search(spark, sf):
 def q_param_override(spark, sf):
     """Configuration defaults overridden by the best search trial."""
     return TR.effective_params(_searched(spark, sf), CFG)
+
+
+# ----------------------------------------------------------- streaming ----
+from barline.session import scratch_path  # noqa: E402
+from barline.streaming import daily_close as SD  # noqa: E402
+from barline.streaming import live_score as SL  # noqa: E402
+
+
+@register("stream_daily_close")
+def q_stream_daily_close(spark, sf):
+    """T-1: events file stream → watermarked 1-day windows → last value per type and day."""
+    return rounded(SD.events_daily_close(spark, sf))
+
+
+FEED_SCHEMA = T.StructType([
+    T.StructField("asset_name", T.StringType()),
+    T.StructField("day", T.DateType()),
+    T.StructField("close", T.DoubleType()),
+])
+
+
+@register("stream_live_score")
+def q_stream_live_score(spark, sf):
+    """T-2: daily closes arriving as files (history, then recent days) scored live with
+    per-asset state; the look-back model is fitted on the history part."""
+    daily = _daily(spark, sf).select("asset_name", "day", "close")
+    feed = scratch_path(spark, "feed-daily-close")
+    daily.write.mode("overwrite").parquet(feed + "-all")
+    daily = spark.read.schema(FEED_SCHEMA).parquet(feed + "-all")
+    # the cut day is a scalar subquery (one aggregate, no join)
+    cut = daily.agg(F.expr("date_add(min(day), CAST(datediff(max(day), min(day)) * 0.8 AS INT))")).scalar()
+    daily.where(F.col("day") <= cut).write.mode("append").parquet(feed)
+    daily.where(F.col("day") > cut).write.mode("append").parquet(feed)
+    # model: scaler + stage-1 weights from the history part only
+    L = CFG.lookback.look_back
+    h = SQ.minmax_fit(daily.where(F.col("day") <= cut))
+    h = h.withColumn("scaled", SQ.scale(F.col("close"), F.col("x_min"), F.col("x_max")))
+    seqs = SQ.lookback(h, L).withColumn("y", F.col("scaled"))
+    from barline.operators import models as MD
+
+    weights = MD.fit_lookback(seqs, L, CFG.lookback.ridge)
+    scaler = h.groupBy("asset_name").agg(F.first("x_min").alias("x_min"), F.first("x_max").alias("x_max"))
+    model = scaler.join(weights, "asset_name")
+    stream = SD.file_stream(spark, feed, FEED_SCHEMA, max_files=64)
+    return rounded(SD.run_to_table(spark, SL.live_scores(stream, model, L), "live-score"))
