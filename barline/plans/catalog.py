@@ -929,3 +929,19 @@ def q_stream_live_score(spark, sf):
     model = scaler.join(weights, "asset_name")
     stream = SD.file_stream(spark, feed, FEED_SCHEMA, max_files=64)
     return rounded(SD.run_to_table(spark, SL.live_scores(stream, model, L), "live-score"))
+
+
+# ---------------------------------------------------------- file io ------
+from barline.sources import files as FI  # noqa: E402
+
+
+@register("csv_roundtrip", _feature_sql())
+def q_csv_roundtrip(spark, sf):
+    """Feature table → CSV per asset → read back with an explicit schema."""
+    ft = feature_table(fx.prices(spark, sf), FEATURES)
+    path = scratch_path(spark, "features-csv")
+    FI.write_csv(ft, path)
+    schema = T.StructType([f for f in ft.schema.fields if f.name != "asset_name"]
+                          + [T.StructField("asset_name", T.StringType())])
+    back = FI.read_csv(spark, path, schema)
+    return rounded(back.select(*ft.columns))
