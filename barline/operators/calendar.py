@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barline.functions.ordering import order_key
+
 
 def daily_last(df: DataFrame, key: str = "asset_name", ts: str = "ts", value: str = "price",
                tie: str | None = None, out: str = "close", attrs: tuple[str, ...] = ()) -> DataFrame:
@@ -20,7 +22,7 @@ def daily_last(df: DataFrame, key: str = "asset_name", ts: str = "ts", value: st
     ``attrs`` are columns that depend on the key only (e.g. asset_type); they
     ride along as grouping columns instead of costing a second scan.
     """
-    order = F.struct(ts, tie) if tie else F.struct(ts)
+    order = order_key(df, ts, tie)
     return (
         df.where(F.col(value).isNotNull())
         .groupBy(key, *attrs, F.to_date(ts).alias("day"))

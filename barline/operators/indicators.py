@@ -1,8 +1,9 @@
 """Technical indicators over a daily panel (one row per asset and day).
 
-All indicators share one ``WindowSpec`` (partition by asset, order by day), so
-Catalyst plans a single exchange and sort for the whole chain; only the MACD
-signal (an EMA of an indicator) needs a second, exchange-free window pass.
+All window indicators share one ``WindowSpec`` (partition by asset, order by
+day), so Catalyst plans a single exchange and sort for the whole chain.  The
+recursive EMA family (MACD, signal, RSI) is one grouped map per asset that
+reuses the same hash partitioning (see ``ema_family``).
 Each asset's partition is its daily series, whose length is bounded by the
 calendar, not by the raw row count.
 
@@ -16,8 +17,11 @@ Conventions (published definitions of the indicators):
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barline.config import FeatureConfig
 from barline.functions.ema import ema, span_alpha
@@ -68,6 +72,42 @@ def bollinger(x: str, w: WindowSpec, n: int, dev: float) -> dict[str, Column]:
     }
 
 
+def ema_family(daily: DataFrame, cfg: FeatureConfig = FeatureConfig(), key: str = "asset_name",
+               order: str = "day", x: str = "close", keep_emas: bool = False) -> DataFrame:
+    """MACD line, signal, histogram and RSI — the recursive (EMA) indicators.
+
+    Spark has no recursive window function, so these run as one grouped map
+    per asset (``applyInPandas``): each group is one asset's daily series,
+    whose length is bounded by the calendar, and the input is already hash
+    partitioned by asset, so no extra exchange is planned.  Inside, pandas'
+    ``ewm(adjust=False, min_periods=n)`` evaluates the recursion in O(n).
+    All other indicators stay Catalyst window expressions.
+    """
+    af, as_, ag = span_alpha(cfg.macd_fast), span_alpha(cfg.macd_slow), span_alpha(cfg.macd_signal)
+    n_rsi = cfg.rsi_window
+    extra = ["macd", "macd_signal", "macd_diff", "rsi"] + (["ema_fast", "ema_slow"] if keep_emas else [])
+    schema = T.StructType(list(daily.schema.fields) + [T.StructField(c, T.DoubleType()) for c in extra])
+
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
+        c = pdf[x].astype("float64")
+        fast = c.ewm(alpha=af, adjust=False, min_periods=cfg.macd_fast).mean()
+        slow = c.ewm(alpha=as_, adjust=False, min_periods=cfg.macd_slow).mean()
+        macd = fast - slow
+        signal = macd.ewm(alpha=ag, adjust=False, min_periods=cfg.macd_signal).mean()
+        diff = c.diff(1)
+        up = diff.where(diff > 0, 0.0).ewm(alpha=1.0 / n_rsi, adjust=False, min_periods=n_rsi).mean()
+        down = (-diff.where(diff < 0, 0.0)).ewm(alpha=1.0 / n_rsi, adjust=False, min_periods=n_rsi).mean()
+        rsi_v = np.where(down == 0, 100.0, 100.0 - 100.0 / (1.0 + up / down))
+        rsi_v = np.where(down.isna(), np.nan, rsi_v)
+        out = pdf.assign(macd=macd, macd_signal=signal, macd_diff=macd - signal, rsi=rsi_v)
+        if keep_emas:
+            out = out.assign(ema_fast=fast, ema_slow=slow)
+        return out
+
+    return daily.groupBy(key).applyInPandas(kernel, schema)
+
+
 def add_indicators(daily: DataFrame, cfg: FeatureConfig = FeatureConfig(), key: str = "asset_name",
                    order: str = "day", x: str = "close", target: bool = True) -> DataFrame:
     """Returns, MAs, MACD, RSI, Bollinger, volatility, lags and next-day target.
@@ -80,10 +120,6 @@ def add_indicators(daily: DataFrame, cfg: FeatureConfig = FeatureConfig(), key:
     first.update(returns(x, w))
     for n in cfg.moving_averages:
         first[f"ma_{n}"] = moving_average(x, w, n)
-    fast = ema(x, span_alpha(cfg.macd_fast), w, cfg.macd_fast)
-    slow = ema(x, span_alpha(cfg.macd_slow), w, cfg.macd_slow)
-    first["macd"] = fast - slow
-    first["rsi"] = rsi(x, w, cfg.rsi_window)
     first.update(bollinger(x, w, cfg.bollinger_window, cfg.bollinger_dev))
     first[f"volatility_{cfg.volatility_window}"] = rolling_std(x, w, cfg.volatility_window, sample=True)
     for k in cfg.lags:
@@ -91,14 +127,14 @@ def add_indicators(daily: DataFrame, cfg: FeatureConfig = FeatureConfig(), key:
     if target:
         first["target"] = F.lead(x, 1).over(w)
 
-    stage1 = daily.select("*", *[c.alias(name) for name, c in first.items()])
-    signal = ema("macd", span_alpha(cfg.macd_signal), w, cfg.macd_signal)
-    stage2 = stage1.withColumn("macd_signal", signal)
+    # window indicators first (one exchange + sort on asset), the recursive EMA
+    # family last: its grouped map reuses that partitioning without a shuffle
+    stage2 = daily.select("*", *[c.alias(name) for name, c in first.items()])
     stage2 = stage2.withColumns({
-        "macd_diff": F.col("macd") - F.col("macd_signal"),
         "bb_width": ratio_or_null(F.col("bb_high") - F.col("bb_low"), F.col(x)),
         "bb_position": ratio_or_null(F.col(x) - F.col("bb_low"), F.col("bb_high") - F.col("bb_low")),
     })
+    stage2 = ema_family(stage2, cfg, key, order, x)
     return stage2.select(*daily.columns, *indicator_columns(cfg, target))
 
 

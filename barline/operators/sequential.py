@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barline.functions.ordering import order_key
+
 
 def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in names]
@@ -41,7 +43,7 @@ def blocked_lag(df: DataFrame, keys: Sequence[str], block: str, order: Sequence[
     for v in values:
         local = local.withColumn(v + suffix, F.lag(v).over(w_in))
 
-    last = F.struct(*_cols(order))
+    last = order_key(df, order[0], order[1]) if len(order) == 2 else F.struct(*_cols(order))
     tails = df.groupBy(*keys, block).agg(*[F.max_by(v, last).alias("_tail_" + v) for v in values])
     w_blk = Window.partitionBy(*keys).orderBy(block)
     carry = tails.select(*keys, block, *[F.lag("_tail_" + v).over(w_blk).alias("_carry_" + v) for v in values])

@@ -18,11 +18,23 @@ RUNTIME_CONF = {
 }
 
 
+# Tuning defaults applied only when the session leaves them unset.  The daily
+# panels are small per byte but CPU-heavy (window folds), so AQE may keep
+# partitions down to 64 KB instead of merging a whole stage into one task;
+# large shuffles are unaffected (they coalesce toward the advisory size).
+TUNING_DEFAULTS = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the library depends on (idempotent)."""
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    for key, value in TUNING_DEFAULTS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 
