@@ -42,9 +42,16 @@ def latest_run_metrics(runs: DataFrame, metric: str = "rmse", recent: int = RECE
 
 
 def threshold_check(metrics: DataFrame, rmse_limit: float = RMSE_LIMIT, mae_limit: float = MAE_LIMIT) -> DataFrame:
-    """Unhealthy when rmse > limit or mae > limit; a missing value never exceeds."""
-    rmse_ok = ~F.coalesce(F.col("rmse") > F.lit(rmse_limit), F.lit(False))
-    mae_ok = ~F.coalesce(F.col("mae") > F.lit(mae_limit), F.lit(False))
+    """Unhealthy when rmse > limit or mae > limit; a missing value never exceeds.
+
+    NaN is treated as missing (Spark orders NaN above every number, so a bare
+    ``NaN > limit`` would be true).
+    """
+    def missing_as_null(c: str):
+        return F.when(~F.isnan(F.col(c)), F.col(c))
+
+    rmse_ok = ~F.coalesce(missing_as_null("rmse") > F.lit(rmse_limit), F.lit(False))
+    mae_ok = ~F.coalesce(missing_as_null("mae") > F.lit(mae_limit), F.lit(False))
     return metrics.withColumns({"rmse_ok": rmse_ok, "mae_ok": mae_ok, "healthy": rmse_ok & mae_ok})
 
 
