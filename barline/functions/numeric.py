@@ -54,6 +54,16 @@ def clean_numeric(x: str | Column) -> Column:
     )
 
 
+def to_numeric(x: str | Column, data_type=None) -> Column:
+    """P10, ``to_numeric(errors="coerce")``: numbers pass through as double; text
+    must be a plain decimal (surrounding blanks allowed) or ±inf, else null."""
+    from pyspark.sql.types import NumericType
+
+    if isinstance(data_type, NumericType):
+        return _c(x).cast("double")
+    return parse_float(F.upper(_c(x).cast("string")))
+
+
 def clean_numeric_column(df_col_type, x: str | Column) -> Column:
     """Numeric input passes through as double; text goes through ``clean_numeric``."""
     from pyspark.sql.types import NumericType

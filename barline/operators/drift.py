@@ -92,3 +92,13 @@ def drift_summary(ks: DataFrame, key: str = "asset_name", threshold: float = SHA
     return agg.withColumn("drift_share", share).withColumn(
         "drift_detected", F.col("drift_share") >= F.lit(float(threshold))
     ).withColumn("action", F.when(F.col("drift_detected"), "retrain_and_alert").otherwise("none"))
+
+
+def drift_report(ks: DataFrame, summary: DataFrame, key: str = "asset_name") -> DataFrame:
+    """One nested report row per asset — summary fields plus the per-column
+    tests as an array — keyed by the report file name (P20)."""
+    from barline.functions.names import report_name_col
+
+    cols = ks.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(
+        "column", "ks_stat", "p_value", "drifted"))).alias("columns"))
+    return summary.join(cols, key, "left").withColumn("report_name", report_name_col(F.col(key)))

@@ -28,7 +28,9 @@ def route_requests(requests: DataFrame, served: DataFrame, look_back: int) -> Da
     per model).
     """
     have = served.select("asset_name").distinct().withColumn("_has_model", F.lit(True))
-    r = requests.join(have, "asset_name", "left").withColumn("n_rows", F.size("features"))
+    # few distinct asset names: a shuffle join on them would skew, so the
+    # (model-count sized) serving list is broadcast
+    r = requests.join(F.broadcast(have), "asset_name", "left").withColumn("n_rows", F.size("features"))
     no_model = F.format_string("Model for '%s' not available", F.col("asset_name"))
     too_few = F.lit(f"Validation error: Input data must contain at least {look_back} rows for LSTM context.")
     error = (

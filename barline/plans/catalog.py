@@ -648,7 +648,8 @@ SELECT model_name, newest_version, champion_version, round(new_metric, 4) AS new
 FROM decided"""))
 def q_champion_promotion(spark, sf):
     """Promotion decision per model (strictly better RMSE wins)."""
-    return rounded(R.promotion_plan(fx.runs(spark, sf), fx.versions(spark, sf), fx.aliases(spark, sf)))
+    v = fx.versions(spark, sf)
+    return rounded(R.promotion_plan(fx.runs(spark, sf), v, fx.aliases(spark, sf, v)))
 
 
 def _configured_models(spark):
@@ -663,7 +664,8 @@ FROM cfg c LEFT JOIN aliases a ON a.model_name = 'm_' || c.asset_name AND a.alia
 LEFT JOIN versions v ON v.model_name = a.model_name AND v.version = a.version"""))
 def q_champion_check(spark, sf):
     """Champion version per configured asset ('none' when absent)."""
-    out = R.champion_status(_configured_models(spark), fx.aliases(spark, sf), fx.versions(spark, sf))
+    v = fx.versions(spark, sf)
+    out = R.champion_status(_configured_models(spark), fx.aliases(spark, sf, v), v)
     return out.select("asset_name", "model_name", "champion_version", "champion_run_id", "status")
 
 
@@ -675,7 +677,8 @@ FROM versions v LEFT JOIN (SELECT model_name, version, array_to_string(list_sort
 WHERE starts_with(v.model_name, 'm_')"""))
 def q_registry_listing(spark, sf):
     """Versions of the models with the registry prefix and their aliases."""
-    return R.registry_listing(fx.versions(spark, sf), fx.aliases(spark, sf), "m_")
+    v = fx.versions(spark, sf)
+    return R.registry_listing(v, fx.aliases(spark, sf, v), "m_")
 
 
 @register("model_info", O.with_views(["versions", "aliases"], [("cfg", _config_values_sql()), ("mi", f"""

@@ -59,3 +59,11 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(path)
+
+
+def write_json(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    """JSON lines sink (e.g. drift reports), optionally one folder per key."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.json(path)

@@ -126,9 +126,12 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("model_name", F.col("_v").cast("string").alias("version"), "run_id")
 
 
-def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Champion aliases: version 1 everywhere, newest for ``m_2*``, none for ``m_5*``."""
-    v = versions(spark, sf_dir)
+def aliases(spark: SparkSession, sf_dir: str, versions_df: DataFrame | None = None) -> DataFrame:
+    """Champion aliases: version 1 everywhere, newest for ``m_2*``, none for ``m_5*``.
+
+    Pass the ``versions`` frame already in use to share its lineage.
+    """
+    v = versions_df if versions_df is not None else versions(spark, sf_dir)
     newest = v.groupBy("model_name").agg(F.max(F.col("version").cast("long")).alias("_newest"))
     champ = (
         newest.where(~F.col("model_name").startswith("m_5"))

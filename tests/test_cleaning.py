@@ -105,3 +105,10 @@ def test_preprocess_stocks_drops_missing(spark):
 def test_preprocess_crypto_all_null(spark):
     df = spark.createDataFrame([("2024-01-01", None, None)], "timestamp string, name string, price_usd double")
     assert C.preprocess_crypto(df).count() == 0
+
+
+def test_to_numeric_coerce(spark):
+    from barline.functions.numeric import to_numeric
+
+    df = spark.createDataFrame([(" 1.5 ",), ("abc",), ("2e2",), (None,), ("1,000",)], "s string")
+    assert [r[0] for r in df.select(to_numeric("s")).collect()] == [1.5, None, 200.0, None, None]

@@ -119,3 +119,15 @@ def test_not_found_and_all_null_give_empty(spark):
         .withColumn("ts", F.to_timestamp_ntz("ts"))
     assert feature_table(df, CFG, asset_type=None).count() == 0
     assert feature_table(df.where("asset_name = 'Z'"), CFG, asset_type=None).count() == 0
+
+
+def test_feature_table_configured_assets_only(spark):
+    from barline.config import Config, asset_frame
+
+    vals = _series(40)
+    rows = [(a, (pd.Timestamp("2024-01-01") + pd.Timedelta(days=i)).to_pydatetime(), i, str(v))
+            for a in ("A", "B") for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "asset_name string, ts timestamp_ntz, tie long, price string")
+    ft = feature_table(df, CFG, assets=asset_frame(spark, Config(stocks=(), cryptos=("B",))))
+    got = {(r["asset_name"], r["asset_type"]) for r in ft.select("asset_name", "asset_type").distinct().collect()}
+    assert got == {("B", "crypto")}

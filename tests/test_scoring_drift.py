@@ -75,3 +75,16 @@ def test_drift_columns_and_summary(spark):
                                "asset_name string, column string, drifted boolean")
     got = {r["asset_name"]: (r["drift_share"], r["drift_detected"]) for r in D.drift_summary(ks).collect()}
     assert got == {"X": (0.5, True), "Y": (0.0, False)}
+
+
+def test_drift_report_json(spark, tmp_path):
+    from barline.sources.files import write_json
+
+    ks = spark.createDataFrame([("BTC-USD", "a", 0.5, 0.01, True), ("BTC-USD", "b", 0.1, 0.9, False)],
+                               "asset_name string, column string, ks_stat double, p_value double, drifted boolean")
+    rep = D.drift_report(ks, D.drift_summary(ks))
+    r = rep.collect()[0]
+    assert r["report_name"] == "btc-usd" and len(r["columns"]) == 2 and r["drift_share"] == 0.5
+    write_json(rep, str(tmp_path / "drift"), ("report_name",))
+    back = spark.read.json(str(tmp_path / "drift"))
+    assert back.count() == 1
