@@ -49,3 +49,25 @@ def batch_summary(routed: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "ok").alias("successful"),
         F.count_if(F.col("status") != "ok").alias("failed"),
     )
+
+
+def score_requests(requests: DataFrame, models: DataFrame, look_back: int, price: str = "close") -> DataFrame:
+    """M8 with values: routed requests plus the stage-1 forecast of the ok ones.
+
+    ``models``: (asset_name, x_min, x_max, weights) of the served stage-1
+    models — one row per model, broadcast.  The last ``look_back`` prices of
+    a request (current row included) are scaled with the model's scaler,
+    dotted with its weights in the JVM (``zip_with``/``aggregate``) and
+    un-scaled; failed requests keep a null prediction and their error.
+    """
+    from barline.operators.models import lookback_predict
+    from barline.operators.sequences import scale, unscale
+
+    routed = route_requests(requests, models, look_back)
+    prices = requests.select("request_id", F.transform("features", lambda m: m[price]).alias("_p"))
+    j = routed.join(prices, "request_id", "left").join(F.broadcast(models), "asset_name", "left")
+    window = F.slice(F.col("_p"), -look_back, look_back)
+    scaled = F.transform(window, lambda v: scale(v, F.col("x_min"), F.col("x_max")))
+    pred = unscale(lookback_predict(scaled, F.col("weights"), look_back), F.col("x_min"), F.col("x_max"))
+    return j.select("request_id", "asset_name", "n_rows", "status", "error",
+                    F.when(F.col("status") == "ok", pred).alias("prediction"))

@@ -948,3 +948,20 @@ def q_csv_roundtrip(spark, sf):
                           + [T.StructField("asset_name", T.StringType())])
     back = FI.read_csv(spark, path, schema)
     return rounded(back.select(*ft.columns))
+
+
+# the serving table of the request fixture: serving name → trained asset
+SERVED_MODELS = {"known": "1-URGENT"}
+
+
+@register("batch_predict_values")
+def q_batch_predict_values(spark, sf):
+    """M8: per-request routing plus stage-1 forecasts from each request's last L closes."""
+    s1 = TR.stage1(_features(spark, sf), CFG)
+    scaler = s1.scaled.groupBy("asset_name").agg(F.first("x_min").alias("x_min"), F.first("x_max").alias("x_max"))
+    fitted = scaler.join(s1.weights, "asset_name")
+    mapping = spark.createDataFrame(list(SERVED_MODELS.items()), "serving_name string, asset_name string")
+    models = F.broadcast(mapping).join(fitted, "asset_name").select(
+        F.col("serving_name").alias("asset_name"), "x_min", "x_max", "weights")
+    out = S.score_requests(fx.requests(spark, sf), models, LOOK_BACK)
+    return rounded(out.withColumn("n_rows", F.col("n_rows").cast("long")))

@@ -88,3 +88,12 @@ def test_drift_report_json(spark, tmp_path):
     write_json(rep, str(tmp_path / "drift"), ("report_name",))
     back = spark.read.json(str(tmp_path / "drift"))
     assert back.count() == 1
+
+
+def test_score_requests_values(spark):
+    models = spark.createDataFrame([("known", 0.0, 10.0, [0.0, 0.5, 0.5])],
+                                   "asset_name string, x_min double, x_max double, weights array<double>")
+    out = {r["request_id"]: r for r in S.score_requests(_requests(spark), models, 2).collect()}
+    # last two closes of request 1 are 10 and 11 → scaled 1.0, 1.1 → mean 1.05 → 10.5
+    assert out[1]["status"] == "ok" and out[1]["prediction"] == pytest.approx(10.5)
+    assert out[2]["prediction"] is None and out[3]["prediction"] is None
