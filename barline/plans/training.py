@@ -21,7 +21,7 @@ from barline.config import BoostParams, Config, override_params
 from barline.operators import metrics as M
 from barline.operators import models as MD
 from barline.operators import sequences as SQ
-from barline.session import scratch_path
+from barline.session import materialize, scratch_path
 
 
 @dataclass
@@ -79,7 +79,12 @@ def sized(df: DataFrame, rows_per_partition: int = ROWS_PER_TRAIN_PARTITION) ->
 
 
 def train_stacked(features: DataFrame, cfg: Config, seed: int = 42):
-    """M2/M3: returns (stage1, stacked rows, feature columns, fitted stage-2 model)."""
+    """M2/M3: returns (stage1, stacked rows, feature columns, fitted stage-2 model).
+
+    The feature table is written once to the shared checkpoint folder; the
+    scaler, sequences, stage-1 fit and stacking all read that table.
+    """
+    features = materialize(features, "train-features")
     s1 = stage1(features, cfg)
     stacked = with_stage1_pred(s1.seqs.where(F.col("split") != "train"), s1.weights, cfg.lookback.look_back)
     cols = stack_features(stacked)
@@ -151,7 +156,7 @@ def hyperparam_search(spark: SparkSession, features: DataFrame, cfg: Config, n_t
     stage-1 output is un-scaled as in training.  Trial fits are independent
     distributed fits submitted concurrently (as Spark ML's tuners do).
     """
-    s1 = stage1(features, cfg)
+    s1 = stage1(materialize(features, "search-features"), cfg)
     L = cfg.lookback.look_back
     stacked = with_stage1_pred(s1.seqs, s1.weights, L)
     stacked = SQ.chrono_split(stacked.drop("split"), (0.8,), min_rows=2)

@@ -82,3 +82,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = base.rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def materialize(df, name: str, partition_by: tuple[str, ...] = ()):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor recomputes from the written table, not
+    from raw data) and lets several downstream jobs share one computation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
