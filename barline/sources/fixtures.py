@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from barline.config import Config
 from barline.operators.sequential import blocked_lag, blocked_row_number, top_k_per_group
-from barline.sources.tables import read_table
+from barline.sources.tables import nan_to_null, read_table
 
 # Configured assets of the fixture world: five order priorities exist in the
 # data, two configured names do not (exercises the "missing assets" warning).
@@ -25,7 +25,8 @@ FIXTURE_CONFIG = Config(
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(asset_name, asset_type, ts, tie, price) — one row per order."""
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority")
+    o = nan_to_null(read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_totalprice",
+                               "o_orderpriority"))
     return o.select(
         F.col("o_orderpriority").alias("asset_name"),
         F.when(F.col("o_orderpriority") < F.lit("3"), "stock").otherwise("crypto").alias("asset_type"),
@@ -37,7 +38,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly OHLCV bars per event type: open/close at the first/last (ts, event_id)."""
-    e = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type", "value")
+    e = nan_to_null(read_table(spark, sf_dir, "events", "event_id", "ts", "event_type", "value"))
     hour = F.date_trunc("hour", F.col("ts")).cast(T.TimestampNTZType())
     order = F.struct("ts", "event_id")
     return (

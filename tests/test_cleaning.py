@@ -112,3 +112,20 @@ def test_to_numeric_coerce(spark):
 
     df = spark.createDataFrame([(" 1.5 ",), ("abc",), ("2e2",), (None,), ("1,000",)], "s string")
     assert [r[0] for r in df.select(to_numeric("s")).collect()] == [1.5, None, 200.0, None, None]
+
+
+def test_chg_7d_pads_before_dividing(spark):
+    # pandas default pct_change fills gaps first: [1, null, 4] over 1 period → 0.0, 3.0
+    rows = [("A-USD", 0, 1.0), ("A-USD", 1, None), ("A-USD", 2, 4.0)] + [("A-USD", i, 4.0) for i in range(3, 9)]
+    df = spark.createDataFrame(rows, "asset_name string, timestamp long, Close double") \
+        .withColumn("Open", F.lit(1.0)).withColumn("Volume", F.lit(1))
+    out = C.crypto_shape(df).orderBy("timestamp").collect()
+    assert out[7]["chg_7d"] == pytest.approx((4.0 / 1.0 - 1) * 100)   # 7 rows back is the first close
+    assert out[8]["chg_7d"] == pytest.approx((4.0 / 1.0 - 1) * 100)   # 7 rows back is the gap, padded with 1.0
+
+
+def test_nan_becomes_null(spark):
+    from barline.sources.tables import nan_to_null
+
+    df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "x double, k int")
+    assert [r["x"] for r in nan_to_null(df).orderBy("k").collect()] == [None, 2.0]
