@@ -885,8 +885,10 @@ def q_hyperparam_search(spark, sf):
 
 @register("param_override")
 def q_param_override(spark, sf):
-    """Configuration defaults overridden by the best search trial."""
-    return TR.effective_params(_searched(spark, sf), CFG)
+    """Best trial written as JSON, read back, applied over the configuration defaults."""
+    path = scratch_path(spark, "best-params")
+    TR.save_best_params(_searched(spark, sf), path)
+    return TR.effective_params(TR.load_best_params(spark, path), CFG)
 
 
 # ----------------------------------------------------------- streaming ----

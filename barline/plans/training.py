@@ -148,7 +148,7 @@ def draw_trials(n_trials: int, seed: int = 42) -> list[dict]:
 
 
 def hyperparam_search(spark: SparkSession, features: DataFrame, cfg: Config, n_trials: int = 10,
-                      seed: int = 42, parallelism: int = 10) -> DataFrame:
+                      seed: int = 42, parallelism: int = 4) -> DataFrame:
     """M7: random search; each trial fits stage 2 on the first 80 % of the stacked rows
     (chronological, per asset) and is scored by RMSE on the last 20 %.
 
@@ -196,11 +196,35 @@ def apply_best_params(cfg: Config, trials: DataFrame) -> Config:
     return override_params(cfg, best[0].asDict()) if best else cfg
 
 
-def effective_params(trials: DataFrame, cfg: Config) -> DataFrame:
-    """P17 table form: defaults overridden by the best trial (ints cast to int, floats to float)."""
+def save_best_params(trials: DataFrame, path: str) -> None:
+    """The best trial's parameters as a JSON table (floats stay float, counts int)."""
+    cols = []
+    for name, (_, _, kind) in SEARCH_SPACE.items():
+        cols.append(F.col(name).cast("long" if kind == "int" else "double").alias(name))
+    trials.where("best").limit(1).select(*cols).coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_best_params(spark: SparkSession, path: str) -> DataFrame:
+    """Read the tuned parameters back (explicit schema; a missing file gives no rows)."""
+    from pyspark.sql import types as T
+
+    from barline.sources.files import _exists
+
+    schema = T.StructType([T.StructField(n, T.LongType() if k == "int" else T.DoubleType())
+                           for n, (_, _, k) in SEARCH_SPACE.items()])
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(path)
+
+
+def effective_params(best_params: DataFrame, cfg: Config) -> DataFrame:
+    """P17 table form: defaults overridden by the tuned values (ints cast to int, floats to float).
+
+    ``best_params`` holds at most one row (the best trial, or the JSON of S6).
+    """
     from barline.config import PARAM_CASTS
 
-    best = trials.where("best").limit(1)
+    best = best_params.limit(1)
     cols = []
     for key, (section, name, cast) in PARAM_CASTS.items():
         default = getattr(getattr(cfg, section), name)

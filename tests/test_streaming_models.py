@@ -47,3 +47,31 @@ def test_next_forecast_l1(spark):
     assert len(out) == 5
     for r in out:
         assert r["forecast_price"] is not None and r["current_price"] > 0
+
+
+def test_best_params_json_roundtrip_and_override(spark, tmp_path):
+    from barline.config import Config
+    from barline.plans import training as TR
+
+    trials = spark.createDataFrame(
+        [(0, 55, 0.2, 0.001, 244, 3, 0.18, 0.77, 1.0, False), (1, 60, 0.3, 0.002, 100, 7, 0.1, 0.9, 0.5, True)],
+        "trial int, lstm_units long, lstm_dropout double, lstm_lr double, xgb_n_estimators long, "
+        "xgb_max_depth long, xgb_lr double, xgb_subsample double, rmse double, best boolean")
+    path = str(tmp_path / "best")
+    TR.save_best_params(trials, path)
+    back = TR.load_best_params(spark, path).collect()
+    assert len(back) == 1 and back[0]["xgb_max_depth"] == 7 and back[0]["lstm_units"] == 60
+    eff = TR.effective_params(TR.load_best_params(spark, path), Config()).collect()[0]
+    assert eff["boost_max_depth"] == 7 and eff["boost_learning_rate"] == 0.1 and eff["lookback_units"] == 60
+    missing = TR.load_best_params(spark, str(tmp_path / "none"))
+    assert missing.count() == 0
+
+
+def test_draw_trials_seeded_and_in_range():
+    from barline.plans.training import SEARCH_SPACE, draw_trials
+
+    a, b = draw_trials(10, 42), draw_trials(10, 42)
+    assert a == b and len(a) == 10
+    for t in a:
+        for name, (lo, hi, _) in SEARCH_SPACE.items():
+            assert lo <= t[name] <= hi
