@@ -64,15 +64,6 @@ def to_numeric(x: str | Column, data_type=None) -> Column:
     return parse_float(F.upper(_c(x).cast("string")))
 
 
-def clean_numeric_column(df_col_type, x: str | Column) -> Column:
-    """Numeric input passes through as double; text goes through ``clean_numeric``."""
-    from pyspark.sql.types import NumericType
-
-    if isinstance(df_col_type, NumericType):
-        return _c(x).cast("double")
-    return clean_numeric(x)
-
-
 def ratio(num: str | Column, den: str | Column) -> Column:
     """num / den with float semantics: x/0 → ±inf, 0/0 → null (NaN is missing)."""
     n, d = _c(num), _c(den)
