@@ -174,12 +174,12 @@ def q_crypto_shape(spark, sf):
 @register("union_assets", O.with_views(["stock_shaped", "crypto_shaped"], [], f"""
 SELECT timestamp, name, {O.r('last')} AS last, {O.r('high')} AS high, {O.r('low')} AS low,
        {O.r('chg_abs')} AS chg_abs, {O.r('chg_pct')} AS chg_pct, {O.r('vol')} AS vol,
-       NULL::VARCHAR AS symbol, NULL::DOUBLE AS price_usd, NULL::DOUBLE AS vol_24h, NULL::DOUBLE AS total_vol,
+       NULL::VARCHAR AS symbol, NULL::DOUBLE AS price_usd, NULL::BIGINT AS vol_24h, NULL::BIGINT AS total_vol,
        NULL::DOUBLE AS chg_24h, NULL::DOUBLE AS chg_7d, NULL::DOUBLE AS market_cap
 FROM stock_shaped
 UNION ALL
-SELECT timestamp, name, NULL, NULL, NULL, NULL, NULL, NULL, symbol, {O.r('price_usd')}, {O.r('vol_24h')},
-       {O.r('total_vol')}, {O.r('chg_24h')}, {O.r('chg_7d')}, {O.r('market_cap')}
+SELECT timestamp, name, NULL, NULL, NULL, NULL, NULL, NULL, symbol, {O.r('price_usd')}, vol_24h,
+       total_vol, {O.r('chg_24h')}, {O.r('chg_7d')}, {O.r('market_cap')}
 FROM crypto_shaped"""))
 def q_union_assets(spark, sf):
     """Stock and crypto tables stacked by name, missing columns null."""
@@ -434,7 +434,7 @@ TAIL_N = 365
 
 
 @register("tail_n", O.with_views(["prices"], [], f"""
-SELECT asset_name, ts, tie, round(price, 4) AS price, rank FROM (
+SELECT asset_name, ts, tie, round(price, 4) AS price, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY asset_name ORDER BY ts DESC, tie DESC) AS rank FROM prices)
 WHERE rank <= {TAIL_N}"""))
 def q_tail_n(spark, sf):
@@ -452,8 +452,8 @@ SELECT *, CASE WHEN n > 90 THEN (CASE WHEN rd > 30 THEN 'reference' ELSE 'curren
 FROM (SELECT *, row_number() OVER (PARTITION BY asset_name ORDER BY day DESC) AS rd,
              count(*) OVER (PARTITION BY asset_name) AS n FROM feat) WHERE rd <= 90"""
 _KS_SQL = """
-SELECT asset_name, "column", max(abs(f_ref - f_cur)) AS ks_stat, any_value(n_ref) AS n_ref,
-       any_value(n_cur) AS n_cur
+SELECT asset_name, "column", max(abs(f_ref - f_cur)) AS ks_stat, CAST(any_value(n_ref) AS BIGINT) AS n_ref,
+       CAST(any_value(n_cur) AS BIGINT) AS n_cur
 FROM (SELECT asset_name, "column",
              sum(CASE WHEN side = 'reference' THEN 1 ELSE 0 END) OVER w / sum(CASE WHEN side = 'reference' THEN 1 ELSE 0 END) OVER g AS f_ref,
              sum(CASE WHEN side = 'current' THEN 1 ELSE 0 END) OVER w / sum(CASE WHEN side = 'current' THEN 1 ELSE 0 END) OVER g AS f_cur,
@@ -531,7 +531,7 @@ SELECT *, CASE WHEN x_max = x_min THEN CAST(0 AS DOUBLE) ELSE (close - x_min) /
 FROM (SELECT *, min(close) OVER (PARTITION BY asset_name) AS x_min, max(close) OVER (PARTITION BY asset_name) AS x_max
       FROM feat)"""
 _SEQ_SQL = f"""
-SELECT *, rn - {LOOK_BACK} AS seq_idx FROM (
+SELECT *, CAST(rn - {LOOK_BACK} AS INTEGER) AS seq_idx FROM (
   SELECT *, row_number() OVER w AS rn, [{', '.join(f'lag(scaled, {k}) OVER w' for k in range(LOOK_BACK, 0, -1))}] AS seq
   FROM scaled WINDOW w AS (PARTITION BY asset_name ORDER BY day)) WHERE rn > {LOOK_BACK}"""
 _SPLIT3_SQL = f"""
