@@ -43,15 +43,13 @@ def clean_numeric(x: str | Column) -> Column:
     else a ``%`` is removed; anything that does not then parse is null.
     """
     s = F.upper(F.trim(F.regexp_replace(_c(x).cast("string"), r'[$,"]', "")))
-    millions = parse_float(F.regexp_replace(s, "M", "")) * F.lit(1_000_000.0)
-    billions = parse_float(F.regexp_replace(s, "B", "")) * F.lit(1_000_000_000.0)
-    plain = parse_float(F.regexp_replace(s, "%", ""))
-    return (
-        F.when(s.isNull(), F.lit(None).cast("double"))
-        .when(s.contains("M"), millions)
-        .when(s.contains("B"), billions)
-        .otherwise(plain)
-    )
+    has_m, has_b = s.contains("M"), s.contains("B")
+    body = (F.when(has_m, F.regexp_replace(s, "M", ""))
+            .when(has_b, F.regexp_replace(s, "B", ""))
+            .otherwise(F.regexp_replace(s, "%", "")))
+    scale = F.when(has_m, F.lit(1_000_000.0)).when(has_b, F.lit(1_000_000_000.0)).otherwise(F.lit(1.0))
+    # one parse of the branch-specific text (x·1.0 is exact, so the plain branch is unchanged)
+    return F.when(s.isNotNull(), parse_float(body) * scale)
 
 
 def to_numeric(x: str | Column, data_type=None) -> Column:
