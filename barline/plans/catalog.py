@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barline.config import FeatureConfig
-from barline.functions.ema import ema, span_alpha
 from barline.operators.calendar import daily_resample
-from barline.operators.indicators import add_indicators, panel_window
+from barline.operators.indicators import add_indicators
 from barline.plans import oracle as O
 from barline.plans.features import feature_table
 from barline.session import configure
@@ -101,14 +100,11 @@ SELECT d.asset_name, d.day, {O.r('m.ema_fast')} AS ema_fast, {O.r('m.ema_slow')}
 FROM (SELECT *, row_number() OVER (PARTITION BY asset_name ORDER BY day) AS rn FROM daily) d
 JOIN ema_macd m ON m.asset_name = d.asset_name AND m.rn = d.rn""", recursive=True))
 def q_ema(spark, sf):
-    """Fast and slow EMA of the daily close (span = MACD fast/slow)."""
-    w = panel_window()
-    d = _daily(spark, sf)
-    return rounded(d.select(
-        "asset_name", "day",
-        ema("close", span_alpha(FEATURES.macd_fast), w, FEATURES.macd_fast).alias("ema_fast"),
-        ema("close", span_alpha(FEATURES.macd_slow), w, FEATURES.macd_slow).alias("ema_slow"),
-    ))
+    """Fast and slow EMA of the daily close (span = MACD fast/slow), per-asset O(n) kernel."""
+    from barline.operators.indicators import ema_family
+
+    d = _daily(spark, sf).select("asset_name", "day", "close")
+    return rounded(ema_family(d, FEATURES, keep_emas=True).select("asset_name", "day", "ema_fast", "ema_slow"))
 
 
 FEATURE_COLS = ["close", "return", "log_return", *[f"ma_{n}" for n in FEATURES.moving_averages],

@@ -75,3 +75,20 @@ def test_draw_trials_seeded_and_in_range():
     for t in a:
         for name, (lo, hi, _) in SEARCH_SPACE.items():
             assert lo <= t[name] <= hi
+
+
+def test_ridge_matches_numpy_closed_form(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(40, 3))
+    y = 0.5 + x @ np.array([1.0, -2.0, 0.25]) + rng.normal(scale=0.1, size=40)
+    rows = [("A", [float(v) for v in xi], float(yi)) for xi, yi in zip(x, y)]
+    df = spark.createDataFrame(rows, "asset_name string, seq array<double>, y double")
+    lam = 0.3
+    got = np.array(MD.fit_lookback(df, 3, lam).collect()[0]["weights"])
+    z = np.hstack([np.ones((40, 1)), x])
+    pen = lam * np.eye(4)
+    pen[0, 0] = 0.0
+    want = np.linalg.solve(z.T @ z + pen, z.T @ y)
+    assert np.allclose(got, want, rtol=1e-9, atol=1e-9)
