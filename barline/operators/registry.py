@@ -71,10 +71,15 @@ def run_metrics_view(runs: DataFrame, metric_cols: list[str]) -> DataFrame:
 
 
 def newest_versions(versions: DataFrame) -> DataFrame:
-    """O2: newest version per model, versions compared as integers."""
+    """O2: newest version per model, versions compared as integers.
+
+    Registry versions are integer text, so the newest one is written back from
+    the integer maximum; with only long-typed buffers both aggregation phases
+    are hash aggregates (a string ``max_by`` buffer forces a sort of every row).
+    """
     v = F.col("version").cast("long")
     return versions.groupBy("model_name").agg(
-        F.max_by("version", v).alias("newest_version"), F.max_by("run_id", v).alias("newest_run_id"))
+        F.max(v).cast("string").alias("newest_version"), F.max_by("run_id", v).alias("newest_run_id"))
 
 
 def champions(aliases: DataFrame, versions: DataFrame) -> DataFrame:
