@@ -13,3 +13,23 @@ nothing is collected to the driver.  Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions and classes by value.
+
+    Grouped maps, ``mapInPandas`` kernels and stateful streaming functions
+    close over barline objects (configs, helpers).  Registered by value, they
+    reach the Python workers inside the task payload, so executors need only
+    pyspark, numpy and pandas, not an installed copy of this package.
+    """
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover - pyspark absent
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()
