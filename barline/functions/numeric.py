@@ -29,7 +29,7 @@ def parse_float(text: Column) -> Column:
     """
     t = F.trim(text)
     number = F.when(
-        t.rlike(FLOAT_TEXT), F.regexp_replace(t, "_", "").try_cast("double")
+        t.rlike(FLOAT_TEXT), F.translate(t, "_", "").try_cast("double")
     )
     inf = F.when(t.rlike(INF_TEXT), F.when(t.startswith("-"), F.lit(-INF)).otherwise(F.lit(INF)))
     return F.coalesce(number, inf)
@@ -42,11 +42,13 @@ def clean_numeric(x: str | Column) -> Column:
     ``M`` anywhere means millions (every M removed), else ``B`` means billions,
     else a ``%`` is removed; anything that does not then parse is null.
     """
-    s = F.upper(F.trim(F.regexp_replace(_c(x).cast("string"), r'[$,"]', "")))
+    # character deletions are plain translate/replace calls, not regex scans
+    s = F.upper(F.trim(F.translate(_c(x).cast("string"), '$,"', "")))
     has_m, has_b = s.contains("M"), s.contains("B")
-    body = (F.when(has_m, F.regexp_replace(s, "M", ""))
-            .when(has_b, F.regexp_replace(s, "B", ""))
-            .otherwise(F.regexp_replace(s, "%", "")))
+    none = F.lit("")
+    body = (F.when(has_m, F.replace(s, F.lit("M"), none))
+            .when(has_b, F.replace(s, F.lit("B"), none))
+            .otherwise(F.replace(s, F.lit("%"), none)))
     scale = F.when(has_m, F.lit(1_000_000.0)).when(has_b, F.lit(1_000_000_000.0)).otherwise(F.lit(1.0))
     # one parse of the branch-specific text (x·1.0 is exact, so the plain branch is unchanged)
     return F.when(s.isNotNull(), parse_float(body) * scale)
