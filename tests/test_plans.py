@@ -35,3 +35,14 @@ def test_serving_list_is_broadcast(spark):
 def test_no_cartesian_or_nested_loop_joins(spark, key):
     p = QUERIES[key](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+@pytest.mark.parametrize("key", ["champion_promotion", "daily_resample", "dq_checks", "forecast_metrics"])
+def test_aggregations_are_hash_aggregates(spark, key):
+    p = _plan(QUERIES[key](spark, SF001))
+    assert "SortAggregate" not in p, p
+
+
+def test_clean_numeric_scans_only_the_needed_columns(spark):
+    p = _plan(QUERIES["clean_numeric"](spark, SF001))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in p, p
