@@ -12,6 +12,10 @@ to one task.  On raw event tables an asset can hold a third of all rows, so
 4. the carry is joined back on ``(keys, block)``; the big side is already
    hash-partitioned on those keys by step 1, so only the summary moves.
 
+The block is a parameter: where a single asset-day is itself hot, a finer
+monotone block (``date_trunc('hour', ts)``, or minutes) spreads it over more
+tasks; the summary grows only to keys x blocks.
+
 Series that are already daily (one row per asset and day) are bounded by the
 calendar, and ordinary windows over ``asset`` are used for them.
 """
