@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,11 +58,64 @@ def ks_pvalue(n1: Column, n2: Column, d: Column, terms: int = KS_TERMS) -> Colum
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
-def ks_statistics(split: DataFrame, columns: Sequence[str], key: str = "asset_name") -> DataFrame:
+def exact_tail_probability(m: int, n: int, d: float) -> float:
+    """P(D >= d) for two samples of sizes ``m`` and ``n`` under the null (no ties).
+
+    Every interleaving of the pooled sorted sample is a monotone lattice path
+    from (0, 0) to (m, n), all C(m+n, m) equally likely; after x reference and
+    y current values the ECDF gap is |x/m - y/n|.  The paths whose gap stays
+    below d satisfy |x n - y m| < d m n at every point; column by column their
+    counts are a cumulative sum over the contiguous band of allowed y.  Columns
+    are rescaled as they grow, so large samples do not overflow.
+    """
+    import math
+
+    import numpy as np
+
+    if m <= 0 or n <= 0 or d is None or math.isnan(d):
+        return math.nan
+    t = round(d * m * n)  # D·m·n is an integer at the point where the gap peaks
+    if t <= 0:
+        return 1.0
+    y = np.arange(n + 1)
+    col = (y * m < t).astype(np.float64)
+    log_scale = 0.0
+    for x in range(1, m + 1):
+        band = np.abs(x * n - y * m) < t
+        col = np.where(band, np.cumsum(np.where(band, col, 0.0)), 0.0)
+        top = col.max()
+        if top <= 0.0:
+            return 1.0
+        col /= top
+        log_scale += math.log(top)
+    if col[n] <= 0.0:
+        return 1.0
+    log_total = math.lgamma(m + n + 1) - math.lgamma(m + 1) - math.lgamma(n + 1)
+    inside = math.exp(math.log(col[n]) + log_scale - log_total)
+    return min(max(1.0 - inside, 0.0), 1.0)
+
+
+def ks_exact_pvalue(n1: Column, n2: Column, d: Column) -> Column:
+    """Exact two-sided KS p-value as a vectorised UDF over the (asset, column) table,
+    which has one row per asset and tested column."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("double")
+    def _p(a: pd.Series, b: pd.Series, dd: pd.Series) -> pd.Series:
+        return pd.Series([exact_tail_probability(int(i), int(j), float(k)) if pd.notna(i) and pd.notna(j)
+                          and pd.notna(k) else None for i, j, k in zip(a, b, dd)], dtype="float64")
+
+    return _p(n1, n2, d)
+
+
+def ks_statistics(split: DataFrame, columns: Sequence[str], key: str = "asset_name",
+                  exact: bool = False) -> DataFrame:
     """Per (asset, column) the KS distance D between reference and current values.
 
     Values are unpivoted to long form; each (asset, column) group holds at most
     90 rows.  ECDFs come from RANGE-frame running counts (ties share a step).
+    ``exact`` selects the exact small-sample p-value (lattice-path count)
+    instead of the asymptotic Kolmogorov series.
     """
     long = split.unpivot([key, "side"], list(columns), "column", "value").where(F.col("value").isNotNull())
     g = Window.partitionBy(key, "column")
@@ -78,7 +132,10 @@ def ks_statistics(split: DataFrame, columns: Sequence[str], key: str = "asset_na
     stats = cdf.groupBy(key, "column").agg(
         F.max(F.abs(F.col("f_ref") - F.col("f_cur"))).alias("ks_stat"),
         F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"))
-    p = ks_pvalue(F.col("n_ref").cast("double"), F.col("n_cur").cast("double"), F.col("ks_stat"))
+    if exact:
+        p = ks_exact_pvalue(F.col("n_ref"), F.col("n_cur"), F.col("ks_stat"))
+    else:
+        p = ks_pvalue(F.col("n_ref").cast("double"), F.col("n_cur").cast("double"), F.col("ks_stat"))
     return stats.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < F.lit(P_THRESHOLD))
 
 

@@ -482,9 +482,9 @@ def q_drift_split(spark, sf):
     return D.split_reference_current(_features(spark, sf)).select("asset_name", "day", "side")
 
 
-def _ks(spark, sf):
+def _ks(spark, sf, exact: bool = False):
     f = _features(spark, sf)
-    return D.ks_statistics(D.split_reference_current(f), D.drift_columns(f))
+    return D.ks_statistics(D.split_reference_current(f), D.drift_columns(f), exact=exact)
 
 
 @register("drift_ks", O.with_views(["daily"], _FEAT + [("split", _SPLIT_SQL), ("ks", _KS_SQL), ("ksp", _KSP_SQL)],
@@ -495,6 +495,13 @@ def q_drift_ks(spark, sf):
     return rounded(_ks(spark, sf).select("asset_name", "column", "ks_stat", "n_ref", "n_cur", "p_value", "drifted"))
 
 
+@register("drift_ks_exact")
+def q_drift_ks_exact(spark, sf):
+    """A21 with the exact small-sample p-value (lattice-path count) in place of the series."""
+    return rounded(_ks(spark, sf, exact=True).select(
+        "asset_name", "column", "ks_stat", "n_ref", "n_cur", "p_value", "drifted"))
+
+
 @register("drift_summary", O.with_views(["daily"], _FEAT + [("split", _SPLIT_SQL), ("ks", _KS_SQL), ("ksp", _KSP_SQL)],
                                         """
 SELECT asset_name, count(*) AS n_columns, count(*) FILTER (WHERE p_value < 0.05) AS n_drifted,

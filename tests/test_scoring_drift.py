@@ -97,3 +97,63 @@ def test_score_requests_values(spark):
     # last two closes of request 1 are 10 and 11 → scaled 1.0, 1.1 → mean 1.05 → 10.5
     assert out[1]["status"] == "ok" and out[1]["prediction"] == pytest.approx(10.5)
     assert out[2]["prediction"] is None and out[3]["prediction"] is None
+
+
+def _brute_force_p(ref, cur):
+    """Share of all relabellings of the pooled sample whose KS distance reaches the observed one."""
+    import itertools
+
+    import numpy as np
+
+    def dist(a, b):
+        grid = np.sort(np.concatenate([a, b]))
+        fa = np.searchsorted(np.sort(a), grid, side="right") / len(a)
+        fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
+        return np.max(np.abs(fa - fb))
+
+    pooled = np.concatenate([ref, cur])
+    d_obs = dist(ref, cur)
+    idx = range(len(pooled))
+    hits = total = 0
+    for pick in itertools.combinations(idx, len(ref)):
+        mask = np.zeros(len(pooled), bool)
+        mask[list(pick)] = True
+        total += 1
+        hits += dist(pooled[mask], pooled[~mask]) >= d_obs - 1e-12
+    return d_obs, hits / total
+
+
+@pytest.mark.parametrize("m,n,seed", [(3, 4, 0), (5, 5, 1), (6, 3, 2), (7, 8, 3), (4, 9, 4)])
+def test_exact_ks_p_matches_enumeration(m, n, seed):
+    import numpy as np
+
+    from barline.operators.drift import exact_tail_probability
+
+    rng = np.random.default_rng(seed)
+    ref, cur = rng.normal(size=m), rng.normal(0.7, 1.0, size=n)
+    d, want = _brute_force_p(ref, cur)
+    assert exact_tail_probability(m, n, float(d)) == pytest.approx(want, rel=1e-12, abs=1e-15)
+
+
+def test_exact_ks_p_known_values_and_large_samples():
+    from barline.operators.drift import exact_tail_probability
+
+    # fully separated samples of 3 and 3: 2 of the C(6,3) = 20 orders reach D = 1
+    assert exact_tail_probability(3, 3, 1.0) == pytest.approx(0.1, rel=1e-12)
+    assert exact_tail_probability(5, 7, 0.0) == 1.0
+    # large samples: finite, in [0, 1], monotone in d
+    ps = [exact_tail_probability(2000, 1500, d) for d in (0.02, 0.05, 0.08)]
+    assert all(0.0 <= p <= 1.0 for p in ps) and ps[0] > ps[1] > ps[2]
+
+
+def test_exact_ks_key_agrees_with_local_p_values(spark):
+    from barline.operators.drift import exact_tail_probability
+    from barline.plans.catalog import QUERIES
+    from conftest import SF001
+
+    rows = QUERIES["drift_ks_exact"](spark, SF001).collect()
+    assert rows
+    for r in rows:
+        want = exact_tail_probability(r.n_ref, r.n_cur, r.ks_stat)
+        assert r.p_value == pytest.approx(round(want, 4), abs=1e-4)
+        assert r.drifted == (want < 0.05)
