@@ -154,6 +154,19 @@ def asset_frame(spark: SparkSession, cfg: Config) -> DataFrame:
     return stocks.unionByName(cryptos)
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast hint for frames whose size is bounded by configuration."""
-    return F.broadcast(df)
+# Row bound under which a join side is broadcast explicitly (narrow dimension
+# rows: well under Spark's broadcast size limits).
+BROADCAST_MAX_ROWS = 100_000
+
+
+def small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint behind a size check.
+
+    The check counts at most ``max_rows + 1`` rows (the limit stops the
+    scan), so it stays cheap whatever the frame.  A frame over the bound is
+    returned without a hint: the planner and AQE then choose the join from
+    measured sizes (shuffle join with skew splitting when it is large).
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

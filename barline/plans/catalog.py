@@ -966,7 +966,7 @@ def q_batch_predict_values(spark, sf):
     scaler = s1.scaled.groupBy("asset_name").agg(F.first("x_min").alias("x_min"), F.first("x_max").alias("x_max"))
     fitted = scaler.join(s1.weights, "asset_name")
     mapping = spark.createDataFrame(list(SERVED_MODELS.items()), "serving_name string, asset_name string")
-    models = F.broadcast(mapping).join(fitted, "asset_name").select(
+    models = small(mapping).join(fitted, "asset_name").select(
         F.col("serving_name").alias("asset_name"), "x_min", "x_max", "weights")
     out = S.score_requests(fx.requests(spark, sf), models, LOOK_BACK)
     return rounded(out.withColumn("n_rows", F.col("n_rows").cast("long")))

@@ -31,13 +31,14 @@ def feature_table(prices: DataFrame, cfg: FeatureConfig = FeatureConfig(), key:
     from pyspark.sql import functions as F
     from pyspark.sql.types import StringType
 
+    from barline.config import small
     from barline.functions.numeric import to_numeric
 
     if isinstance(prices.schema[value].dataType, StringType):
         prices = prices.withColumn(value, to_numeric(value))
     if assets is not None:
         prices = prices.drop(*[c for c in ("asset_type",) if c in prices.columns])
-        prices = prices.join(F.broadcast(assets.select(key, "asset_type")), key, "inner")
+        prices = prices.join(small(assets.select(key, "asset_type")), key, "inner")
         asset_type = "asset_type"
     attrs = (asset_type,) if asset_type and asset_type in prices.columns else ()
     panel = feature_panel(prices, cfg, key, ts, value, tie, attrs)

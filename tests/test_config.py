@@ -25,3 +25,17 @@ def test_params_roundtrip(tmp_path):
     got = json.loads(p.read_text())
     assert got == {"lstm_units": 55, "lstm_dropout": 0.2, "xgb_max_depth": 3}
     assert load_params(tmp_path / "missing.json") == {}
+
+
+def test_broadcast_hint_only_within_the_checked_bound(spark):
+    from barline.config import small
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(small(spark.range(3), max_rows=5))
+    assert hinted(small(spark.range(5), max_rows=5))
+    assert not hinted(small(spark.range(6), max_rows=5))
+    big = small(spark.range(1000), max_rows=5)
+    joined = spark.range(2000).join(big, "id")
+    assert joined.count() == 1000
