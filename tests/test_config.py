@@ -39,3 +39,17 @@ def test_broadcast_hint_only_within_the_checked_bound(spark):
     big = small(spark.range(1000), max_rows=5)
     joined = spark.range(2000).join(big, "id")
     assert joined.count() == 1000
+
+
+def test_every_explicit_broadcast_goes_through_the_size_check():
+    import pathlib
+    import re
+
+    root = pathlib.Path(__file__).resolve().parents[1] / "barline"
+    offenders = []
+    for path in root.rglob("*.py"):
+        for no, line in enumerate(path.read_text().splitlines(), 1):
+            code = line.split("#", 1)[0]
+            if re.search(r"\bbroadcast\(", code) and not (path.name == "config.py" and "F.broadcast(df)" in code):
+                offenders.append(f"{path.relative_to(root)}:{no}: {line.strip()}")
+    assert not offenders, offenders
