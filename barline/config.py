@@ -162,8 +162,9 @@ BROADCAST_MAX_ROWS = 100_000
 def small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint behind a size check.
 
-    The check counts at most ``max_rows + 1`` rows (the limit stops the
-    scan), so it stays cheap whatever the frame.  A frame over the bound is
+    The check is a small eager job at plan-building time that counts at most
+    ``max_rows + 1`` rows (the limit stops the scan), so it stays cheap
+    whatever the frame; cache a derived frame first if it feeds several joins.  A frame over the bound is
     returned without a hint: the planner and AQE then choose the join from
     measured sizes (shuffle join with skew splitting when it is large).
     """
