@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import host_quality, token_blocks
+from barline.llm import host_quality, language, token_blocks, toxicity
 from barline.llm.text import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,13 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (toxicity.remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 @query
 def op3_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_quality.host_quality(table(spark, sf_dir, "documents"))
@@ -66,6 +73,13 @@ FROM judged JOIN hosts h ON judged.source IS NOT DISTINCT FROM h.source, weight
 """
 
 
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text", "lang")
+    told = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    return told.select("doc_id", (toxicity.remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 @query
 def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)

@@ -93,6 +93,12 @@ def byte_view(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of the concatenated ranges [start, start + size)."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
 MIX1, MIX2, MULT = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
@@ -113,6 +119,9 @@ def place_terms(n: int, seed: int = 0) -> np.ndarray:
         return mix((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed << 40)) * MIX1) | np.uint64(1)
 
 
+PLACES = place_terms(64, seed=1)
+
+
 def hash_strings(words: pa.Array, seed: int = 0) -> np.ndarray:
     """A 64-bit multilinear hash of each string's bytes, mixed with its length."""
     raw, off = byte_view(words)
@@ -147,7 +156,7 @@ def rolling(x: np.ndarray, k: int) -> np.ndarray:
 
 def subword_ids(words: pa.Array, sizes: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashed byte n-grams of ``<word>``: (index of the word, bucket) for every n-gram of the given sizes."""
-    marked = pc.binary_join_element_wise("<", words.cast(pa.large_string()), ">", "")
+    marked = pc.binary_join_element_wise(*[x.cast(pa.large_string()) for x in (pa.scalar("<"), words, pa.scalar(">"), pa.scalar(""))])
     raw, off = byte_view(marked)
     size = np.diff(off)
     owner = np.repeat(np.arange(len(size)), size)
@@ -162,7 +171,7 @@ def subword_ids(words: pa.Array, sizes: tuple[int, ...], buckets: int) -> tuple[
                 code = code * np.uint64(257) + x[j:len(x) - k + 1 + j] + np.uint64(1)
         inside = owner[:len(code)] == owner[k - 1:k - 1 + len(code)]
         at.append(owner[:len(code)][inside])
-        ids.append((mix(code[inside] + np.uint64(k) * MULT) % np.uint64(buckets)).astype(np.int64))
+        ids.append((mix(code[inside] ^ PLACES[k]) % np.uint64(buckets)).astype(np.int64))
     if not at:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(at), np.concatenate(ids)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.text import Words, byte_view, hash_strings, pieces, prepare, split_words
+from barline.llm.text import Words, byte_view, hash_strings, pieces, prepare, ragged, split_words
 
 BLOCK = 256
 PERCENTILE = 90
@@ -218,12 +218,6 @@ def cut_simple(text: pa.Array) -> Words:
     return Words(coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), np.searchsorted(starts, off))
 
 
-def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Indices of the concatenated ranges [start, start + size)."""
-    ends = np.cumsum(sizes)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
-
-
 def _encode(words: Words, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     flat, starts, sizes = table
     per_word = sizes[words.codes]
