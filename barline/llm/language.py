@@ -34,7 +34,7 @@ from barline.llm.toxicity import remainder
 BUCKETS = 1 << 16
 SIZES = (2, 3, 4)
 EMBED = 16
-MAX_TRAIN = 4000
+MAX_TRAIN = 2000
 UPDATES = 600
 BATCH = 64
 RATE = 0.5

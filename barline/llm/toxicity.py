@@ -21,6 +21,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,12 +42,13 @@ EMBED = 8
 CHAR_BUCKETS = 1 << 17
 CHAR_SIZES = (3, 4)
 MIN_DOCS = 3
-MAX_PER_CLASS = 1500
+MAX_PER_CLASS = 1000
 UPDATES = 400
 BATCH_DOCS = 20  # of each class
 TRAIN_WINDOWS = 32  # of one document in one update, evenly spread
 RATE = 0.02
 DECAY = 1e-5
+CHECK_EVERY = 25
 THRESHOLD = 0.3
 SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -61,9 +63,12 @@ class Inputs:
     n_chars: np.ndarray
     chars: np.ndarray
 
+    @functools.cached_property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.n_chars) - self.n_chars
+
     def select(self, words: np.ndarray) -> Inputs:
-        starts = np.cumsum(self.n_chars) - self.n_chars
-        return Inputs(self.key[words], self.n_chars[words], self.chars[ragged(starts[words], self.n_chars[words])])
+        return Inputs(self.key[words], self.n_chars[words], self.chars[ragged(self.starts[words], self.n_chars[words])])
 
 
 def word_inputs(uniques: pa.Array) -> Inputs:
@@ -90,7 +95,7 @@ GATES = ("update", "reset", "candidate")
 def initial(n_words: int, seed: int = 7) -> dict[str, np.ndarray]:
     """Parameters; ``word`` has a row for each known word and a last one, always 0, for all others."""
     rng = np.random.default_rng(seed)
-    p = {"word": np.zeros((n_words + 1, EMBED)), "char": 0.3 * rng.standard_normal((CHAR_BUCKETS, EMBED)),
+    p = {"word": np.zeros((n_words + 1, EMBED)), "char": 0.05 * rng.standard_normal((CHAR_BUCKETS, EMBED)),
          "attend": 0.3 * rng.standard_normal(2 * HIDDEN), "out": 0.5 * rng.standard_normal(2 * HIDDEN), "bias": np.zeros(1)}
     for side in "fb":
         for gate in GATES:
@@ -276,31 +281,53 @@ def calibrate(logit: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: i
     return float(max(ab[0], 1e-3)), float(ab[1])
 
 
-def known_words(words: Words, x: Inputs) -> np.ndarray:
-    """Sorted keys of the words found in at least ``MIN_DOCS`` of the sample's texts: the rows of the word table."""
-    pairs = np.unique(words.owners * np.int64(len(x.key) + 1) + words.codes) % (len(x.key) + 1)
+def frequent(words: Words, x: Inputs) -> tuple[np.ndarray, np.ndarray]:
+    """What is found in at least ``MIN_DOCS`` of the sample's texts: sorted word keys, and a flag per n-gram bucket.
+
+    Only these are learnt; rarer ones would let the network remember single texts.
+    """
     keys, at = np.unique(x.key, return_inverse=True)
-    return keys[np.bincount(at[pairs], minlength=len(keys)) >= MIN_DOCS]
+    in_texts, of_grams = np.zeros(len(keys), np.int64), np.zeros(CHAR_BUCKETS, np.int64)
+    for a, b in zip(words.starts[:-1], words.starts[1:]):
+        own = np.unique(words.codes[a:b])
+        in_texts[np.unique(at[own])] += 1
+        of_grams[np.unique(x.select(own).chars)] += 1
+    return keys[in_texts >= MIN_DOCS], of_grams >= MIN_DOCS
+
+
+def log_loss(logit: np.ndarray, label: np.ndarray) -> float:
+    """Mean logistic loss, both classes weighing the same."""
+    loss = np.logaddexp(0, np.where(label == 1, -logit, logit))
+    return float(sum(loss[label == k].mean() for k in (0, 1) if (label == k).any()))
 
 
 def train(texts: list[str], labels: np.ndarray, prior: float, updates: int = UPDATES, seed: int = 7) -> dict[str, np.ndarray]:
     """Fit the network on whole texts; ``prior`` is the share of toxic documents, for calibration.
 
-    Every fourth text is kept from the updates and serves the calibration.
+    Every fourth text is kept from the updates: the weights with the least loss on
+    these texts are returned, calibrated on them.
     """
     rng = np.random.default_rng(seed)
     words = split_words(pa.array(texts, pa.string()))
     x = word_inputs(words.uniques)
-    known = known_words(words, x)
+    known, common = frequent(words, x)
     rows = word_rows(x.key, known)
     w_owner, w_first, w_size = windows(words.counts, words.starts)
     w_from = np.searchsorted(w_owner, np.arange(len(texts) + 1))
     spare = np.arange(len(texts)) % 4 == 3
     usable = (np.diff(w_from) > 0) & ~spare
     groups = [np.flatnonzero((labels == k) & usable) for k in (0, 1)]
-    p = initial(len(known), seed)
-    adam = Adam(p)
+    p = initial(len(known), seed) | {"known": known}
+    p["char"][~common] = 0
+    adam = Adam({k: v for k, v in p.items() if k != "known"})
+    kept, least = {k: v.copy() for k, v in p.items()}, np.inf
+    checked = np.flatnonzero(spare & (np.diff(w_from) > 0))
+    seen = words.codes[ragged(words.starts[checked], words.counts[checked])]
+    check_words = np.unique(seen)
     code = np.zeros(len(words.uniques), np.int64)
+    code[check_words] = np.arange(len(check_words))
+    check = Words(words.uniques, code[seen], np.concatenate([[0], np.cumsum(words.counts[checked])]))
+    check_inputs = x.select(check_words)
     for step in range(updates if min(map(len, groups)) else 0):
         docs = np.concatenate([rng.choice(own, min(BATCH_DOCS, len(own)), replace=False) for own in groups])
         cand = np.concatenate([np.unique(np.linspace(w_from[d], w_from[d + 1] - 1, TRAIN_WINDOWS).astype(np.int64)) for d in docs])
@@ -312,8 +339,10 @@ def train(texts: list[str], labels: np.ndarray, prior: float, updates: int = UPD
         part = x.select(used)
         vectors = embed(p, part, rows[used])
         gates = {side: gate_inputs(p, vectors, side) for side in "fb"}
-        # a document counts through its highest window under the present weights
+        # a document counts through its highest window under the present weights; toxic ones at first by any window
         logit = window_logits(p, view, gates, first, w_size[cand])
+        if step < updates // 3:
+            logit = np.where(labels[w_owner[cand]] == 1, rng.random(len(cand)), logit)
         ends = np.flatnonzero(np.diff(w_owner[cand], append=-1)) + 1
         top = np.array([a + np.argmax(logit[a:b]) for a, b in zip(np.append(0, ends[:-1]), ends)])
         steps, mask = window_steps(view.codes, first[top], w_size[cand][top])
@@ -325,14 +354,18 @@ def train(texts: list[str], labels: np.ndarray, prior: float, updates: int = UPD
         g = gradient(p, part, rows[used], vectors, steps, mask, cache, d)
         g["word"] += DECAY * p["word"]
         g["char"] += DECAY * p["char"]
+        g["char"][~common] = 0
         adam.step(p, g, RATE * (1 - step / updates) + 1e-4)
-    p["known"] = known
-    logit = document_logits(p, words, x).astype(np.float64)
-    fit_on = np.isfinite(logit) & spare
-    n1, n0 = (max(1, int((labels[fit_on] == k).sum())) for k in (1, 0))
-    weight = np.where(labels == 1, prior / n1, (1 - prior) / n0) * (n0 + n1)
-    p["platt"] = np.array(calibrate(logit[fit_on], labels[fit_on], weight[fit_on]))
-    return p
+        if len(checked) and step % CHECK_EVERY == CHECK_EVERY - 1:
+            loss = log_loss(document_logits(p, check, check_inputs), labels[checked])
+            if loss < least:
+                kept, least = {k: v.copy() for k, v in p.items()}, loss
+    logit = document_logits(kept, check, check_inputs).astype(np.float64)
+    y = labels[checked]
+    n1, n0 = (max(1, int((y == k).sum())) for k in (1, 0))
+    weight = np.where(y == 1, prior / n1, (1 - prior) / n0) * (n0 + n1)
+    kept["platt"] = np.array(calibrate(logit, y, weight))
+    return kept
 
 
 # ---------------------------------------------------------------- Spark
