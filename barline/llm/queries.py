@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import chat_format, decontaminate, host_quality, language, mixing, sharding, token_blocks, toxicity
+from barline.llm import chat_format, decontaminate, host_quality, language, mixing, sharding, substring_dedup, token_blocks, toxicity
 from barline.llm.text import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,6 +191,31 @@ def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.read_tokens(spark, path)
 
 
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = substring_dedup.remove_repeats(table(prepare(spark), sf_dir, "documents"))
+    return told.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE["op9_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT rid, doc_id, i, md5(array_to_string(w[i:i+49], ' ')) AS key
+  FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+first AS (SELECT key, min(doc_id) AS first FROM win GROUP BY key),
+gone AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 50)) AS p FROM win JOIN first USING (key) WHERE first < doc_id),
+pos AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM pos WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.rid = pos.rid AND gone.p = pos.p) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.rid = kept.rid
+"""
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id")

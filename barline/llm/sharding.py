@@ -34,27 +34,33 @@ def lookup_table(spark: SparkSession, shards: int = SHARDS, slots: int = SLOTS)
     prefs = F.transform(names, lambda name: F.struct(
         (hashed(name) % slots).cast("int").alias("offset"),
         (hashed(name, 17) % (slots - 1) + 1).cast("int").alias("skip")))
-    start = F.struct(F.array_repeat(F.lit(-1), slots).alias("owner"), F.array_repeat(F.lit(0), shards).alias("next"))
+    start = F.struct(prefs.alias("prefs"), F.array_repeat(F.lit(-1), slots).alias("owner"),
+                     F.array_repeat(F.lit(0), shards).alias("next"))
+
+    def bound(value: Column, use) -> Column:
+        """``use(value)`` with the value computed once."""
+        return F.transform(F.array(value), use)[0]
 
     def turn(state: Column, t: Column) -> Column:
         shard = (t % shards).cast("int")
-        pref, owner, first = F.col("prefs")[shard], state["owner"], state["next"][shard]
+        owner, pref, first = state["owner"], state["prefs"][shard], state["next"][shard]
+        slot_of = lambda j: ((pref["offset"] + j.cast("long") * pref["skip"]) % slots).cast("int")
 
         def free(low: Column, high: Column) -> Column:
-            slot_of = lambda j: ((pref["offset"] + j.cast("long") * pref["skip"]) % slots).cast("int")
             return F.get(F.filter(F.sequence(low, high), lambda j: F.get(owner, slot_of(j)) < 0), F.lit(0))
 
+        def claimed(j: Column) -> Column:
+            return bound(slot_of(j), lambda slot: F.struct(
+                state["prefs"].alias("prefs"),
+                F.concat(F.slice(owner, F.lit(1), slot), F.array(shard), F.slice(owner, slot + 2, F.lit(slots))).alias("owner"),
+                F.concat(F.slice(state["next"], F.lit(1), shard), F.array(j + 1),
+                         F.slice(state["next"], shard + 2, F.lit(shards))).alias("next")))
+
         top = F.lit(slots - 1)
-        j = F.coalesce(free(first, F.least(first + NEAR, top)), free(F.least(first + NEAR, top), top))
-        slot = ((pref["offset"] + j.cast("long") * pref["skip"]) % slots).cast("int")
-        return F.struct(
-            F.concat(F.slice(owner, F.lit(1), slot), F.array(shard), F.slice(owner, slot + 2, F.lit(slots))).alias("owner"),
-            F.concat(F.slice(state["next"], F.lit(1), shard), F.array(j + 1),
-                     F.slice(state["next"], shard + 2, F.lit(shards))).alias("next"))
+        return bound(F.coalesce(free(first, F.least(first + NEAR, top)), free(F.least(first + NEAR, top), top)), claimed)
 
     filled = F.aggregate(F.sequence(F.lit(0), F.lit(slots - 1)), start, turn, lambda state: state["owner"])
-    return spark.range(1).select(prefs.alias("prefs")).select(filled.alias("owner")).select(
-        F.posexplode("owner").alias("slot", "shard"))
+    return spark.range(1).select(filled.alias("owner")).select(F.posexplode("owner").alias("slot", "shard"))
 
 
 def place(df: DataFrame, key: str, table: DataFrame, slots: int = SLOTS) -> DataFrame:
