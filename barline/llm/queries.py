@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import chat_format, decontaminate, host_quality, language, mixing, sharding, substring_dedup, token_blocks, toxicity
+from barline.llm import chat_format, decontaminate, host_quality, language, mixing, near_dedup, sharding, substring_dedup, token_blocks, toxicity
 from barline.llm.text import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,6 +176,11 @@ FROM c
 """
 
 
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(prepare(spark), sf_dir, "documents"))
+
+
 @query
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text", "lang")
