@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barline.llm.text import n_words, prepare, written
+from barline.llm.text import fresh, n_words, prepare, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -110,11 +110,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Rows join by source, id and text hash; repeated rows alike each get the
     rounded mean of their copies.
     """
-    chosen = mix(docs).groupBy("doc_id", "tie", "source").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("source").alias("_source"),
-                           (F.col("_copies") / F.col("_rows")).alias("_each"))
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    joined = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["_id"]) & (rows["_hash"] == chosen["_tie"])
-                       & rows["source"].eqNullSafe(chosen["_source"]))
-    copies = F.round("_each").cast("long")
-    return joined.withColumn("_copy", F.explode(repeat(copies))).select(*[docs[c] for c in docs.columns])
+    each, tie, copy, columns = fresh(docs, "_each"), fresh(docs, "_tie"), fresh(docs, "_copy"), docs.columns
+    chosen = mix(docs).groupBy("doc_id", "tie", "source").agg(F.round(F.sum("copies") / F.count(F.lit(1))).cast("long").alias(each))
+    chosen = chosen.select(F.col("doc_id").alias("_i"), F.col("tie").alias("_t"), F.col("source").alias("_s"), each)
+    rows = docs.withColumn(tie, F.xxhash64("text"))
+    joined = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["_i"]) & (rows[tie] == chosen["_t"])
+                       & rows["source"].eqNullSafe(chosen["_s"]))
+    return joined.withColumn(copy, F.explode(repeat(F.col(each)))).select(*[rows[c] for c in columns])

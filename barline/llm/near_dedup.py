@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.text import MIX1, MULT, Words, hash_strings, mix, pieces, prepare, ragged, rolling, split_words, written
+from barline.llm.text import MIX1, MULT, Words, fresh, hash_strings, mix, pieces, prepare, rolling, split_words, written
 
 SHINGLE = 5
 THRESHOLD = (8, 10)  # a fraction, compared in integers
@@ -274,7 +274,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one row of the smallest document of each class."""
-    classes = near_duplicates(docs.select("doc_id", "text"))
-    kept = classes.select(F.col("class_id").alias("_node")).distinct()
-    rows = docs.withColumn("_node", node_of(F.col("doc_id"), F.col("text"))).join(kept, "_node", "left_semi")
-    return rows.dropDuplicates(["_node"]).select(*[docs[c] for c in docs.columns])
+    node, columns = fresh(docs, "_node"), docs.columns
+    kept = near_duplicates(docs.select("doc_id", "text")).select(F.col("class_id").alias(node)).distinct()
+    rows = docs.withColumn(node, node_of(F.col("doc_id"), F.col("text"))).join(kept, node, "left_semi")
+    return rows.dropDuplicates([node]).select(*columns)

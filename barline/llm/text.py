@@ -16,6 +16,13 @@ from pyspark.sql import functions as F
 
 from barline.session import configure, ensure_checkpoint_dir, scratch_path
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 WORD = r"[^\x20\x09-\x0D]+"
 NOT_WORD = r"[\x20\x09-\x0D]+"
 

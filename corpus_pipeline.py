@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 
 from barline.llm import decontaminate, mixing, near_dedup, token_blocks, toxicity
 from barline.llm.queries import tokenizer_path
-from barline.llm.text import prepare, scratch_path, table, written
+from barline.llm.text import fresh, prepare, scratch_path, table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose toxicity score is below the threshold."""
     prepare(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, out="_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    score = fresh(docs, "_toxicity")
+    return toxicity.score(docs, model, out=score).where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     prepare(spark)
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(
         F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).distinct()
-    rows = docs.withColumn("_text", F.xxhash64("text"))
-    return rows.join(found, rows["doc_id"].eqNullSafe(found["_id"]) & (rows["_text"] == found["_tie"]), "left_anti").select(*docs.columns)
+    tie, columns = fresh(docs, "_text"), docs.columns
+    rows = docs.withColumn(tie, F.xxhash64("text"))
+    return rows.join(found, rows["doc_id"].eqNullSafe(found["_id"]) & (rows[tie] == found["_tie"]), "left_anti").select(*columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
