@@ -147,27 +147,8 @@ ASSET_SCHEMA = T.StructType([
 def asset_frame(spark: SparkSession, cfg: Config) -> DataFrame:
     """Configured assets as a two-column dimension (stocks first, then cryptos).
 
-    Its size is bounded by the configuration, so joins may broadcast it.
+    Its size is bounded by the configuration; the planner picks the join.
     """
     stocks = spark.createDataFrame([(a, "stock") for a in cfg.stocks], ASSET_SCHEMA)
     cryptos = spark.createDataFrame([(a, "crypto") for a in cfg.cryptos], ASSET_SCHEMA)
     return stocks.unionByName(cryptos)
-
-
-# Row bound under which a join side is broadcast explicitly (narrow dimension
-# rows: well under Spark's broadcast size limits).
-BROADCAST_MAX_ROWS = 100_000
-
-
-def small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check.
-
-    The check is a small eager job at plan-building time that counts at most
-    ``max_rows + 1`` rows (the limit stops the scan), so it stays cheap
-    whatever the frame; cache a derived frame first if it feeds several joins.  A frame over the bound is
-    returned without a hint: the planner and AQE then choose the join from
-    measured sizes (shuffle join with skew splitting when it is large).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

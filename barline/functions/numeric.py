@@ -15,6 +15,8 @@ INF = float("inf")
 # underscores between them, optional fraction and exponent, optional sign.
 _DIGITS = r"[0-9](?:_?[0-9])*"
 FLOAT_TEXT = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
+PLAIN = r"[0-9]+"
+PLAIN_TEXT = rf"^[+-]?(?:{PLAIN}(?:\.(?:{PLAIN})?)?|\.{PLAIN})(?:[eE][+-]?{PLAIN})?$"
 INF_TEXT = r"^[+-]?(?:INF|INFINITY)$"
 
 
@@ -22,14 +24,19 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def parse_float(text: Column) -> Column:
-    """Strict float parse of already upper-cased, trimmed text; unparsable → null.
+def strip(text: Column) -> Column:
+    """Text without white space (blanks, tabs, line ends) at both ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
+def parse_float(text: Column, pattern: str = FLOAT_TEXT) -> Column:
+    """Strict float parse of already upper-cased text; unparsable → null.
 
     ``nan`` is treated as missing (null); ``inf``/``infinity`` parse to ±inf.
     """
-    t = F.trim(text)
+    t = strip(text)
     number = F.when(
-        t.rlike(FLOAT_TEXT), F.translate(t, "_", "").try_cast("double")
+        t.rlike(pattern), F.translate(t, "_", "").try_cast("double")
     )
     inf = F.when(t.rlike(INF_TEXT), F.when(t.startswith("-"), F.lit(-INF)).otherwise(F.lit(INF)))
     return F.coalesce(number, inf)
@@ -43,7 +50,7 @@ def clean_numeric(x: str | Column) -> Column:
     else a ``%`` is removed; anything that does not then parse is null.
     """
     # character deletions are plain translate/replace calls, not regex scans
-    s = F.upper(F.trim(F.translate(_c(x).cast("string"), '$,"', "")))
+    s = F.upper(strip(F.translate(_c(x).cast("string"), '$,"', "")))
     has_m, has_b = s.contains("M"), s.contains("B")
     none = F.lit("")
     body = (F.when(has_m, F.replace(s, F.lit("M"), none))
@@ -56,12 +63,12 @@ def clean_numeric(x: str | Column) -> Column:
 
 def to_numeric(x: str | Column, data_type=None) -> Column:
     """P10, ``to_numeric(errors="coerce")``: numbers pass through as double; text
-    must be a plain decimal (surrounding blanks allowed) or ±inf, else null."""
+    must be a plain decimal without underscores (surrounding white space allowed) or ±inf, else null."""
     from pyspark.sql.types import NumericType
 
     if isinstance(data_type, NumericType):
         return _c(x).cast("double")
-    return parse_float(F.upper(_c(x).cast("string")))
+    return parse_float(F.upper(_c(x).cast("string")), PLAIN_TEXT)
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:

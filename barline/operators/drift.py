@@ -124,8 +124,8 @@ def ks_statistics(split: DataFrame, columns: Sequence[str], key: str = "asset_na
     is_cur = (F.col("side") == "current").cast("long")
     cdf = long.select(
         key, "column",
-        (F.sum(is_ref).over(w) / F.sum(is_ref).over(g)).alias("f_ref"),
-        (F.sum(is_cur).over(w) / F.sum(is_cur).over(g)).alias("f_cur"),
+        F.try_divide(F.sum(is_ref).over(w), F.sum(is_ref).over(g)).alias("f_ref"),
+        F.try_divide(F.sum(is_cur).over(w), F.sum(is_cur).over(g)).alias("f_cur"),
         F.sum(is_ref).over(g).alias("n_ref"),
         F.sum(is_cur).over(g).alias("n_cur"),
     )

@@ -43,49 +43,20 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, ok) and f.name not in exclude]
 
 
-def correlation_pairs(df: DataFrame, cols: Sequence[str], pairwise: bool = False) -> DataFrame:
-    """Pearson correlation of every pair below the diagonal (i > j), one pass.
-
-    Default: moments over the rows where all ``cols`` are present — one
-    ``agg`` of plain sums (n, Σx_i, Σx_i·x_j for i ≥ j), codegen-friendly and
-    partial-aggregated map-side.  On null-free input (the feature table after
-    ``dropna``, which is what the source correlates) this equals the
-    pairwise-complete definition; ``pairwise=True`` gives that definition on
-    inputs with nulls at six sums per pair.  ``stack`` turns the single
-    result row into (col_a, col_b, corr) rows.  Sums are in double; the
-    cancellation error is ~1e-16·(mean/std)², negligible for indicators.
+def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every pair below the diagonal (i > j), pairwise complete, one pass.
+
+    The built-in ``corr`` updates centred moments, so it stays exact where the
+    mean is large against the spread, and it skips rows in which either value
+    is null.  NaN counts as null, and a pair with fewer than two rows or
+    without spread gives null.  ``stack`` turns the single result row into
+    (col_a, col_b, corr) rows.
     """
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i > j]
-    if pairwise:
-        aggs = []
-        for k, (i, j) in enumerate(pairs):
-            a, b = cols[i], cols[j]
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x = F.when(both, F.col(a).cast("double"))
-            y = F.when(both, F.col(b).cast("double"))
-            aggs += [F.count(x).alias(f"n{k}"), F.sum(x).alias(f"sx{k}"), F.sum(y).alias(f"sy{k}"),
-                     F.sum(x * x).alias(f"sxx{k}"), F.sum(y * y).alias(f"syy{k}"), F.sum(x * y).alias(f"sxy{k}")]
-        terms = {k: (f"n{k}", f"sx{k}", f"sy{k}", f"sxx{k}", f"syy{k}", f"sxy{k}") for k in range(len(pairs))}
-        agg = df.agg(*aggs)
-    else:
-        complete = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]).dropna()
-        aggs = [F.count(F.lit(1)).alias("n")]
-        aggs += [F.sum(f"v{i}").alias(f"s{i}") for i in range(len(cols))]
-        aggs += [F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}_{j}")
-                 for i in range(len(cols)) for j in range(i + 1)]
-        agg = complete.agg(*aggs)
-        terms = {k: ("n", f"s{i}", f"s{j}", f"p{i}_{i}", f"p{j}_{j}", f"p{i}_{j}") for k, (i, j) in enumerate(pairs)}
-
-    def corr_expr(k: int) -> str:
-        n, sx, sy, sxx, syy, sxy = terms[k]
-        nd = f"CAST({n} AS DOUBLE)"
-        cxy = f"({sxy} - {sx} * {sy} / {nd})"
-        cxx = f"({sxx} - {sx} * {sx} / {nd})"
-        cyy = f"({syy} - {sy} * {sy} / {nd})"
-        return f"CASE WHEN {n} < 2 THEN NULL ELSE try_divide({cxy}, sqrt({cxx} * {cyy})) END"
-
-    body = ", ".join(f"'{cols[i]}', '{cols[j]}', {corr_expr(k)}" for k, (i, j) in enumerate(pairs))
+    value = [F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols]
+    agg = df.agg(*[F.corr(value[i], value[j]).alias(f"r{k}") for k, (i, j) in enumerate(pairs)])
+    body = ", ".join(f"'{cols[i]}', '{cols[j]}', nullif(r{k}, double('NaN'))" for k, (i, j) in enumerate(pairs))
     return agg.selectExpr(f"stack({len(pairs)}, {body}) AS (col_a, col_b, corr)")
 
 

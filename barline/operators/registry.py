@@ -57,7 +57,7 @@ def threshold_check(metrics: DataFrame, rmse_limit: float = RMSE_LIMIT, mae_limi
 
 def run_metrics_view(runs: DataFrame, metric_cols: list[str]) -> DataFrame:
     """Metrics of each model's newest finished run as (metric, value) rows, nulls dropped;
-    models without a finished run get one 'unavailable' row."""
+    a run without any metric gives one 'available' row, a model without a finished run one 'unavailable' row."""
     finished = runs.where(F.col("status") == "FINISHED")
     newest = top_k_per_group(finished, ["model_name"], _newest_first(runs), 1, "_rank")
     long = newest.select("model_name", "run_id", *metric_cols).unpivot(
@@ -67,7 +67,10 @@ def run_metrics_view(runs: DataFrame, metric_cols: list[str]) -> DataFrame:
     missing = models.join(newest.select("model_name"), "model_name", "left_anti").select(
         "model_name", F.lit(None).cast("long").alias("run_id"), F.lit(None).cast("string").alias("metric"),
         F.lit(None).cast("double").alias("value"), F.lit("unavailable").alias("status"))
-    return avail.unionByName(missing)
+    bare = newest.where(F.coalesce(*[F.col(c).cast("double") for c in metric_cols]).isNull()).select(
+        "model_name", "run_id", F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("value"),
+        F.lit("available").alias("status"))
+    return avail.unionByName(bare).unionByName(missing)
 
 
 def newest_versions(versions: DataFrame) -> DataFrame:

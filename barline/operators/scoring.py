@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barline.config import small
-
 
 def explode_requests(requests: DataFrame, keys: tuple[str, ...] = ("request_id", "asset_name"),
                      feature_names: tuple[str, ...] = ("close",)) -> DataFrame:
@@ -30,9 +28,7 @@ def route_requests(requests: DataFrame, served: DataFrame, look_back: int) -> Da
     per model).
     """
     have = served.select("asset_name").distinct().withColumn("_has_model", F.lit(True))
-    # few distinct asset names: a shuffle join on them would skew, so the
-    # (model-count sized) serving list is broadcast once its size is checked
-    r = requests.join(small(have), "asset_name", "left").withColumn("n_rows", F.size("features"))
+    r = requests.join(have, "asset_name", "left").withColumn("n_rows", F.size("features"))
     no_model = F.format_string("Model for '%s' not available", F.col("asset_name"))
     too_few = F.lit(f"Validation error: Input data must contain at least {look_back} rows for LSTM context.")
     error = (
@@ -57,7 +53,7 @@ def score_requests(requests: DataFrame, models: DataFrame, look_back: int, price
     """M8 with values: routed requests plus the stage-1 forecast of the ok ones.
 
     ``models``: (asset_name, x_min, x_max, weights) of the served stage-1
-    models — one row per model, broadcast.  The last ``look_back`` prices of
+    models, one row per model.  The last ``look_back`` prices of
     a request (current row included) are scaled with the model's scaler,
     dotted with its weights in the JVM (``zip_with``/``aggregate``) and
     un-scaled; failed requests keep a null prediction and their error.
@@ -65,10 +61,9 @@ def score_requests(requests: DataFrame, models: DataFrame, look_back: int, price
     from barline.operators.models import lookback_predict
     from barline.operators.sequences import scale, unscale
 
-    models = models.cache()  # one row per model; the size check and the joins share it
     routed = route_requests(requests, models, look_back)
     prices = requests.select("request_id", F.transform("features", lambda m: m[price]).alias("_p"))
-    j = routed.join(prices, "request_id", "left").join(small(models), "asset_name", "left")
+    j = routed.join(prices, "request_id", "left").join(models, "asset_name", "left")
     window = F.slice(F.col("_p"), -look_back, look_back)
     scaled = F.transform(window, lambda v: scale(v, F.col("x_min"), F.col("x_max")))
     pred = unscale(lookback_predict(scaled, F.col("weights"), look_back), F.col("x_min"), F.col("x_max"))

@@ -234,8 +234,8 @@ from barline.operators import drift as D  # noqa: E402
 from barline.operators import explore as X  # noqa: E402
 from barline.operators import metrics as M  # noqa: E402
 from barline.operators import quality as Q  # noqa: E402
-from barline.config import asset_frame, small  # noqa: E402
-from barline.sources.tables import read_table  # noqa: E402
+from barline.config import asset_frame  # noqa: E402
+from barline.sources.tables import nan_to_null, read_table  # noqa: E402, nan_to_null
 
 
 def _dirty_stocks(spark, sf):
@@ -246,7 +246,7 @@ def _dirty_stocks(spark, sf):
 
 
 def _customer_crypto(spark, sf):
-    c = read_table(spark, sf, "customer", "c_name", "c_acctbal", "c_nationkey")
+    c = nan_to_null(read_table(spark, sf, "customer", "c_name", "c_acctbal", "c_nationkey"))
     return c.select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("price_usd"),
                     F.col("c_nationkey").alias("vol_24h"))
 
@@ -319,7 +319,7 @@ FROM prices p JOIN cfg c ON c.asset_name = p.asset_name"""))
 def q_asset_filter(spark, sf):
     """Rows of configured assets, typed from the configuration (broadcast dimension)."""
     p = fx.prices(spark, sf).drop("asset_type")
-    return rounded(p.join(small(asset_frame(spark, fx.FIXTURE_CONFIG)), "asset_name", "inner")
+    return rounded(p.join(asset_frame(spark, fx.FIXTURE_CONFIG), "asset_name", "inner")
                    .select("asset_name", "asset_type", "ts", "tie", "price"))
 
 
@@ -617,6 +617,8 @@ SELECT model_name, run_id, metric, round(value, 4) AS value, 'available' AS stat
 FROM (UNPIVOT (SELECT model_name, run_id, rmse, mae FROM newest) ON rmse, mae INTO NAME metric VALUE value)
 WHERE value IS NOT NULL
 UNION ALL
+SELECT model_name, run_id, CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE), 'available' FROM newest WHERE rmse IS NULL AND mae IS NULL
+UNION ALL
 SELECT DISTINCT model_name, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE), 'unavailable'
 FROM runs WHERE model_name NOT IN (SELECT model_name FROM newest)"""))
 def q_run_metrics_view(spark, sf):
@@ -724,7 +726,7 @@ def _served(spark):
 
 
 @register("requests_explode", O.with_views(["requests_flat"], [], """
-SELECT request_id, asset_name, CAST(count(*) OVER (PARTITION BY request_id) - newest_rank AS INTEGER) AS pos,
+SELECT request_id, asset_name, CAST(row_number() OVER (PARTITION BY request_id ORDER BY ts, event_id) - 1 AS INTEGER) AS pos,
        round(close, 4) AS close FROM requests_flat"""))
 def q_requests_explode(spark, sf):
     """Request payloads (array of feature maps) → one row per map."""
@@ -816,7 +818,17 @@ def q_stack_features(spark, sf):
     """val/test feature rows with the un-scaled stage-1 prediction attached."""
     s1 = TR.stage1(_features(spark, sf), CFG)
     st = TR.with_stage1_pred(s1.seqs.where(F.col("split") != "train"), s1.weights, CFG.lookback.look_back)
-    return rounded(st.select("asset_name", "day", "split", "lstm_pred", *TR.stack_features(st)))
+    return rounded(st.select("asset_name", "day", "split", *TR.stack_features(st)))
+
+
+@register("stack_features_l1", O.with_views(["daily"], _L1_CTES, f"""
+SELECT s.asset_name, s.day, s.split, {O.r('(f.intercept + f.slope * s.x) * (s.x_max - s.x_min) + s.x_min')} AS lstm_pred
+FROM split1 s JOIN fit1 f USING (asset_name) WHERE s.split <> 'train'""", recursive=True))
+def q_stack_features_l1(spark, sf):
+    """J1 with L=1 and no penalty: the un-scaled stage-1 prediction of every val/test row."""
+    s1 = _l1(spark, sf)
+    st = TR.with_stage1_pred(s1.seqs.where(F.col("split") != "train"), s1.weights, 1)
+    return rounded(st.select("asset_name", "day", "split", "lstm_pred"))
 
 
 _TRAINED: dict = {}
@@ -900,7 +912,9 @@ from barline.streaming import daily_close as SD  # noqa: E402
 from barline.streaming import live_score as SL  # noqa: E402
 
 
-@register("stream_daily_close")
+@register("stream_daily_close", f"""
+SELECT event_type AS asset_name, CAST(ts AS DATE) AS day, {O.r('arg_max(value, row(ts, event_id))')} AS close
+FROM events GROUP BY 1, 2""")
 def q_stream_daily_close(spark, sf):
     """T-1: events file stream → watermarked 1-day windows → last value per type and day."""
     return rounded(SD.events_daily_close(spark, sf))
@@ -913,10 +927,8 @@ FEED_SCHEMA = T.StructType([
 ])
 
 
-@register("stream_live_score")
-def q_stream_live_score(spark, sf):
-    """T-2: daily closes arriving as files (history, then recent days) scored live with
-    per-asset state; the look-back model is fitted on the history part."""
+def _stream_scores(spark, sf, look_back: int, ridge: float):
+    """Daily closes arriving as two loads of files, scored live; the look-back model is fitted on the first 80 % of days."""
     daily = _daily(spark, sf).select("asset_name", "day", "close")
     feed = scratch_path(spark, "feed-daily-close")
     daily.write.mode("overwrite").parquet(feed + "-all")
@@ -925,18 +937,38 @@ def q_stream_live_score(spark, sf):
     cut = daily.agg(F.expr("date_add(min(day), CAST(datediff(max(day), min(day)) * 0.8 AS INT))")).scalar()
     daily.where(F.col("day") <= cut).write.mode("append").parquet(feed)
     daily.where(F.col("day") > cut).write.mode("append").parquet(feed)
-    # model: scaler + stage-1 weights from the history part only
-    L = CFG.lookback.look_back
     h = SQ.minmax_fit(daily.where(F.col("day") <= cut))
     h = h.withColumn("scaled", SQ.scale(F.col("close"), F.col("x_min"), F.col("x_max")))
-    seqs = SQ.lookback(h, L).withColumn("y", F.col("scaled"))
+    seqs = SQ.lookback(h, look_back).withColumn("y", F.col("scaled"))
     from barline.operators import models as MD
 
-    weights = MD.fit_lookback(seqs, L, CFG.lookback.ridge)
+    weights = MD.fit_lookback(seqs, look_back, ridge)
     scaler = h.groupBy("asset_name").agg(F.first("x_min").alias("x_min"), F.first("x_max").alias("x_max"))
-    model = scaler.join(weights, "asset_name")
-    stream = SD.file_stream(spark, feed, FEED_SCHEMA, max_files=64)
-    return rounded(SD.run_to_table(spark, SL.live_scores(stream, model, L), "live-score"))
+    stream = SD.file_stream(spark, feed, FEED_SCHEMA)
+    sink = SD.run_to_table(spark, SL.live_scores(stream, scaler.join(weights, "asset_name"), look_back), "live-score")
+    return rounded(SL.newest_scores(sink))
+
+
+@register("stream_live_score")
+def q_stream_live_score(spark, sf):
+    """T-2: every daily close of the feed with its forecast, from per-asset state."""
+    return _stream_scores(spark, sf, CFG.lookback.look_back, CFG.lookback.ridge)
+
+
+@register("stream_live_score_l1", O.with_views(["daily"], [("cut", """
+SELECT min(day) + CAST(floor(date_diff('day', min(day), max(day)) * 0.8) AS INTEGER) AS cut FROM daily"""), ("hist", """
+SELECT asset_name, day, (close - x_min) / (x_max - x_min) AS scaled, x_min, x_max FROM (
+  SELECT asset_name, day, close, min(close) OVER (PARTITION BY asset_name) AS x_min,
+         max(close) OVER (PARTITION BY asset_name) AS x_max FROM daily, cut WHERE day <= cut)"""), ("fit", """
+SELECT asset_name, any_value(x_min) AS x_min, any_value(x_max) AS x_max, regr_slope(scaled, x) AS slope,
+       regr_intercept(scaled, x) AS intercept
+FROM (SELECT *, lag(scaled) OVER (PARTITION BY asset_name ORDER BY day) AS x FROM hist) GROUP BY 1""")], f"""
+SELECT asset_name, day, round(close, 4) AS close,
+       {O.r('(intercept + slope * (close - x_min) / (x_max - x_min)) * (x_max - x_min) + x_min')} AS forecast
+FROM daily JOIN fit USING (asset_name)""", recursive=True))
+def q_stream_live_score_l1(spark, sf):
+    """T-2 with one look-back close and no penalty."""
+    return _stream_scores(spark, sf, 1, 0.0)
 
 
 # ---------------------------------------------------------- file io ------
@@ -966,7 +998,7 @@ def q_batch_predict_values(spark, sf):
     scaler = s1.scaled.groupBy("asset_name").agg(F.first("x_min").alias("x_min"), F.first("x_max").alias("x_max"))
     fitted = scaler.join(s1.weights, "asset_name")
     mapping = spark.createDataFrame(list(SERVED_MODELS.items()), "serving_name string, asset_name string")
-    models = small(mapping).join(fitted, "asset_name").select(
+    models = mapping.join(fitted, "asset_name").select(
         F.col("serving_name").alias("asset_name"), "x_min", "x_max", "weights")
     out = S.score_requests(fx.requests(spark, sf), models, LOOK_BACK)
     return rounded(out.withColumn("n_rows", F.col("n_rows").cast("long")))

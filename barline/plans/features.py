@@ -25,20 +25,19 @@ def feature_table(prices: DataFrame, cfg: FeatureConfig = FeatureConfig(), key:
     ``asset_type`` is taken from the input (one value per asset) when present.
     With ``assets`` (the configured asset dimension, F1/J4) only configured
     assets are processed and their type comes from the configuration; the
-    dimension is configuration-sized and broadcast.  A text price column is
+    dimension is configuration-sized and the planner picks the join.  A text price column is
     coerced to numbers first (P10); rows without a price are dropped (F2).
     """
     from pyspark.sql import functions as F
     from pyspark.sql.types import StringType
 
-    from barline.config import small
     from barline.functions.numeric import to_numeric
 
     if isinstance(prices.schema[value].dataType, StringType):
         prices = prices.withColumn(value, to_numeric(value))
     if assets is not None:
         prices = prices.drop(*[c for c in ("asset_type",) if c in prices.columns])
-        prices = prices.join(small(assets.select(key, "asset_type")), key, "inner")
+        prices = prices.join(assets.select(key, "asset_type"), key, "inner")
         asset_type = "asset_type"
     attrs = (asset_type,) if asset_type and asset_type in prices.columns else ()
     panel = feature_panel(prices, cfg, key, ts, value, tie, attrs)

