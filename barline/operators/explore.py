@@ -3,7 +3,10 @@ correlation matrix, and per-asset head/tail."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,20 +47,41 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair below the diagonal (i > j), pairwise complete, one pass.
-
-    The built-in ``corr`` updates centred moments, so it stays exact where the
-    mean is large against the spread, and it skips rows in which either value
-    is null.  NaN counts as null, and a pair with fewer than two rows or
-    without spread gives null.  ``stack`` turns the single result row into
-    (col_a, col_b, corr) rows.
+    """Pearson correlation of every pair below the diagonal (i > j), pairwise complete.
+
+    One aggregate gives the column means, by which values are shifted, so the
+    moments stay exact where the mean is large against the spread.  Each
+    partition then reduces its rows to one row of moment sums per pair, over the
+    rows in which both values are present (NaN counts as missing); only those
+    rows are shuffled.  A pair with fewer than two rows or without spread gives
+    null.
     """
     cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i > j]
+    m = len(cols)
     value = [F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols]
-    agg = df.agg(*[F.corr(value[i], value[j]).alias(f"r{k}") for k, (i, j) in enumerate(pairs)])
-    body = ", ".join(f"'{cols[i]}', '{cols[j]}', nullif(r{k}, double('NaN'))" for k, (i, j) in enumerate(pairs))
-    return agg.selectExpr(f"stack({len(pairs)}, {body}) AS (col_a, col_b, corr)")
+    means = df.agg(*[F.coalesce(F.avg(v), F.lit(0.0)).alias(f"m{k}") for k, v in enumerate(value)]).first()
+    shifted = df.select(*[(v - F.lit(means[k])).alias(f"v{k}") for k, v in enumerate(value)])
+    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
+    first, second = np.array([(i, j) for i in range(m) for j in range(i)], dtype=int).reshape(-1, 2).T
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(sums), len(first)))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) if batch.num_rows else np.zeros((m, 0))
+            here = ~np.isnan(x)
+            x, here = np.where(here, x, 0.0), here.astype(float)
+            one, two = x @ here.T, (x * x) @ here.T  # sums of column i over the rows that have column j
+            total += [(here @ here.T)[first, second], one[first, second], one[second, first],
+                      two[first, second], two[second, first], (x @ x.T)[first, second]]
+        yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second), *map(pa.array, total)], names=["i", "j", *sums])
+
+    parts = shifted.mapInArrow(moments, "i long, j long, " + ", ".join(f"{c} double" for c in sums))
+    t = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
+    over = lambda a, b, ab: F.col(ab) - F.try_divide(F.col(a) * F.col(b), F.col("n"))
+    spread = F.sqrt(F.greatest(over("sx", "sx", "sxx"), F.lit(0.0)) * F.greatest(over("sy", "sy", "syy"), F.lit(0.0)))
+    names = F.array(*map(F.lit, cols))
+    return t.select(F.get(names, F.col("i").cast("int")).alias("col_a"), F.get(names, F.col("j").cast("int")).alias("col_b"),
+                    F.when(F.col("n") > 1, F.try_divide(over("sx", "sy", "sxy"), spread)).alias("corr"))
 
 
 def tail_per_asset(df: DataFrame, n: int, order: Sequence[Column], key: str = "asset_name",

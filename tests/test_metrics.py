@@ -57,3 +57,23 @@ def test_blocked_da_equals_window_da(spark):
     a = M.directional_accuracy(df, ["g"], "blk", ["t"]).collect()[0][1]
     b = M.directional_accuracy(df, ["g"], None, ["t"]).collect()[0][1]
     assert a == pytest.approx(b)
+
+
+def test_correlation_is_stable_and_pairwise_complete(spark):
+    import numpy as np
+
+    from barline.operators.explore import correlation_pairs
+
+    rng = np.random.default_rng(2)
+    a = 1e9 + rng.normal(size=400)
+    b = 1e9 + 0.5 * (a - 1e9) + rng.normal(size=400)
+    c = rng.normal(size=400)
+    rows = [(float(x), None if i % 7 == 0 else float(y), float("nan") if i % 5 == 0 else float(z), 3.0)
+            for i, (x, y, z) in enumerate(zip(a, b, c))]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in correlation_pairs(frame, ["a", "b", "c", "d"]).collect()}
+    i = np.arange(400)
+    for (x, y), (u, v), keep in ((("b", "a"), (b, a), i % 7 != 0), (("c", "a"), (c, a), i % 5 != 0),
+                                 (("c", "b"), (c, b), (i % 7 != 0) & (i % 5 != 0))):
+        assert abs(got[x, y] - np.corrcoef(u[keep], v[keep])[0, 1]) < 1e-6
+    assert got["d", "a"] is None and len(got) == 6
