@@ -7,25 +7,17 @@ map-side partial aggregation — the data never leaves the executors — and onl
 the (L+1)x(L+1) system per asset is solved, vectorised with numpy inside
 ``mapInPandas`` over the tiny per-asset Gram table.
 
-Stage 2 is Spark ML's ``GBTRegressor`` trained on the feature rows plus the
-stage-1 prediction (``lstm_pred``) and an asset index, pooled over assets so
-one distributed fit serves all of them.
+Stage 2, boosted trees per asset on the feature rows plus the stage-1 prediction
+(``lstm_pred``), is in ``boosting``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barline.config import BoostParams
-
 
 def gram(seqs: DataFrame, look_back: int, key: str = "asset_name", seq: str = "seq", y: str = "y") -> DataFrame:
     """Per-asset sums of z_i z_j (i ≤ j), z_i y and the row count, in one aggregate."""
@@ -86,23 +78,6 @@ def lookback_predict(seq: Column, weights: Column, look_back: int) -> Column:
     return F.try_element_at(weights, F.lit(1)) + F.aggregate(prods, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def boost_pipeline(feature_cols: Sequence[str], params: BoostParams, seed: int = 42,
-                   label: str = "target", key: str = "asset_name") -> Pipeline:
-    """M2: asset index + vector assembly + GBT regressor (parameters mapped from the boost config)."""
-    idx = StringIndexer(inputCol=key, outputCol="_asset_idx", handleInvalid="keep")
-    vec = VectorAssembler(inputCols=[*feature_cols, "_asset_idx"], outputCol="_features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="prediction",
-                       maxIter=int(params.n_estimators), stepSize=float(params.learning_rate),
-                       maxDepth=int(params.max_depth), subsamplingRate=float(params.subsample), seed=seed,
-                       checkpointInterval=10)
-    return Pipeline(stages=[idx, vec, gbt])
-
-
-def fit_boost(train: DataFrame, feature_cols: Sequence[str], params: BoostParams, seed: int = 42,
-              label: str = "target") -> PipelineModel:
-    return boost_pipeline(feature_cols, params, seed, label).fit(train)
-
-
 def last_row(df: DataFrame, key: str = "asset_name", order: str = "day") -> DataFrame:
     """The newest row per asset (top-1, pushed below the shuffle)."""
     w = Window.partitionBy(key).orderBy(F.col(order).desc())

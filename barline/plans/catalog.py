@@ -846,50 +846,50 @@ def _trained(spark, sf):
 def _searched(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _SEARCHED:
-        _SEARCHED[key] = TR.hyperparam_search(spark, _features(spark, sf), CFG).cache()
+        _SEARCHED[key] = TR.hyperparam_search(_features(spark, sf), CFG)
     return _SEARCHED[key]
 
 
 @register("stacked_fit")
 def q_stacked_fit(spark, sf):
     """Stage 2 trained on val, metrics on test per asset."""
-    _, stacked, _, model = _trained(spark, sf)
-    return rounded(TR.test_metrics(stacked, model))
+    _, stacked, cols, models = _trained(spark, sf)
+    return rounded(TR.test_metrics(stacked, cols, models))
 
 
 @register("batch_score")
 def q_batch_score(spark, sf):
     """M4: batch scoring with lstm_pred supplied (close dropped) on the test rows."""
-    _, stacked, _, model = _trained(spark, sf)
-    test = stacked.where(F.col("split") == "test").drop("close")
-    return rounded(model.transform(test).select("asset_name", "day", "prediction"))
+    _, stacked, cols, models = _trained(spark, sf)
+    test = stacked.where(F.col("split") == "test").select("asset_name", "day", *cols)
+    return rounded(TR.B.predict_boost(test, cols, models).select("asset_name", "day", "prediction"))
 
 
 @register("live_score")
 def q_live_score(spark, sf):
     """M5: live scoring of each asset's newest row (last L closes → stage 1 → stage 2)."""
-    s1, _, _, model = _trained(spark, sf)
-    live = TR.live_rows(s1, CFG.lookback.look_back)
-    return rounded(model.transform(live).select("asset_name", "day", "close", "lstm_pred", "prediction"))
+    s1, _, cols, models = _trained(spark, sf)
+    live = TR.live_rows(s1, CFG.lookback.look_back).select("asset_name", "day", "close", *cols)
+    return rounded(TR.B.predict_boost(live, cols, models).select("asset_name", "day", "close", "lstm_pred", "prediction"))
 
 
 @register("next_forecast")
 def q_next_forecast(spark, sf):
     """M6: next-day forecast record per asset from the two-stage model."""
-    s1, _, _, model = _trained(spark, sf)
-    live = model.transform(TR.live_rows(s1, CFG.lookback.look_back))
-    return rounded(TR.forecast_records(live))
+    s1, _, cols, models = _trained(spark, sf)
+    live = TR.live_rows(s1, CFG.lookback.look_back).select("asset_name", "day", "close", *cols)
+    return rounded(TR.forecast_records(TR.B.predict_boost(live, cols, models)))
 
 
 @register("model_store")
 def q_model_store(spark, sf):
     """Save both stages, load them back, score the test rows with the loaded models."""
-    s1, stacked, _, model = _trained(spark, sf)
-    root = TR.save_models(spark, s1.weights, model, "fixture")
+    s1, stacked, cols, models = _trained(spark, sf)
+    root = TR.save_models(spark, s1.weights, models, "fixture")
     weights, loaded = TR.load_models(spark, root)
     test = stacked.where(F.col("split") == "test").drop("lstm_pred", "weights")
-    test = TR.with_stage1_pred(test, weights, CFG.lookback.look_back)
-    return rounded(loaded.transform(test).select("asset_name", "day", "lstm_pred", "prediction"))
+    test = TR.with_stage1_pred(test, weights, CFG.lookback.look_back).select("asset_name", "day", *cols)
+    return rounded(TR.B.predict_boost(test, cols, loaded).select("asset_name", "day", "lstm_pred", "prediction"))
 
 
 @register("hyperparam_search")

@@ -10,14 +10,13 @@ last L closes (current row included).
 from __future__ import annotations
 
 import random
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.config import BoostParams, Config, override_params
+from barline.config import BoostParams, Config
+from barline.operators import boosting as B
 from barline.operators import metrics as M
 from barline.operators import models as MD
 from barline.operators import sequences as SQ
@@ -58,44 +57,23 @@ def stack_features(stacked: DataFrame) -> list[str]:
     return [c for c in SQ.feature_columns(stacked) if c not in AUX]
 
 
-ROWS_PER_TRAIN_PARTITION = 1_000_000
-
-
-def sized(df: DataFrame, rows_per_partition: int = ROWS_PER_TRAIN_PARTITION) -> DataFrame:
-    """Cache a model-training frame with a partition count proportional to its rows.
-
-    Tree learners run one job per tree level; on small inputs the task count,
-    not the data, sets the cost, so partitions follow the measured row count.
-    """
-    cached = df.cache()
-    n = cached.count()
-    parts = max(1, -(-n // rows_per_partition))
-    if parts < cached.rdd.getNumPartitions():
-        out = cached.coalesce(parts).cache()
-        out.count()
-        cached.unpersist()
-        return out
-    return cached
-
-
 def train_stacked(features: DataFrame, cfg: Config, seed: int = 42):
-    """M2/M3: returns (stage1, stacked rows, feature columns, fitted stage-2 model).
+    """M2/M3: returns (stage1, stacked rows, feature columns, stage-2 models per asset).
 
-    The feature table is written once to the shared checkpoint folder; the
-    scaler, sequences, stage-1 fit and stacking all read that table.
+    The feature table and the models are written once to the shared checkpoint
+    folder; everything else reads them.
     """
     features = materialize(features, "train-features")
     s1 = stage1(features, cfg)
     stacked = with_stage1_pred(s1.seqs.where(F.col("split") != "train"), s1.weights, cfg.lookback.look_back)
     cols = stack_features(stacked)
-    train = sized(stacked.where(F.col("split") == "val").select("asset_name", "target", *cols))
-    model = MD.fit_boost(train, cols, cfg.boost, seed)
-    return s1, stacked, cols, model
+    models = materialize(B.fit_boost(stacked.where(F.col("split") == "val"), cols, cfg.boost, seed), "stage2-models")
+    return s1, stacked, cols, models
 
 
-def test_metrics(stacked: DataFrame, model: PipelineModel) -> DataFrame:
+def test_metrics(stacked: DataFrame, cols: list[str], models: DataFrame) -> DataFrame:
     """Stage-2 metrics on the test part per asset (RMSE, MAE, MAPE, MinMax RMSE, DA)."""
-    scored = model.transform(stacked.where(F.col("split") == "test"))
+    scored = B.predict_boost(stacked.where(F.col("split") == "test").select("asset_name", "day", "target", *cols), cols, models)
     scored = scored.select("asset_name", "day", F.col("target").alias("y_true"), F.col("prediction").alias("y_pred"))
     return M.evaluate(scored, ["asset_name"], None, ["day"])
 
@@ -147,53 +125,27 @@ def draw_trials(n_trials: int, seed: int = 42) -> list[dict]:
     return out
 
 
-def hyperparam_search(spark: SparkSession, features: DataFrame, cfg: Config, n_trials: int = 10,
-                      seed: int = 42, parallelism: int = 4) -> DataFrame:
+def hyperparam_search(features: DataFrame, cfg: Config, n_trials: int = 10, seed: int = 42) -> DataFrame:
     """M7: random search; each trial fits stage 2 on the first 80 % of the stacked rows
     (chronological, per asset) and is scored by RMSE on the last 20 %.
 
-    Stage 1 is fitted once (its ridge model has no trial parameters); the
-    stage-1 output is un-scaled as in training.  Trial fits are independent
-    distributed fits submitted concurrently (as Spark ML's tuners do).
+    Stage 1 is fitted once: its ridge model has no trial parameters, so the
+    drawn ``lstm_*`` values change nothing, which ``without_effect`` says.  All
+    trials of all assets run as one grouped job; of equal errors the first
+    trial is the best.
     """
     s1 = stage1(materialize(features, "search-features"), cfg)
-    L = cfg.lookback.look_back
-    stacked = with_stage1_pred(s1.seqs, s1.weights, L)
+    stacked = with_stage1_pred(s1.seqs, s1.weights, cfg.lookback.look_back)
     stacked = SQ.chrono_split(stacked.drop("split"), (0.8,), min_rows=2)
     cols = stack_features(stacked)
-    data = sized(stacked.select("asset_name", "target", "split", *cols))
-    train, valid = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     trials = draw_trials(n_trials, seed)
-    pipe = MD.boost_pipeline(cols, cfg.boost, seed)
-    gbt = pipe.getStages()[-1]
-    maps = [{gbt.maxIter: int(t["xgb_n_estimators"]), gbt.maxDepth: int(t["xgb_max_depth"]),
-             gbt.stepSize: float(t["xgb_lr"]), gbt.subsamplingRate: float(t["xgb_subsample"])} for t in trials]
-
-    def fit_one(i: int):
-        # each trial is an independent distributed fit; the driver only submits jobs
-        return i, pipe.copy(maps[i]).fit(train)
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(maps)))) as pool:
-        fitted = list(pool.map(fit_one, range(len(maps))))
-    rows = []
-    for i, model in fitted:
-        pred = model.transform(valid)
-        rmse = pred.agg(F.sqrt(F.avg((F.col("target") - F.col("prediction")) ** 2)).alias("rmse"))
-        rows.append((i, rmse))
-    scored = None
-    for i, r in sorted(rows, key=lambda x: x[0]):
-        t = trials[i]
-        part = r.select(*[F.lit(t[k]).alias(k) for k in ["trial", *SEARCH_SPACE]], "rmse")
-        scored = part if scored is None else scored.unionByName(part)
-    # the trial table is configuration-sized: one window partition is fine
-    best = F.col("rmse") == F.min("rmse").over(Window.partitionBy())
-    return scored.withColumn("best", best)
-
-
-def apply_best_params(cfg: Config, trials: DataFrame) -> Config:
-    """P17 on the driver: the best trial's parameters override the configuration."""
-    best = trials.where("best").limit(1).collect()
-    return override_params(cfg, best[0].asDict()) if best else cfg
+    params = {t["trial"]: BoostParams(int(t["xgb_n_estimators"]), float(t["xgb_lr"]), int(t["xgb_max_depth"]),
+                                      float(t["xgb_subsample"])) for t in trials}
+    errors = materialize(B.trial_errors(stacked, cols, params, seed), "search-errors")
+    best = errors.agg(F.min_by("trial", F.struct("rmse", "trial"))).scalar()
+    drawn = F.array(*[F.struct(*[F.lit(t[k]).alias(k) for k in SEARCH_SPACE]) for t in trials])
+    rows = errors.select("trial", F.get(drawn, F.col("trial")).alias("p"), "rmse", (F.col("trial") == best).alias("best"))
+    return rows.select("trial", "p.*", "rmse", "best", F.lit("lstm_units, lstm_dropout, lstm_lr").alias("without_effect"))
 
 
 def save_best_params(trials: DataFrame, path: str) -> None:
@@ -201,7 +153,7 @@ def save_best_params(trials: DataFrame, path: str) -> None:
     cols = []
     for name, (_, _, kind) in SEARCH_SPACE.items():
         cols.append(F.col(name).cast("long" if kind == "int" else "double").alias(name))
-    trials.where("best").limit(1).select(*cols).coalesce(1).write.mode("overwrite").json(path)
+    trials.where("best").orderBy("rmse", "trial").limit(1).select(*cols).coalesce(1).write.mode("overwrite").json(path)
 
 
 def load_best_params(spark: SparkSession, path: str) -> DataFrame:
@@ -233,18 +185,14 @@ def effective_params(best_params: DataFrame, cfg: Config) -> DataFrame:
     return best.select(*cols)
 
 
-def save_models(spark: SparkSession, weights: DataFrame, model: PipelineModel, name: str) -> str:
-    """Stage-1 weights as Parquet and the stage-2 pipeline under one folder of the
+def save_models(spark: SparkSession, weights: DataFrame, models: DataFrame, name: str) -> str:
+    """Stage-1 weights and stage-2 models as Parquet under one folder of the
     shared checkpoint directory; returns the folder."""
     root = scratch_path(spark, f"models-{name}")
     weights.write.mode("overwrite").parquet(f"{root}/stage1")
-    model.write().overwrite().save(f"{root}/stage2")
+    models.write.mode("overwrite").parquet(f"{root}/stage2")
     return root
 
 
-def load_models(spark: SparkSession, root: str) -> tuple[DataFrame, PipelineModel]:
-    return spark.read.parquet(f"{root}/stage1"), PipelineModel.load(f"{root}/stage2")
-
-
-def with_boost(cfg: Config, params: BoostParams) -> Config:
-    return replace(cfg, boost=params)
+def load_models(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    return spark.read.parquet(f"{root}/stage1"), spark.read.parquet(f"{root}/stage2")

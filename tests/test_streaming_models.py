@@ -111,3 +111,48 @@ def test_ridge_matches_numpy_closed_form(spark):
     pen[0, 0] = 0.0
     want = np.linalg.solve(z.T @ z + pen, z.T @ y)
     assert np.allclose(got, want, rtol=1e-9, atol=1e-9)
+
+
+def _boost_rows(spark, assets: int):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(assets * 40, 2))
+    rows = [(f"A{i % assets:02d}", i // assets, float(a), float(b), float((i % assets) * 100 + 10 * a + (b > 0)))
+            for i, (a, b) in enumerate(x)]
+    return spark.createDataFrame(rows, "asset_name string, day long, f1 double, f2 double, target double")
+
+
+def test_boosted_trees_for_forty_assets(spark):
+    from barline.config import BoostParams
+    from barline.operators import boosting as B
+
+    rows = _boost_rows(spark, 40)
+    params = BoostParams(n_estimators=30, learning_rate=0.2, max_depth=3)
+    models = B.fit_boost(rows, ["f1", "f2"], params)
+    assert models.count() == 40
+    got = B.predict_boost(rows, ["f1", "f2"], models).selectExpr("avg(abs(prediction - target)) AS e", "count(*) AS n").first()
+    assert got["n"] == 1600 and got["e"] < 2.5
+
+
+def test_boosted_trees_do_not_depend_on_partitions(spark):
+    from barline.config import BoostParams
+    from barline.operators import boosting as B
+
+    rows, params = _boost_rows(spark, 3), BoostParams(n_estimators=10, subsample=0.8)
+    one, four = ({r["asset_name"]: r["model"] for r in B.fit_boost(rows.repartition(k), ["f1", "f2"], params).collect()}
+                 for k in (1, 4))
+    assert one == four
+
+
+def test_boosted_trees_missing_values_and_empty_groups():
+    import numpy as np
+
+    from barline.config import BoostParams
+    from barline.operators import boosting as B
+
+    x = np.array([[1.0, np.nan], [2.0, np.nan], [3.0, 1.0], [np.nan, 2.0]])
+    model = B.fit_trees(x, np.array([1.0, 1.0, 5.0, 5.0]), BoostParams(n_estimators=50, learning_rate=0.5, subsample=1.0), 1)
+    assert np.allclose(B.predict_trees(model, x)[:3], [1, 1, 5], atol=0.6)
+    none = B.fit_trees(np.zeros((0, 2)), np.zeros(0), BoostParams(), 1)
+    assert (B.predict_trees(none, x) == 0).all()
