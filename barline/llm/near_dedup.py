@@ -13,16 +13,19 @@ similarity of their multisets, sum of minima over sum of maxima, is at least
    register keeps its first time, so two texts agree there with probability
    equal to their weighted Jaccard similarity.  Points are drawn up to the time
    by which all registers are expected to be filled, and further if one is not.
-2. Bands of ``ROWS`` registers are hashed to bucket keys.  Two texts of
-   similarity 0.8 miss all 25 bands with probability 5e-5.
-3. Each bucket links its members to its smallest one (a star, never all pairs);
-   signatures that agree in under ``SCREEN`` of the registers (5.5 standard
-   deviations below 0.8) are dropped, equal texts are links at once, and all
-   others are verified on their whole texts.
+2. ``BANDS`` bands of ``ROWS`` registers are hashed to bucket keys.  Two texts of
+   similarity 0.8 miss all bands with probability 6e-5.  A signature keeps 8 bits
+   a register.
+3. Stars, never all pairs: a text is compared with the smallest member that any
+   of its buckets has, and in a second round with the smallest member of the
+   largest class in those of its buckets that hold several classes.  Signatures
+   that agree in under ``SCREEN`` of the registers (4 standard deviations below
+   0.8) are dropped, equal texts are links at once, and all others are verified
+   on their whole texts.
 4. Buckets that then still hold several classes are searched whole: members
    outside the bucket's largest class are compared with all other members in
    blocks of bounded size, and what passes the screen is verified.  So no link
-   between texts sharing a bucket is lost to the star.
+   between texts sharing a bucket is lost to the stars.
 5. Classes are found by label propagation with pointer jumping, each round
    written to the shared folder.
 
@@ -46,9 +49,11 @@ from barline.llm.text import MIX1, MULT, Words, fresh, hash_strings, mix, pieces
 
 SHINGLE = 5
 THRESHOLD = (8, 10)  # a fraction, compared in integers
-REGISTERS = 125
-ROWS = 5
-SCREEN = 0.6
+REGISTERS = 512
+BANDS = 32
+ROWS = 6
+SCREEN = 0.73
+STAR_ROUNDS = 2
 QUERY_BLOCK, OTHER_BLOCK = 512, 2048
 
 
@@ -99,18 +104,20 @@ def signatures(n: int, text: np.ndarray, key: np.ndarray, count: np.ndarray, reg
         wanted[pending] = True
         live = np.flatnonzero(wanted[text[node]])
         time, step = np.zeros(len(live)), 0
-        while len(live):  # the next point of every process still before its text's time limit
-            step += 1
+        while len(live):  # the next points of every process still before its text's time limit
+            ahead = 1 if len(live) > 4096 else 64  # few processes go on long where a text is short
             with np.errstate(over="ignore"):
-                draw = seed[live] + np.uint64(step) * MIX1
-                time = time - np.log(uniform(draw)) / size[live]
-                on = time <= limit[text[node[live]]]
-                live, time, draw = live[on], time[on], draw[on]
-                place = mix(draw ^ MULT)
-            level = low[live] + ((place >> np.uint64(32)) % size[live].astype(np.uint64)).astype(np.int64)
-            seen = level < count[node[live]]
+                draw = seed[live][:, None] + np.arange(step + 1, step + ahead + 1).astype(np.uint64) * MIX1
+                gap = -np.log(uniform(draw)) / size[live][:, None]
+                point = np.cumsum(np.concatenate([time[:, None], gap], axis=1), axis=1)[:, 1:]
+                on = point <= limit[text[node[live]]][:, None]
+                own = np.repeat(live, on.sum(axis=1))
+                place = mix(draw[on] ^ MULT)
+            level = low[own] + ((place >> np.uint64(32)) % size[own].astype(np.uint64)).astype(np.int64)
+            seen = level < count[node[own]]
             register = ((place & np.uint64(0xFFFFFFFF)) % np.uint64(registers)).astype(np.int64)
-            np.minimum.at(out, text[node[live[seen]]] * registers + register[seen], time[seen])
+            np.minimum.at(out, text[node[own[seen]]] * registers + register[seen], point[on][seen])
+            live, time, step = live[on[:, -1]], point[on[:, -1], -1], step + ahead
         empty = np.isinf(out.reshape(n, registers)[pending]).any(axis=1)
         pending = pending[empty]
         limit[pending] *= 2
@@ -127,11 +134,11 @@ def sign(docs: DataFrame) -> DataFrame:
                 words = split_words(part.column("text"))
                 times = signatures(n, *shingle_counts(words)).view(np.uint64)
                 with np.errstate(over="ignore"):
-                    sig = (mix(times) >> np.uint64(32)).astype("<u4")
-                    bands = np.zeros((n, REGISTERS // ROWS), np.uint64)
+                    sig = (mix(times) >> np.uint64(56)).astype("u1")
+                    bands = np.zeros((n, BANDS), np.uint64)
                     for k in range(ROWS):
-                        bands = mix(bands * MULT + times[:, k::ROWS] + np.uint64(k + 1))
-                    bands = mix(bands + (np.arange(REGISTERS // ROWS, dtype=np.uint64) + np.uint64(1)) * MIX1).view(np.int64)
+                        bands = mix(bands * MULT + times[:, k * BANDS:(k + 1) * BANDS] + np.uint64(k + 1))
+                    bands = mix(bands + (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * MIX1).view(np.int64)
                 digest = part.column("digest").to_numpy(zero_copy_only=False)
                 lists = [b if c else digest[i:i + 1] for i, (b, c) in enumerate(zip(bands, words.counts))]
                 yield pa.RecordBatch.from_arrays(
@@ -147,7 +154,7 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def unpack(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), REGISTERS)
+    return np.frombuffer(b"".join(column.to_pylist()), "u1").reshape(len(column), REGISTERS)
 
 
 # ---------------------------------------------------------------- links
@@ -214,14 +221,30 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def mixed_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several classes, with the bucket's size, its largest class and that class's smallest member."""
+    members = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    per_class = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
+    largest = F.max_by(F.struct("label", "least", F.col("n").alias("n_main")), F.struct("n", "label"))
+    mixed = per_class.groupBy("key").agg(F.sum("n").alias("n"), largest.alias("_m"), F.count(F.lit(1)).alias("classes"))
+    mixed = mixed.where("classes > 1").select("key", "n", F.col("_m.label").alias("main"), F.col("_m.least").alias("leader"),
+                                              F.col("_m.n_main").alias("n_main"))
+    return members.join(mixed, "key")
+
+
+def star_pairs(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(a, b): every member b with the smallest leader a that its buckets offer, one pair a member."""
+    if labels is None:
+        leaders = buckets.groupBy("key").agg(F.min("node").alias("leader"))
+        offers = buckets.join(leaders, "key").where(F.col("leader") != F.col("node"))
+    else:
+        offers = mixed_members(buckets, labels).where(F.col("label") != F.col("main"))
+    return offers.groupBy(F.col("node").alias("b")).agg(F.min("leader").alias("a")).select("a", "b")
+
+
 def leftover_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b, sure): screened pairs between different classes inside one bucket, searched in blocks."""
-    members = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    per_class = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = per_class.groupBy("key").agg(
-        F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("n_main"),
-        F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    members = members.join(mixed, "key").join(sigs, "node")
+    members = mixed_members(buckets, labels).join(sigs, "node")
     query_blocks = F.ceil((F.col("n") - F.col("n_main")) / QUERY_BLOCK).cast("long")
     other_blocks = F.ceil(F.col("n") / OTHER_BLOCK).cast("long")
     place = lambda blocks, salt: F.pmod(F.xxhash64("node", F.lit(salt)), blocks)
@@ -232,7 +255,7 @@ def leftover_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> Da
     others = members.select(*common, F.lit(False).alias("query"), upto(query_blocks).alias("q"), place(other_blocks, 2).alias("o"))
 
     def search(block: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(block["sig"]), "<u4").reshape(len(block), REGISTERS)
+        sig = np.frombuffer(b"".join(block["sig"]), "u1").reshape(len(block), REGISTERS)
         node, label, query = (block[c].to_numpy() for c in ("node", "label", "query"))
         found = []
         other = np.flatnonzero(~query)
@@ -258,16 +281,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     digest = F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long")
     sigs = written(sign(src.select("node", digest.alias("digest"), "text")), "signatures")
     buckets = sigs.select(F.explode("bands").alias("key"), "node").distinct()
-    leaders = buckets.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = written(buckets.join(leaders, "key").select("key", "node", "a"), "buckets")
-    stars = buckets.where(F.col("a") != F.col("node")).select("a", F.col("node").alias("b")).distinct()
-    texts = src.select("node", "text")
-    links = written(verified(written(screened(stars, sigs), "pairs"), texts), "links")
-    labels = components(links)
-    more = verified(written(leftover_pairs(buckets.select("key", "node"), sigs.select("node", "sig"), labels), "pairs"), texts)
-    more = written(more, "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    buckets = written(buckets.join(shared, "key"), "buckets")
+    texts, links, labels = src.select("node", "text"), None, None
+    for _ in range(STAR_ROUNDS):
+        found = verified(written(screened(star_pairs(buckets, labels), sigs), "pairs"), texts)
+        links = written(found if links is None else links.unionByName(found), "links")
+        labels = components(links)
+    rest = written(leftover_pairs(buckets, sigs.select("node", "sig"), labels), "pairs")
+    if not rest.isEmpty():
+        labels = components(links.unionByName(verified(rest, texts)))
     return src.select("doc_id", "node").join(labels, "node", "left").select(
         "doc_id", F.coalesce("label", "node").alias("class_id"))
 
