@@ -100,15 +100,22 @@ def promotion_plan(runs: DataFrame, versions: DataFrame, aliases: DataFrame, met
     no champion → promote newest; newest already champion → keep; a metric
     missing on either run → skip; strictly better → promote; otherwise keep.
     """
-    newest = newest_versions(versions)
-    plan = newest.join(champions(aliases, versions), "model_name", "left")
-    ids = plan.select(F.col("newest_run_id").alias("run_id")).union(
-        plan.select(F.col("champion_run_id").alias("run_id"))).where(F.col("run_id").isNotNull()).distinct()
-    m = runs.select("run_id", F.col(metric).alias("_m")).join(ids, "run_id", "left_semi")
-    plan = plan.join(m.withColumnRenamed("run_id", "newest_run_id").withColumnRenamed("_m", "new_metric"),
-                     "newest_run_id", "left")
-    plan = plan.join(m.withColumnRenamed("run_id", "champion_run_id").withColumnRenamed("_m", "champion_metric"),
-                     "champion_run_id", "left")
+    v = F.col("version").cast("long")
+    champ = aliases.where(F.col("alias") == CHAMPION).select("model_name", F.col("version").cast("long").alias("_champion"))
+    # one pass over the versions: newest and champion run of each model (integer buffers keep it a hash aggregate)
+    plan = versions.join(champ, "model_name", "left").groupBy("model_name").agg(
+        F.max(v).cast("string").alias("newest_version"), F.max_by("run_id", v).alias("newest_run_id"),
+        F.max("_champion").cast("string").alias("champion_version"),
+        F.max(F.when(v == F.col("_champion"), F.col("run_id"))).alias("champion_run_id"))
+    # one pass over the runs: both runs of a model, then a pivot to one row
+    wanted = plan.select("model_name", "newest_version", "champion_version", F.explode(F.array(
+        F.struct(F.lit(True).alias("newest"), F.col("newest_run_id").alias("run_id")),
+        F.struct(F.lit(False).alias("newest"), F.col("champion_run_id").alias("run_id")))).alias("_r")).select(
+        "model_name", "newest_version", "champion_version", "_r.newest", "_r.run_id")
+    m = wanted.join(runs.select("run_id", F.col(metric).alias("_m")), "run_id", "left")
+    plan = m.groupBy("model_name", "newest_version", "champion_version").agg(
+        F.max(F.when(F.col("newest"), F.col("_m"))).alias("new_metric"),
+        F.max(F.when(~F.col("newest"), F.col("_m"))).alias("champion_metric"))
     better = (F.col("new_metric") < F.col("champion_metric")) if lower_is_better else (
         F.col("new_metric") > F.col("champion_metric"))
     action = (
