@@ -14,8 +14,10 @@ item if it is shorter.  A document is hit where a window's words occur in it.
 4. The words there are compared with the window's words, so the shingle hashes
    decide nothing.
 
-The benchmark's tables are written first, so the planner knows their sizes when
-it picks the join of the pass over the corpus; nothing is broadcast by hint.
+The pass over the corpus looks its shingles up in a broadcast set while the
+benchmark has at most ``MAX_BROADCAST`` distinct ones (8 bytes each, counted
+first); a larger benchmark is joined by a shuffle of narrow rows, and the words
+around a hit are added afterwards.  The results are the same.
 Rows are told apart by (doc_id, text hash); repeated rows get equal results.
 Null texts have no words and hit nothing; items without words have no window;
 null ids compare as equal.  Empty tables give no hits.  Columns other than ids
@@ -31,6 +33,7 @@ from barline.llm.text import prepare, written
 
 WINDOW = 10
 SHINGLE = 5
+MAX_BROADCAST = 1_000_000
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -64,7 +67,7 @@ def window_shingles(windows: DataFrame) -> DataFrame:
     return rows.select("window", "words", "offset", key.alias("key"), size.alias("size"))
 
 
-def corpus_hits(docs: DataFrame, shingles: DataFrame, doc_id: str, text: str) -> DataFrame:
+def corpus_hits(docs: DataFrame, shingles: DataFrame, doc_id: str, text: str, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """A row marked ``first`` for every document, and one per shingle of it that the benchmark has (key not null).
 
     ``near`` holds the words from ``WINDOW - 1`` before the shingle's start to
@@ -72,21 +75,31 @@ def corpus_hits(docs: DataFrame, shingles: DataFrame, doc_id: str, text: str) ->
     """
     cut = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("tie"), words_of(text).alias("words"))
     rows = cut.select("*", F.posexplode_outer("words").alias("at", "_word")).drop("_word")
-    counted = rows.select("doc_id", "tie", "at", "words", F.size("words").alias("n_words"))
+    counted = rows.withColumn("n_words", F.size("words"))
+    known = shingles.select("size", "key").distinct()
+    few = known.count() <= max_broadcast
+    low = F.greatest(F.col("at") - (WINDOW - 1), F.lit(0))
+    near = F.when(F.col("found"), F.slice("words", low + 1, F.col("at") - low + WINDOW))
+    row = ("doc_id", "tie", "n_words", "key", "at", "found")
 
     def around(size: int) -> DataFrame:
-        keys = shingles.where(F.col("size") == size).select("key").distinct().withColumn("found", F.lit(True))
+        keys = known.where(F.col("size") == size).select("key", F.lit(True).alias("found"))
         inside = counted.withColumn("key", F.when(F.col("at") + size <= F.col("n_words"), shingle_key("words", F.col("at"), size)))
+        if few:
+            inside, keys = inside.select(*row[:-1], "words"), F.broadcast(keys)
+        else:
+            inside = inside.select(*row[:-1])
         if size < SHINGLE:
-            return inside.join(keys, "key")
-        return inside.join(keys, "key", "left").where(
-            F.col("found") | F.col("at").isNull() | (F.col("at") == 0)).withColumn("key", F.when(F.col("found"), F.col("key")))
+            return inside.join(keys, "key").withColumn("first", F.lit(False))
+        met = inside.join(keys, "key", "left").withColumn("first", F.coalesce(F.col("at") == 0, F.lit(True)))
+        return met.where(F.col("found") | F.col("first")).withColumn("key", F.when(F.col("found"), F.col("key")))
 
-    hits = around(SHINGLE).withColumn("first", F.coalesce(F.col("at") == 0, F.lit(True)))
+    hits = around(SHINGLE)
     for size in range(1, SHINGLE):  # items shorter than a shingle; these scans end early where there are none
-        hits = hits.unionByName(around(size).withColumn("first", F.lit(False)))
-    low = F.greatest(F.col("at") - (WINDOW - 1), F.lit(0))
-    near = F.when(F.col("found"), F.slice("words", low + 1, F.col("at") - low + WINDOW))
+        hits = hits.unionByName(around(size))
+    if not few:
+        words = cut.select(F.col("doc_id").alias("_d"), F.col("tie").alias("_t"), "words").dropDuplicates(["_d", "_t"])
+        hits = hits.join(words, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tie") == F.col("_t")))
     return hits.select("doc_id", "tie", "n_words", "key", "at", low.alias("low"), near.alias("near"), "first")
 
 
@@ -106,12 +119,12 @@ def occurrences(hits: DataFrame, shingles: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                  item_id: str = "item_id") -> DataFrame:
+                  item_id: str = "item_id", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """Per document: doc_id, tie (its text's hash), n_words, n_hit, items (sorted ids, as strings) and contaminated."""
     prepare(docs.sparkSession)
     windows = written(item_windows(items, item_id), "item_windows")
     shingles = written(window_shingles(windows), "window_shingles")
-    hits = written(corpus_hits(docs, shingles, doc_id, text), "corpus_hits")
+    hits = written(corpus_hits(docs, shingles, doc_id, text, max_broadcast), "corpus_hits")
     found = written(occurrences(hits, shingles), "window_occurrences")
     row = ("doc_id", "tie")
     covered = found.select(*row, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)).alias("at")).distinct()

@@ -128,12 +128,14 @@ def test_repeats_match_brute_force(spark, corpus):
     assert substring_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
-def test_contamination_matches_brute_force(spark, corpus):
+@pytest.mark.parametrize("max_broadcast", [decontaminate.MAX_BROADCAST, 0])
+def test_contamination_matches_brute_force(spark, corpus, max_broadcast):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     items = [(1, corpus[3][1].upper()[:200]), (2, corpus[115][1].replace(" ", ", ")), (3, "t1 T2"), (4, ""), (5, None), (6, "REP"),
              (7, "É t7 t8"), (8, "nothing of the kind is anywhere in here at all"), (9, "t1-t2"), (None, "t1 t2")]
     rows = [*corpus, (300, "x É t7-T8 y", None), (301, "x é t7 t8 y", None)]
-    got = decontaminate.decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = decontaminate.decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"),
+                                     max_broadcast=max_broadcast).collect()
     windows = defaultdict(set)
     for item, t in items:
         w = cut(t)
