@@ -205,6 +205,17 @@ def q_clean_numeric(spark, sf):
     return rounded(d.select("o_orderkey", "raw", clean_numeric("raw").alias("value")))
 
 
+@register("to_numeric", O.with_views(["dirty"], [], """
+SELECT o_orderkey, raw, round(CASE WHEN regexp_matches(regexp_replace(raw, '^\\s+|\\s+$', '', 'g'),
+  '^[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?$') THEN TRY_CAST(trim(raw) AS DOUBLE) END, 4) AS value FROM dirty"""))
+def q_to_numeric(spark, sf):
+    """P10: text price coerced to a number; anything but a plain decimal is null."""
+    from barline.functions.numeric import to_numeric
+
+    d = fx.dirty(spark, sf)
+    return rounded(d.select("o_orderkey", "raw", to_numeric("raw").alias("value")))
+
+
 @register("preprocess_stocks", O.with_views(["raw_stocks"], [], f"""
 SELECT * FROM (
   SELECT CAST("Timestamp" AS TIMESTAMP) AS timestamp, "Name" AS name,
@@ -439,6 +450,16 @@ def q_tail_n(spark, sf):
     return rounded(X.tail_per_asset(p, TAIL_N, [F.col("ts"), F.col("tie")]))
 
 
+@register("head_n", O.with_views(["prices"], [], f"""
+SELECT asset_name, ts, tie, round(price, 4) AS price, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY asset_name ORDER BY ts, tie) AS rank FROM prices)
+WHERE rank <= {TAIL_N}"""))
+def q_head_n(spark, sf):
+    """The oldest 365 raw rows per asset."""
+    p = fx.prices(spark, sf).select("asset_name", "ts", "tie", "price")
+    return rounded(X.tail_per_asset(p, TAIL_N, [F.col("ts"), F.col("tie")], newest_first=False))
+
+
 # --------------------------------------------------------------- drift ----
 _DRIFT_COLS = ["return", "log_return", "macd_diff", "rsi", "bb_width", "bb_position",
                f"volatility_{FEATURES.volatility_window}"]
@@ -515,6 +536,25 @@ def q_drift_summary(spark, sf):
     return rounded(D.drift_summary(_ks(spark, sf)))
 
 
+@register("drift_report", O.with_views(["daily"], _FEAT + [("split", _SPLIT_SQL), ("ks", _KS_SQL), ("ksp", _KSP_SQL)], f"""
+SELECT asset_name, lower(translate(asset_name, '. ', '__')) AS report_name, "column" AS column_name,
+       {O.r('ks_stat')} AS ks_stat, {O.r('p_value')} AS p_value, p_value < 0.05 AS drifted,
+       count(*) FILTER (WHERE p_value < 0.05) OVER (PARTITION BY asset_name) AS n_drifted
+FROM ksp""", recursive=True))
+def q_drift_report(spark, sf):
+    """One nested drift report per asset as JSON, read back and flattened."""
+    from barline.session import materialize
+
+    ks = materialize(_ks(spark, sf), "drift-ks")
+    report = D.drift_report(ks, D.drift_summary(ks))
+    path = scratch_path(spark, "drift-report")
+    FI.write_json(report, path)
+    back = spark.read.schema(report.schema).json(path)
+    flat = back.select("asset_name", "report_name", "n_drifted", F.explode("columns").alias("c"))
+    return rounded(flat.select("asset_name", "report_name", F.col("c.column").alias("column_name"), "c.ks_stat",
+                               "c.p_value", "c.drifted", "n_drifted"))
+
+
 # ----------------------------------------------------------- sequences ----
 from barline.operators import registry as R  # noqa: E402
 from barline.operators import scoring as S  # noqa: E402
@@ -584,6 +624,19 @@ def q_chrono_split(spark, sf):
     return SQ.chrono_split(_seqs(spark, sf)).select("asset_name", "day", "seq_idx", "split")
 
 
+_SPLIT80_SQL = f"""
+SELECT *, CASE WHEN seq_idx <= floor(n * {O.dlit(0.8)}) THEN 'train' ELSE 'test' END AS split
+FROM (SELECT *, count(*) OVER (PARTITION BY asset_name) AS n FROM seqs)
+WHERE n >= 2 AND floor(n * {O.dlit(0.8)}) >= 1 AND n > floor(n * {O.dlit(0.8)})"""
+
+
+@register("search_split", O.with_views(["daily"], _SEQ_CTES[:len(_FEAT) + 2] + [("split80", _SPLIT80_SQL)],
+                                       "SELECT asset_name, day, seq_idx, split FROM split80", recursive=True))
+def q_search_split(spark, sf):
+    """Chronological 80/20 split of each asset's sequences, as the search uses it."""
+    return SQ.chrono_split(_seqs(spark, sf), (0.8,), min_rows=2).select("asset_name", "day", "seq_idx", "split")
+
+
 # ------------------------------------------------------------ registry ----
 _LATEST_SQL = """
 SELECT model_name, run_id, rmse, mae FROM (

@@ -129,3 +129,13 @@ def test_nan_becomes_null(spark):
 
     df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "x double, k int")
     assert [r["x"] for r in nan_to_null(df).orderBy("k").collect()] == [None, 2.0]
+
+
+def test_numeric_text_white_space_and_underscores(spark):
+    from barline.functions.numeric import clean_numeric, to_numeric
+
+    texts = ["\t5\n", " 7 ", "1_000", "1__0", "$1_000M\n", "inf", None, "x"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = rows.orderBy("i").select(clean_numeric("t").alias("c"), to_numeric("t").alias("n")).collect()
+    assert [r["c"] for r in got] == [5.0, 7.0, 1000.0, None, 1e9, float("inf"), None, None]
+    assert [r["n"] for r in got] == [5.0, 7.0, None, None, None, float("inf"), None, None]

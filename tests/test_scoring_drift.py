@@ -157,3 +157,13 @@ def test_exact_ks_key_agrees_with_local_p_values(spark):
         want = exact_tail_probability(r.n_ref, r.n_cur, r.ks_stat)
         assert r.p_value == pytest.approx(round(want, 4), abs=1e-4)
         assert r.drifted == (want < 0.05)
+
+
+def test_one_sided_asset_does_not_stop_the_drift_test(spark):
+    from barline.operators.drift import drift_summary, ks_statistics
+
+    rows = [("A", "reference" if i < 20 else "current", float(i % 7)) for i in range(40)] + [("B", "current", 1.0)]
+    got = {r["asset_name"]: r for r in ks_statistics(spark.createDataFrame(rows, "asset_name string, side string, x double"),
+                                                     ["x"]).collect()}
+    assert got["A"]["p_value"] is not None and got["B"]["p_value"] is None and got["B"]["n_ref"] == 0
+    assert drift_summary(spark.createDataFrame(list(got.values()))).count() == 2
