@@ -136,7 +136,9 @@ def ks_statistics(split: DataFrame, columns: Sequence[str], key: str = "asset_na
         p = ks_exact_pvalue(F.col("n_ref"), F.col("n_cur"), F.col("ks_stat"))
     else:
         p = ks_pvalue(F.col("n_ref").cast("double"), F.col("n_cur").cast("double"), F.col("ks_stat"))
-    return stats.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < F.lit(P_THRESHOLD))
+    # a side without values has no distance: the pair stays, with null results
+    tested = F.when(F.col("ks_stat").isNotNull(), p)
+    return stats.withColumn("p_value", tested).withColumn("drifted", F.col("p_value") < F.lit(P_THRESHOLD))
 
 
 def drift_summary(ks: DataFrame, key: str = "asset_name", threshold: float = SHARE_THRESHOLD) -> DataFrame:
