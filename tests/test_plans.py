@@ -8,7 +8,7 @@ from barline.plans.catalog import QUERIES
 
 def _plan(df) -> str:
     df.collect()  # the frame itself runs, so its plan is the final one
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 def test_feature_table_two_exchanges_hash_aggregates(spark):
