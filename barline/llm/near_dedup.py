@@ -29,9 +29,13 @@ similarity of their multisets, sum of minima over sum of maxima, is at least
 5. Classes are found by label propagation with pointer jumping, each round
    written to the shared folder.
 
-Rows of one doc_id are one document.  A null id is replaced by a negative number
-from its text.  Texts without words are linked only to equal texts; null texts
-to nothing.  Empty tables give no rows; other columns are not read.
+A node is a row's doc_id and text, so an id that repeats with other texts is as
+many documents as it has texts; rows equal in both are copies of one.  A class is
+numbered by its smallest doc_id; if several classes have the same smallest id, one
+has it and each other one a negative number from its texts, as has a class without
+an id.  Texts without words are linked only to equal texts; null texts to nothing
+(without an id their class is null).  Empty tables give no rows; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -270,11 +274,12 @@ def leftover_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> Da
 
 
 def node_of(doc_id: Column, text: Column) -> Column:
-    return F.coalesce(doc_id.cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 2))
+    """64 bits that stand for a row's id and text."""
+    return F.xxhash64(doc_id, text)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, class_id): the smallest document of each row's class."""
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, node, empty, label): the smallest node of each row's class; ``empty`` rows have a null text."""
     prepare(docs.sparkSession)
     src = docs.select(F.col(doc_id).alias("doc_id"), node_of(F.col(doc_id), F.col(text)).alias("node"), F.col(text).alias("text"))
     # 60 bits of MD5 stand for a text: equal digests are taken for equal texts
@@ -291,13 +296,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rest = written(leftover_pairs(buckets, sigs.select("node", "sig"), labels), "pairs")
     if not rest.isEmpty():
         labels = components(links.unionByName(verified(rest, texts)))
-    return src.select("doc_id", "node").join(labels, "node", "left").select(
-        "doc_id", F.coalesce("label", "node").alias("class_id"))
+    rows = src.select("doc_id", "node", F.col("text").isNull().alias("empty")).join(labels, "node", "left")
+    return written(rows.select("doc_id", "node", "empty", F.coalesce("label", "node").alias("label")), "classes")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, class_id): each row with the number of its class."""
+    rows = classes(docs, doc_id, text)
+    each = rows.groupBy("label").agg(F.min(F.col("doc_id").cast("long")).alias("least"), F.min("empty").alias("empty"))
+    # of the classes with one smallest id, the first with a text has it
+    owner = each.groupBy("least").agg(F.min(F.struct("empty", "label"))["label"].alias("owner"))
+    number = -1 - F.shiftrightunsigned("label", 2)
+    number = F.when(F.col("label") == F.col("owner"), F.col("least")).when(F.col("least").isNotNull() | ~F.col("empty"), number)
+    numbers = each.join(owner.where("least is not null"), "least", "left").select("label", number.alias("class_id"))
+    return rows.join(numbers, "label").select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: one row of the smallest document of each class."""
+    """The rows of ``docs`` without near duplicates: one row of the smallest document of each class, and all rows with a null text."""
     node, columns = fresh(docs, "_node"), docs.columns
-    kept = near_duplicates(docs.select("doc_id", "text")).select(F.col("class_id").alias(node)).distinct()
-    rows = docs.withColumn(node, node_of(F.col("doc_id"), F.col("text"))).join(kept, node, "left_semi")
-    return rows.dropDuplicates([node]).select(*columns)
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node").alias("node")))
+    kept = classes(docs.select("doc_id", "text")).where("not empty").groupBy("label").agg(first["node"].alias(node)).select(node)
+    rows = docs.where(F.col("text").isNotNull()).withColumn(node, node_of(F.col("doc_id"), F.col("text"))).dropDuplicates([node])
+    return rows.join(kept, node, "left_semi").select(*columns).unionByName(docs.where(F.col("text").isNull()))

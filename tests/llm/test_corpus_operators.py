@@ -90,6 +90,30 @@ def test_near_duplicate_classes_match_brute_force(spark, corpus):
     assert sorted(r[0] for r in kept.where("doc_id is not null").select("doc_id").collect()) == sorted({find(i) for i in sets})
 
 
+def test_one_id_with_unrelated_texts_is_several_documents(spark):
+    rng = np.random.default_rng(8)
+    text = lambda: [f"t{k}" for k in rng.integers(0, 4000, 120)]
+    a, b, c, d = text(), text(), text(), text()
+    near = lambda w: " ".join(w[:-1] + ["z"])
+    rows = [(5, " ".join(a), None), (5, " ".join(a), None), (5, " ".join(b), None), (7, near(a), None), (9, near(b), None),
+            (5, None, None), (5, None, None), (None, None, None), (None, None, None), (None, " ".join(c), None),
+            (11, near(c), None), (None, " ".join(d), None), (None, near(d), None)]
+    got = defaultdict(list)
+    for r in near_dedup.near_duplicates(frame(spark, rows)).collect():
+        got[r["doc_id"]].append(r["class_id"])
+    assert sum(map(len, got.values())) == len(rows)
+    (seven,), (nine,), (eleven,) = got[7], got[9], got[11]
+    assert seven != nine and 5 in (seven, nine) and min(seven, nine) < 0 and eleven == 11
+    assert sorted(Counter(got[5]).values()) == [1, 2, 2] and got[5].count(seven) == 2 and got[5].count(nine) == 1
+    free = got[None]
+    assert free.count(None) == 2 and free.count(11) == 1 and len(set(free)) == 3
+    kept = Counter((r["doc_id"], r["text"]) for r in near_dedup.keep_one(frame(spark, rows)).collect())
+    of_d = {(None, " ".join(d)), (None, near(d))}
+    assert sum(kept[x] for x in of_d) == 1
+    assert {k: n for k, n in kept.items() if k not in of_d} == {
+        (5, " ".join(a)): 1, (5, " ".join(b)): 1, (11, near(c)): 1, (5, None): 2, (None, None): 2}
+
+
 def test_leftover_search_finds_links_the_star_misses(spark):
     """b is the bucket's smallest; c and d are linked to each other only."""
     rng = np.random.default_rng(1)
