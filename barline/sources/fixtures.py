@@ -2,7 +2,8 @@
 
 The driver tables hold no prices, so each operator runs on a view derived
 from them (definitions in FIXTURES.md §2).  Every view reads its whole source
-table; nothing is sampled or capped.
+table and nothing is sampled or capped, but the features of ``requests`` leave out
+the events of types from 'p' on, as the oracle SQL does.
 """
 
 from __future__ import annotations
