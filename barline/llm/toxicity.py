@@ -10,8 +10,8 @@ after Platt calibration.
 Training runs in numpy on the driver over a bounded sample: at most
 ``MAX_PER_CLASS`` labelled documents per class, those with the smallest hash of
 their id.  A document counts through its highest-scoring window (multiple
-instance learning).  The number of updates is fixed, so training cost does not
-grow with the table.
+instance learning); every update scores all windows of its documents.  The number
+of updates is fixed, so training cost does not grow with the table.
 
 Null and empty texts score 0.  Repeated rows each get a row; labels join by
 ``doc_id`` (null ids have none).  With no labelled documents, or only one
@@ -45,7 +45,6 @@ MIN_DOCS = 3
 MAX_PER_CLASS = 1000
 UPDATES = 400
 BATCH_DOCS = 20  # of each class
-TRAIN_WINDOWS = 32  # of one document in one update, evenly spread
 RATE = 0.02
 DECAY = 1e-5
 CHECK_EVERY = 25
@@ -304,10 +303,10 @@ def log_loss(logit: np.ndarray, label: np.ndarray) -> float:
 def train(texts: list[str], labels: np.ndarray, prior: float, updates: int = UPDATES, seed: int = 7) -> dict[str, np.ndarray]:
     """Fit the network on whole texts; ``prior`` is the share of toxic documents, for calibration.
 
-    Every fourth text is kept from the updates: the weights with the least loss on
-    these texts are returned, calibrated on them.
+    Every fourth text is first kept from the updates, for the number of updates with
+    the least loss on these texts and for calibration.  The weights returned are then
+    fitted anew on all texts by that many updates.
     """
-    rng = np.random.default_rng(seed)
     words = split_words(pa.array(texts, pa.string()))
     x = word_inputs(words.uniques)
     known, common = frequent(words, x)
@@ -315,12 +314,9 @@ def train(texts: list[str], labels: np.ndarray, prior: float, updates: int = UPD
     w_owner, w_first, w_size = windows(words.counts, words.starts)
     w_from = np.searchsorted(w_owner, np.arange(len(texts) + 1))
     spare = np.arange(len(texts)) % 4 == 3
-    usable = (np.diff(w_from) > 0) & ~spare
-    groups = [np.flatnonzero((labels == k) & usable) for k in (0, 1)]
-    p = initial(len(known), seed) | {"known": known}
-    p["char"][~common] = 0
-    adam = Adam({k: v for k, v in p.items() if k != "known"})
-    kept, least = {k: v.copy() for k, v in p.items()}, np.inf
+    usable = np.diff(w_from) > 0
+    kept, least, best = initial(len(known), seed) | {"known": known}, np.inf, 0
+    kept["char"][~common] = 0
     checked = np.flatnonzero(spare & (np.diff(w_from) > 0))
     seen = words.codes[ragged(words.starts[checked], words.counts[checked])]
     check_words = np.unique(seen)
@@ -328,44 +324,57 @@ def train(texts: list[str], labels: np.ndarray, prior: float, updates: int = UPD
     code[check_words] = np.arange(len(check_words))
     check = Words(words.uniques, code[seen], np.concatenate([[0], np.cumsum(words.counts[checked])]))
     check_inputs = x.select(check_words)
-    for step in range(updates if min(map(len, groups)) else 0):
-        docs = np.concatenate([rng.choice(own, min(BATCH_DOCS, len(own)), replace=False) for own in groups])
-        cand = np.concatenate([np.unique(np.linspace(w_from[d], w_from[d + 1] - 1, TRAIN_WINDOWS).astype(np.int64)) for d in docs])
-        own = words.codes[ragged(w_first[cand], w_size[cand])]
-        used = np.unique(own)
-        code[used] = np.arange(len(used))
-        view = Words(words.uniques, code[own], np.zeros(0, np.int64))
-        first = np.cumsum(w_size[cand]) - w_size[cand]
-        part = x.select(used)
-        vectors = embed(p, part, rows[used])
-        gates = {side: gate_inputs(p, vectors, side) for side in "fb"}
-        # a document counts through its highest window under the present weights; toxic ones at first by any window
-        logit = window_logits(p, view, gates, first, w_size[cand])
-        if step < updates // 3:
-            logit = np.where(labels[w_owner[cand]] == 1, rng.random(len(cand)), logit)
-        ends = np.flatnonzero(np.diff(w_owner[cand], append=-1)) + 1
-        top = np.array([a + np.argmax(logit[a:b]) for a, b in zip(np.append(0, ends[:-1]), ends)])
-        steps, mask = window_steps(view.codes, first[top], w_size[cand][top])
-        mask = np.ones(steps.shape, np.float32) if mask is None else mask
-        z, cache = forward(p, gates, steps, mask, keep=True)
-        y = labels[w_owner[cand][top]]
-        share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-        d = ((1 / (1 + np.exp(-z)) - y) * share).astype(np.float32)
-        g = gradient(p, part, rows[used], vectors, steps, mask, cache, d)
-        g["word"] += DECAY * p["word"]
-        g["char"] += DECAY * p["char"]
-        g["char"][~common] = 0
-        adam.step(p, g, RATE * (1 - step / updates) + 1e-4)
-        if len(checked) and step % CHECK_EVERY == CHECK_EVERY - 1:
+
+    def fitted(groups: list[np.ndarray], n: int) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+        """(updates made, weights) after each of ``n`` updates on the texts of both groups."""
+        rng = np.random.default_rng(seed)
+        p = initial(len(known), seed) | {"known": known}
+        p["char"][~common] = 0
+        adam = Adam({k: v for k, v in p.items() if k != "known"})
+        for step in range(n if min(map(len, groups)) else 0):
+            docs = np.concatenate([rng.choice(own, min(BATCH_DOCS, len(own)), replace=False) for own in groups])
+            cand = ragged(w_from[docs], w_from[docs + 1] - w_from[docs])
+            own = words.codes[ragged(w_first[cand], w_size[cand])]
+            used = np.unique(own)
+            code[used] = np.arange(len(used))
+            view = Words(words.uniques, code[own], np.zeros(0, np.int64))
+            first = np.cumsum(w_size[cand]) - w_size[cand]
+            part = x.select(used)
+            vectors = embed(p, part, rows[used])
+            gates = {side: gate_inputs(p, vectors, side) for side in "fb"}
+            # a document counts through its highest window under the present weights; toxic ones at first by any window
+            logit = window_logits(p, view, gates, first, w_size[cand])
+            if step < updates // 3:
+                logit = np.where(labels[w_owner[cand]] == 1, rng.random(len(cand)), logit)
+            ends = np.flatnonzero(np.diff(w_owner[cand], append=-1)) + 1
+            top = np.array([a + np.argmax(logit[a:b]) for a, b in zip(np.append(0, ends[:-1]), ends)])
+            steps, mask = window_steps(view.codes, first[top], w_size[cand][top])
+            mask = np.ones(steps.shape, np.float32) if mask is None else mask
+            z, cache = forward(p, gates, steps, mask, keep=True)
+            y = labels[w_owner[cand][top]]
+            share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+            d = ((1 / (1 + np.exp(-z)) - y) * share).astype(np.float32)
+            g = gradient(p, part, rows[used], vectors, steps, mask, cache, d)
+            g["word"] += DECAY * p["word"]
+            g["char"] += DECAY * p["char"]
+            g["char"][~common] = 0
+            adam.step(p, g, RATE * (1 - step / updates) + 1e-4)
+            yield step + 1, p
+
+    both = lambda chosen: [np.flatnonzero((labels == k) & chosen) for k in (0, 1)]
+    for made, p in fitted(both(usable & ~spare), updates):
+        if len(checked) and made % CHECK_EVERY == 0:
             loss = log_loss(document_logits(p, check, check_inputs), labels[checked])
             if loss < least:
-                kept, least = {k: v.copy() for k, v in p.items()}, loss
+                kept, least, best = {k: v.copy() for k, v in p.items()}, loss, made
     logit = document_logits(kept, check, check_inputs).astype(np.float64)
     y = labels[checked]
     n1, n0 = (max(1, int((y == k).sum())) for k in (1, 0))
     weight = np.where(y == 1, prior / n1, (1 - prior) / n0) * (n0 + n1)
-    kept["platt"] = np.array(calibrate(logit, y, weight))
-    return kept
+    platt = np.array(calibrate(logit, y, weight))
+    for _, kept in fitted(both(usable), best):
+        pass
+    return kept | {"platt": platt}
 
 
 # ---------------------------------------------------------------- Spark

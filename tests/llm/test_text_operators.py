@@ -149,6 +149,26 @@ def test_every_word_lies_in_overlapping_windows():
     assert (first + size <= starts[owner + 1]).all()
 
 
+def test_a_toxic_passage_is_learnt_wherever_a_long_text_has_it():
+    """The passages lie where windows spread evenly over a text, 32 of them, leave gaps."""
+    rng = np.random.default_rng(4)
+    n, labels = 3000, np.arange(48) % 2
+    _, first, size = toxicity.windows(np.array([n]), np.array([0, n]))
+    spread = np.unique(np.linspace(0, len(first) - 1, 32).astype(np.int64))
+    gaps = [(a + 64, b) for a, b in zip(first[spread[:-1]], first[spread[1:]]) if b - a - 64 >= 24]
+    texts = []
+    for toxic in labels:
+        words = [f"plain{k}" for k in rng.integers(0, 300, n)]
+        if toxic:
+            a, _ = gaps[rng.integers(len(gaps))]
+            words[a:a + 24] = [f"vile{k}" for k in rng.integers(0, 6, 24)]
+        texts.append(" ".join(words))
+    train = np.arange(48) < 36
+    model = toxicity.train([x for x, own in zip(texts, train) if own], labels[train], 0.5, updates=100)
+    told = toxicity.score_texts(model, pa.array([x for x, own in zip(texts, train) if not own])) >= 0.5
+    assert (told == labels[~train]).mean() >= 0.9
+
+
 def test_toxicity_on_held_out_texts(spark):
     rng = np.random.default_rng(0)
     clean = ["w%d" % i for i in range(300)]
