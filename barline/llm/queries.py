@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import chat_format, decontaminate, host_quality, language, mixing, near_dedup, sharding, substring_dedup, token_blocks, toxicity
+from barline.llm import chat_format, decontaminate, host_quality, language, license_scan, mixing, near_dedup, sharding, substring_dedup, token_blocks, toxicity
 from barline.llm.text import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -248,3 +248,57 @@ SELECT doc_id, CAST(l.slot AS INTEGER) AS slot, CAST(l.shard AS INTEGER) AS shar
 FROM documents JOIN fill l
   ON ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT % 6553 = l.slot
 """
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(prepare(spark), sf_dir, "documents"))
+
+
+def _license_templates() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    return ", ".join(f"({k}, {quoted(t.label)}, {str(t.exact).lower()}, {quoted(t.text)})" for k, t in enumerate(license_scan.TEMPLATES))
+
+
+ORACLE["op13_license_scan"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (
+  SELECT *, least(len(w), 4) AS k FROM (
+    SELECT template, label, exact, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (VALUES {_license_templates()}) v(template, label, exact, text))),
+g AS (
+  SELECT template, label, exact, len(w) AS n, k, pos, array_to_string(w[pos+1:pos+k], ' ') AS key
+  FROM (SELECT *, unnest(range(0, len(w) - k + 1)) AS pos FROM t)),
+dg AS (
+  SELECT rid, i, k, array_to_string(w[i+1:i+k], ' ') AS key
+  FROM (SELECT rid, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM g) WHERE len(w) >= k)),
+hits AS (SELECT rid, i, template, label, exact, n, g.k, pos FROM dg JOIN g ON dg.k = g.k AND dg.key = g.key),
+places AS (
+  SELECT rid, label, i - pos AS start FROM hits WHERE exact
+  GROUP BY rid, template, label, n, k, i - pos HAVING count(*) = n - k + 1),
+base AS (
+  SELECT rid, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY rid),
+steps AS (
+  SELECT *, CASE WHEN diag - lag(diag) OVER (PARTITION BY rid, template ORDER BY diag, i) <= 4 THEN 0 ELSE 1 END AS fresh
+  FROM (SELECT *, i - pos AS diag FROM hits WHERE NOT exact)),
+banded AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY rid, template ORDER BY diag, i) AS band FROM steps),
+bands AS (
+  SELECT rid, template, label, n, band, max(i + k) - min(i) AS span FROM banded GROUP BY ALL),
+cover AS (
+  SELECT rid, template, band, count(DISTINCT word) AS c
+  FROM (SELECT rid, template, band, unnest(range(pos, pos + k)) AS word FROM banded) GROUP BY ALL),
+judged AS (
+  SELECT rid, label, c / n::DOUBLE AS score, span <= 2 * n AND 10 * c >= 7 * n AS holds FROM bands JOIN cover USING (rid, template, band)),
+told AS (
+  SELECT rid, max(score) AS score, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (keep) AS labels
+  FROM (SELECT rid, label, score, holds AS keep FROM judged UNION ALL SELECT rid, label, 1.0, true FROM places) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+       CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0::DOUBLE) AS score
+FROM d LEFT JOIN base ON d.rid = base.rid LEFT JOIN told ON d.rid = told.rid
+"""
