@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import chat_format, decontaminate, host_quality, language, license_scan, mixing, near_dedup, sharding, substring_dedup, token_blocks, toxicity
+from barline.llm import chat_format, decontaminate, host_quality, language, license_scan, mixing, near_dedup, periodic_runs, sharding, substring_dedup, token_blocks, toxicity
 from barline.llm.text import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -250,6 +250,18 @@ FROM documents JOIN fill l
 """
 
 
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.repeat_tails(table(prepare(spark), sf_dir, "documents"))
+    told = periodic_runs.periodic_runs(docs).withColumn("best", periodic_runs.strongest("runs"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return told.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 @query
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(prepare(spark), sf_dir, "documents"))
