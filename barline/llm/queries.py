@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.llm import chat_format, decontaminate, host_quality, language, license_scan, mixing, near_dedup, periodic_runs, sharding, substring_dedup, token_blocks, toxicity
+from barline.llm import chat_format, decontaminate, host_quality, language, license_scan, mixing, near_dedup, periodic_runs, sharding, substring_dedup, token_blocks, toxicity, whitening
 from barline.llm.text import prepare, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -250,6 +250,11 @@ FROM documents JOIN fill l
 """
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(prepare(spark), sf_dir, "embeddings"))
+
+
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.repeat_tails(table(prepare(spark), sf_dir, "documents"))
