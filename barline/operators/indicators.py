@@ -2,8 +2,8 @@
 
 All window indicators share one ``WindowSpec`` (partition by asset, order by
 day), so Catalyst plans a single exchange and sort for the whole chain.  The
-recursive EMA family (MACD, signal, RSI) is one grouped map per asset that
-reuses the same hash partitioning (see ``ema_family``).
+recursive EMA family (MACD, signal, RSI) is a blocked scan of affine maps
+(``linear_scan.ema_scan``), window functions and joins throughout.
 Each asset's partition is its daily series, whose length is bounded by the
 calendar, not by the raw row count.
 
@@ -17,15 +17,13 @@ Conventions (published definitions of the indicators):
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barline.config import FeatureConfig
-from barline.functions.ema import span_alpha
 from barline.functions.numeric import natural_log, ratio, ratio_or_null
+from barline.operators.linear_scan import WIDTH, Average, ema_scan, span_alpha
 
 
 def panel_window(key: str = "asset_name", order: str = "day") -> WindowSpec:
@@ -61,40 +59,37 @@ def bollinger(x: str, w: WindowSpec, n: int, dev: float) -> dict[str, Column]:
     }
 
 
+def position(df: DataFrame, order: str) -> Column:
+    """A whole number that orders the rows: the number of the day, or the column itself."""
+    return F.unix_date(order) if isinstance(df.schema[order].dataType, T.DateType) else F.col(order).cast("long")
+
+
 def ema_family(daily: DataFrame, cfg: FeatureConfig = FeatureConfig(), key: str = "asset_name",
-               order: str = "day", x: str = "close", keep_emas: bool = False) -> DataFrame:
-    """MACD line, signal, histogram and RSI — the recursive (EMA) indicators.
-
-    Spark has no recursive window function, so these run as one grouped map
-    per asset (``applyInPandas``): each group is one asset's daily series,
-    whose length is bounded by the calendar, and the input is already hash
-    partitioned by asset, so no extra exchange is planned.  Inside, pandas'
-    ``ewm(adjust=False, min_periods=n)`` evaluates the recursion in O(n).
-    All other indicators stay Catalyst window expressions.
+               order: str = "day", x: str = "close", keep_emas: bool = False, block: int = WIDTH) -> DataFrame:
+    """MACD line, signal, histogram and RSI, the recursive (EMA) indicators, as blocked affine scans.
+
+    One scan gives the fast and slow averages and the averages of gains and losses,
+    a second one the signal, whose input starts where the MACD line does.
     """
-    af, as_, ag = span_alpha(cfg.macd_fast), span_alpha(cfg.macd_slow), span_alpha(cfg.macd_signal)
-    n_rsi = cfg.rsi_window
-    extra = ["macd", "macd_signal", "macd_diff", "rsi"] + (["ema_fast", "ema_slow"] if keep_emas else [])
-    schema = T.StructType(list(daily.schema.fields) + [T.StructField(c, T.DoubleType()) for c in extra])
-
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        c = pdf[x].astype("float64")
-        fast = c.ewm(alpha=af, adjust=False, min_periods=cfg.macd_fast).mean()
-        slow = c.ewm(alpha=as_, adjust=False, min_periods=cfg.macd_slow).mean()
-        macd = fast - slow
-        signal = macd.ewm(alpha=ag, adjust=False, min_periods=cfg.macd_signal).mean()
-        diff = c.diff(1)
-        up = diff.where(diff > 0, 0.0).ewm(alpha=1.0 / n_rsi, adjust=False, min_periods=n_rsi).mean()
-        down = (-diff.where(diff < 0, 0.0)).ewm(alpha=1.0 / n_rsi, adjust=False, min_periods=n_rsi).mean()
-        rsi_v = np.where(down == 0, 100.0, 100.0 - 100.0 / (1.0 + up / down))
-        rsi_v = np.where(down.isna(), np.nan, rsi_v)
-        out = pdf.assign(macd=macd, macd_signal=signal, macd_diff=macd - signal, rsi=rsi_v)
-        if keep_emas:
-            out = out.assign(ema_fast=fast, ema_slow=slow)
-        return out
-
-    return daily.groupBy(key).applyInPandas(kernel, schema)
+    n_rsi, pos = cfg.rsi_window, position(daily, order)
+    diff = F.col(x) - F.lag(x).over(panel_window(key, order))
+    rows = daily.withColumn("_diff", diff).withColumns({
+        "_up": F.greatest(F.coalesce("_diff", F.lit(0.0)), F.lit(0.0)),
+        "_down": F.greatest(-F.coalesce("_diff", F.lit(0.0)), F.lit(0.0)),
+    })
+    rows = ema_scan(rows, [key], pos, {
+        "ema_fast": Average(x, span_alpha(cfg.macd_fast), cfg.macd_fast),
+        "ema_slow": Average(x, span_alpha(cfg.macd_slow), cfg.macd_slow),
+        "_gain": Average("_up", 1.0 / n_rsi, n_rsi), "_loss": Average("_down", 1.0 / n_rsi, n_rsi)}, block)
+    rows = rows.withColumn("macd", F.col("ema_fast") - F.col("ema_slow"))
+    rows = ema_scan(rows, [key], pos, {"macd_signal": Average("macd", span_alpha(cfg.macd_signal), cfg.macd_signal)}, block)
+    strength = F.lit(100.0) - F.try_divide(F.lit(100.0), F.lit(1.0) + F.try_divide("_gain", "_loss"))
+    rows = rows.withColumns({
+        "macd_diff": F.col("macd") - F.col("macd_signal"),
+        "rsi": F.when(F.col("_loss") == 0, F.lit(100.0)).otherwise(strength),
+    })
+    emas = ["ema_fast", "ema_slow"] if keep_emas else []
+    return rows.select(*daily.columns, "macd", "macd_signal", "macd_diff", "rsi", *emas)
 
 
 def add_indicators(daily: DataFrame, cfg: FeatureConfig = FeatureConfig(), key: str = "asset_name",
@@ -116,8 +111,7 @@ def add_indicators(daily: DataFrame, cfg: FeatureConfig = FeatureConfig(), key:
     if target:
         first["target"] = F.lead(x, 1).over(w)
 
-    # window indicators first (one exchange + sort on asset), the recursive EMA
-    # family last: its grouped map reuses that partitioning without a shuffle
+    # window indicators first (one exchange and sort on asset); the scans of the recursive family reuse its partitioning
     stage2 = daily.select("*", *[c.alias(name) for name, c in first.items()])
     stage2 = stage2.withColumns({
         "bb_width": ratio_or_null(F.col("bb_high") - F.col("bb_low"), F.col(x)),

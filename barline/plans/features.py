@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from barline.config import FeatureConfig
 from barline.operators.calendar import daily_resample
@@ -28,9 +29,6 @@ def feature_table(prices: DataFrame, cfg: FeatureConfig = FeatureConfig(), key:
     dimension is configuration-sized and the planner picks the join.  A text price column is
     coerced to numbers first (P10); rows without a price are dropped (F2).
     """
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import StringType
-
     from barline.functions.numeric import to_numeric
 
     if isinstance(prices.schema[value].dataType, StringType):
@@ -42,4 +40,18 @@ def feature_table(prices: DataFrame, cfg: FeatureConfig = FeatureConfig(), key:
     attrs = (asset_type,) if asset_type and asset_type in prices.columns else ()
     panel = feature_panel(prices, cfg, key, ts, value, tie, attrs)
     cols = [key, "day", "close", *indicator_columns(cfg, True), *attrs]
-    return panel.select(*cols).dropna()
+    return complete(panel.select(*cols))
+
+
+def complete(df: DataFrame) -> DataFrame:
+    """The rows without a null or NaN, one condition a column.
+
+    ``dropna`` makes a single predicate over all columns, of which Catalyst derives a variant for
+    every set of renamed columns below it; conditions on one column each stay few.
+    """
+    whole = []
+    for f in df.schema.fields:
+        whole.append(f"`{f.name}` IS NOT NULL")
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            whole.append(f"NOT isnan(`{f.name}`)")
+    return df.where(" AND ".join(whole))

@@ -10,7 +10,7 @@ truncated fold, ``regr_slope`` instead of a Gram solve).
 from __future__ import annotations
 
 from barline.config import FeatureConfig
-from barline.functions.ema import span_alpha
+from barline.operators.linear_scan import span_alpha
 
 ROUND = 4
 

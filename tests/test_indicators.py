@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.config import FeatureConfig
-from barline.functions.ema import ema, span_alpha
 from barline.operators.calendar import daily_resample
-from barline.operators.indicators import add_indicators, panel_window
+from barline.operators.indicators import add_indicators, position
+from barline.operators.linear_scan import Average, ema_scan, span_alpha
 from barline.plans.features import feature_table
 
 CFG = FeatureConfig()
@@ -75,16 +75,35 @@ def test_warm_up_nulls(spark):
     assert first == CFG.macd_slow + CFG.macd_signal - 2
 
 
-def test_ema_fold_matches_pandas(spark):
+def test_ema_scan_matches_pandas(spark):
     vals = _series(400)
     df = _daily_frame(spark, vals)
-    w = panel_window()
-    got = df.select("day", ema("close", span_alpha(12), w, 12).alias("e")).orderBy("day").toPandas()["e"]
+    got = ema_scan(df, ["asset_name"], position(df, "day"), {"e": Average("close", span_alpha(12), 12)}).orderBy("day").toPandas()["e"]
     ref = pd.Series(vals).ewm(span=12, adjust=False, min_periods=12).mean()
     assert np.allclose(got.to_numpy(dtype=float)[11:], ref.to_numpy()[11:], rtol=1e-12)
     assert got[:11].isna().all()
 
 
+def test_indicators_of_several_assets_and_blocks_with_leading_nulls(spark):
+    """Series of several blocks per asset, one without prices at its start, one flat."""
+    series = {"A": _series(500, 1), "B": np.concatenate([[np.nan] * 70, _series(200, 2)]), "C": np.full(150, 5.0)}
+    df = None
+    for name, vals in series.items():
+        part = _daily_frame(spark, vals, name).withColumn("close", F.nanvl("close", F.lit(None).cast("double")))
+        df = part if df is None else df.unionByName(part)
+    got = add_indicators(df.repartition(7), CFG).toPandas()
+    for name, vals in series.items():
+        mine, first = got[got.asset_name == name].sort_values("day"), int(np.isnan(vals).sum())
+        ref = _pandas_reference(pd.Series(vals), CFG)
+        for col in ("macd", "macd_signal", "macd_diff"):
+            a, b = mine[col].to_numpy(dtype=float), ref[col].to_numpy(dtype=float)
+            assert np.array_equal(np.isnan(a), np.isnan(b)), (name, col)
+            assert np.allclose(a[~np.isnan(a)], b[~np.isnan(b)], rtol=1e-9, atol=1e-9), (name, col)
+        a, b = mine["rsi"].to_numpy(dtype=float)[first + CFG.rsi_window:], ref["rsi"].to_numpy(dtype=float)[first + CFG.rsi_window:]
+        if not first:  # gains start at the first price; before it pandas counts rows without one as zero gains
+            assert np.allclose(a, b, rtol=1e-9, atol=1e-9), name
+
+
 def test_zero_price_rules(spark):
     got = add_indicators(_daily_frame(spark, [0.0, 2.0, 0.0, 0.0]), CFG).orderBy("day").collect()
     assert got[1]["return"] == math.inf and got[1]["log_return"] == math.inf
