@@ -778,17 +778,28 @@ def _served(spark):
     return spark.createDataFrame([(a,) for a in SERVED_ASSETS], "asset_name string")
 
 
-@register("requests_explode", O.with_views(["requests_flat"], [], """
+_EVENT_KEYS = ("click", "error", "purchase", "signup", "view")
+
+
+def _requests(spark, sf):
+    return S.parse_payloads(fx.requests(spark, sf))
+
+
+@register("requests_explode", O.with_views(["requests_flat"], [], f"""
 SELECT request_id, asset_name, CAST(row_number() OVER (PARTITION BY request_id ORDER BY ts, event_id) - 1 AS INTEGER) AS pos,
-       round(close, 4) AS close FROM requests_flat"""))
+       {', '.join(f"CASE WHEN event_type = '{k}' THEN CAST(1 AS DOUBLE) END AS {k}" for k in _EVENT_KEYS)},
+       round(close, 4) AS close, k, NULL AS payload_error FROM requests_flat
+UNION ALL
+SELECT request_id, asset_name, NULL, {', '.join('NULL' for _ in _EVENT_KEYS)}, NULL, NULL, '{S.BAD_PAYLOAD}' FROM request_users WHERE bad"""))
 def q_requests_explode(spark, sf):
-    """Request payloads (array of feature maps) → one row per map."""
-    return rounded(S.explode_requests(fx.requests(spark, sf)))
+    """Request payloads (JSON lists of differing objects) → one row per object over the union of their keys."""
+    return rounded(S.explode_requests(_requests(spark, sf)))
 
 
 _ROUTE_SQL = f"""
 SELECT u.request_id, u.asset_name, CAST(coalesce(c.n, 0) AS BIGINT) AS n_rows,
-       CASE WHEN u.asset_name NOT IN ({', '.join(f"'{a}'" for a in SERVED_ASSETS)}) THEN 'Model for ''' || u.asset_name || ''' not available'
+       CASE WHEN u.bad THEN '{S.BAD_PAYLOAD}'
+            WHEN u.asset_name NOT IN ({', '.join(f"'{a}'" for a in SERVED_ASSETS)}) THEN 'Model for ''' || u.asset_name || ''' not available'
             WHEN coalesce(c.n, 0) = 0 THEN 'Features list cannot be empty'
             WHEN coalesce(c.n, 0) < {LOOK_BACK} THEN 'Validation error: Input data must contain at least {LOOK_BACK} rows for LSTM context.'
        END AS error
@@ -799,8 +810,8 @@ FROM request_users u LEFT JOIN (SELECT request_id, count(*) AS n FROM requests_f
 SELECT request_id, asset_name, n_rows, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS status, error
 FROM routed"""))
 def q_batch_predict(spark, sf):
-    """Per-request routing — model lookup, empty payload, too few rows."""
-    r = S.route_requests(fx.requests(spark, sf), _served(spark), LOOK_BACK)
+    """Per-request routing — readable payload, model lookup, empty payload, too few rows."""
+    r = S.route_requests(_requests(spark, sf), _served(spark), LOOK_BACK)
     return r.withColumn("n_rows", F.col("n_rows").cast("long"))
 
 
@@ -809,7 +820,7 @@ SELECT count(*) AS total_requests, count(*) FILTER (WHERE error IS NULL) AS succ
        count(*) FILTER (WHERE error IS NOT NULL) AS failed FROM routed"""))
 def q_batch_predict_summary(spark, sf):
     """Batch metadata — total, successful, failed."""
-    return S.batch_summary(S.route_requests(fx.requests(spark, sf), _served(spark), LOOK_BACK))
+    return S.batch_summary(S.route_requests(_requests(spark, sf), _served(spark), LOOK_BACK))
 
 
 # ---------------------------------------------------------- model jobs ----
@@ -1053,5 +1064,5 @@ def q_batch_predict_values(spark, sf):
     mapping = spark.createDataFrame(list(SERVED_MODELS.items()), "serving_name string, asset_name string")
     models = mapping.join(fitted, "asset_name").select(
         F.col("serving_name").alias("asset_name"), "x_min", "x_max", "weights")
-    out = S.score_requests(fx.requests(spark, sf), models, LOOK_BACK)
+    out = S.score_requests(_requests(spark, sf), models, LOOK_BACK)
     return rounded(out.withColumn("n_rows", F.col("n_rows").cast("long")))

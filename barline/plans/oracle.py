@@ -99,19 +99,28 @@ SELECT model_name, 'Champion' AS alias,
          AS version
 FROM versions WHERE model_name NOT LIKE 'm_5%' GROUP BY model_name"""
 
-VIEWS["requests_flat"] = """
-SELECT user_id * 1000 + date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10 AS request_id,
-       CASE WHEN user_id % 6 = 5 THEN 'unknown' ELSE 'known' END AS asset_name, ts, event_id, value AS close
-FROM events WHERE event_type < 'p'"""
+VIEWS["request_events"] = """
+SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / (1 + user_id % 8)) AS BIGINT) AS period FROM events"""
+
+VIEWS["request_periods"] = """
+SELECT user_id, unnest(range(min(period), max(period) + 1)) AS at_period FROM request_events GROUP BY user_id"""
 
+# every period between a user's first and last one; some are sent again, with half of the text
 VIEWS["request_users"] = """
-SELECT DISTINCT user_id * 1000 + date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10 AS request_id, CASE WHEN user_id % 6 = 5 THEN 'unknown' ELSE 'known' END AS asset_name
-FROM events"""
+SELECT user_id, at_period, CASE WHEN bad THEN -1 - (user_id * 1000 + at_period) ELSE user_id * 1000 + at_period END AS request_id,
+       CASE WHEN user_id % 6 = 5 THEN 'unknown' ELSE 'known' END AS asset_name, bad
+FROM (SELECT *, false AS bad FROM request_periods
+      UNION ALL SELECT *, true FROM request_periods WHERE (user_id + at_period) % 23 = 0)"""
+
+VIEWS["requests_flat"] = """
+SELECT u.request_id, u.asset_name, e.ts, e.event_id, e.event_type, e.value AS close,
+       CAST(regexp_extract(e.props, '"k": *([0-9.]+)', 1) AS DOUBLE) AS k
+FROM request_users u JOIN request_events e ON e.user_id = u.user_id AND e.period = u.at_period WHERE NOT u.bad"""
 
 # views each view depends on (transitively resolved by ``with_views``)
 DEPS = {
     "daily_obs": ["prices"], "daily": ["daily_obs"], "preds": ["prices"],
-    "aliases": ["versions"],
+    "aliases": ["versions"], "request_periods": ["request_events"], "request_users": ["request_periods"], "requests_flat": ["request_users"],
 }
 
 

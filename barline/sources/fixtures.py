@@ -8,7 +8,7 @@ the events of types from 'p' on, as the oracle SQL does.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,26 +147,35 @@ def aliases(spark: SparkSession, sf_dir: str, versions_df: DataFrame | None = No
     return champ
 
 
-REQUEST_DAYS = 10  # days that one request covers
-
-
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One scoring request per user and period of ten days from 2024-01-01.
+    """One scoring request (request_id, asset_name, payload) per user and period, from the user's first period to the last.
 
-    ``features`` holds the closes of all the user's 'stock' events (names before
-    'p') of that period, oldest first; a period with other events only gives an
-    empty request, so empty, short and long requests occur by themselves.
+    A user's periods last 1 + user_id mod 8 days, counted from 2024-01-01.  The payload is a JSON list
+    with an object per event of the period, oldest first: its value as ``close``, the entries of its
+    ``props`` and its type as a key, so objects differ in their keys.  Quiet periods give empty lists.
+    Where (user_id + period) mod 23 is 0 a second request, -1 - request_id, holds the first half of the
+    payload only: a sending that broke off.  Every event is in one whole payload.
     """
-    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
-    period = F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / REQUEST_DAYS)
-    e = nan_to_null(e).withColumn("request_id", (F.col("user_id") * 1000 + period).cast("long"))
-    row = F.when(F.col("event_type") < "p", F.struct("ts", "event_id", "value"))
-    out = e.groupBy("request_id", "user_id").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-    return out.select(
-        "request_id",
-        F.when(F.col("user_id") % 6 == 5, "unknown").otherwise("known").alias("asset_name"),
-        F.transform("_rows", lambda r: F.create_map(F.lit("close"), r["value"])).alias("features"),
-    )
+    e = nan_to_null(read_table(spark, sf_dir, "events"))
+    days = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+    e = e.withColumn("period", F.floor(days / (1 + F.col("user_id") % 8)))
+    row = F.map_concat(F.create_map(F.lit("close"), F.col("value")), F.from_json("props", "map<string,double>"),
+                       F.create_map(F.col("event_type"), F.lit(1.0)))
+    e = e.select("user_id", "period", F.struct("ts", "event_id", F.to_json(row).alias("json")).alias("row"))
+    out = e.groupBy("user_id", "period").agg(F.sort_array(F.collect_list("row"))["json"].alias("rows"))
+    later = F.lead("period").over(Window.partitionBy("user_id").orderBy("period"))
+    out = out.withColumn("until", F.coalesce(later - 1, F.col("period")))
+    out = out.select("user_id", "period", "rows", F.explode(F.sequence("period", "until")).alias("at"))
+    text = F.concat(F.lit("["), F.when(F.col("at") == F.col("period"), F.array_join("rows", ",")).otherwise(F.lit("")), F.lit("]"))
+    sent = out.withColumn("payload", text).select(
+        (F.col("user_id") * 1000 + F.col("at")).cast("long").alias("id"),
+        F.when(F.col("user_id") % 6 == 5, "unknown").otherwise("known").alias("asset_name"), "payload",
+        ((F.col("user_id") + F.col("at")) % 23 == 0).alias("twice"))
+    whole = F.struct(F.col("id").alias("request_id"), F.col("payload").alias("payload"))
+    half = F.struct((-1 - F.col("id")).alias("request_id"), F.substring(
+        "payload", F.lit(1), F.floor(F.length("payload") / 2).cast("int")).alias("payload"))
+    return sent.select("asset_name", F.inline(F.when(F.col("twice"), F.array(whole, half)).otherwise(F.array(whole)))).select(
+        "request_id", "asset_name", "payload")
 
 
 def _cents(c: str):

@@ -36,6 +36,46 @@ def test_explode_requests_missing_key_is_null(spark):
     assert [(r["pos"], r["close"], r["rsi"]) for r in got] == [(0, 1.0, 2.0), (1, 3.0, None)]
 
 
+def _payloads(spark):
+    texts = ['[{"close": 1.5, "rsi": 2}, {"close": "3", "x y": true, "pos": 4}]', "[]", '[{"close": 1', "", None, '{"close": 1}', "[1, 2]",
+             "[null]", " [ {} , {} ] ", '[{"close": null, "payload_error": 7}]', "plain", '[{"a": [1, 2]}, {"close": 1e3}]']
+    return spark.createDataFrame(list(enumerate(texts)), "request_id long, payload string").withColumn("asset_name", F.lit("known"))
+
+
+def test_payloads_become_a_frame_over_the_union_of_keys(spark):
+    parsed = S.parse_payloads(_payloads(spark))
+    assert S.payload_keys(parsed) == ["a", "close", "payload_error", "pos", "rsi", "x y"]
+    frame = S.explode_requests(parsed)
+    assert frame.columns == ["request_id", "asset_name", "pos", "a", "close", "payload_error_", "pos_", "rsi", "x y", "payload_error"]
+    got = {(r["request_id"], r["pos"]): r for r in frame.collect()}
+    bad = {2, 3, 4, 5, 6, 7, 10}
+    assert set(got) == {(0, 0), (0, 1), (8, 0), (8, 1), (9, 0), (11, 0), (11, 1)} | {(i, None) for i in bad}
+    assert all(got[i, None]["payload_error"] == S.BAD_PAYLOAD and got[i, None]["close"] is None for i in bad)
+    assert (got[0, 0]["close"], got[0, 0]["rsi"], got[0, 0]["x y"]) == (1.5, 2.0, None)
+    assert (got[0, 1]["close"], got[0, 1]["pos_"], got[0, 1]["x y"], got[0, 1]["payload_error"]) == (3.0, 4.0, None, None)
+    assert got[9, 0]["payload_error_"] == 7.0 and got[9, 0]["close"] is None and got[11, 0]["a"] is None and got[11, 1]["close"] == 1000.0
+
+
+def test_payload_routing_and_key_bound(spark):
+    served = spark.createDataFrame([("known",)], "asset_name string")
+    parsed = S.parse_payloads(_payloads(spark))
+    got = {r["request_id"]: (r["n_rows"], r["error"]) for r in S.route_requests(parsed, served, 2).collect()}
+    assert got[0] == (2, None) and got[11] == (2, None) and got[2] == (0, S.BAD_PAYLOAD)
+    assert got[1] == (0, "Features list cannot be empty") and got[8] == (2, "Features list cannot be empty")
+    assert got[9][1].startswith("Validation error")
+    with pytest.raises(ValueError):
+        S.payload_keys(parsed, max_keys=3)
+    none = parsed.where("request_id < 0")
+    assert S.explode_requests(none).count() == 0 and S.route_requests(none, served, 2).count() == 0
+
+
+def test_scoring_reports_a_missing_price(spark):
+    models = spark.createDataFrame([("known", 0.0, 10.0, [0.0, 0.5, 0.5])], "asset_name string, x_min double, x_max double, weights array<double>")
+    out = {r["request_id"]: r for r in S.score_requests(S.parse_payloads(_payloads(spark)), models, 2).collect()}
+    assert out[0]["prediction"] == pytest.approx(2.25) and out[0]["status"] == "ok"
+    assert out[11]["status"] == "failed" and "'close' is missing" in out[11]["error"] and out[11]["prediction"] is None
+
+
 def _days(spark, n):
     start = dt.date(2024, 1, 1)
     return spark.createDataFrame([("X", start + dt.timedelta(days=i), float(i)) for i in range(n)],
