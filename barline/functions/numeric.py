@@ -17,6 +17,7 @@ _DIGITS = r"[0-9](?:_?[0-9])*"
 FLOAT_TEXT = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
 PLAIN = r"[0-9]+"
 PLAIN_TEXT = rf"^[+-]?(?:{PLAIN}(?:\.(?:{PLAIN})?)?|\.{PLAIN})(?:[eE][+-]?{PLAIN})?$"
+BLANKS = " \t\n\x0b\f\r"
 INF_TEXT = r"^[+-]?(?:INF|INFINITY)$"
 
 
@@ -26,7 +27,7 @@ def _c(x: str | Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Text without white space (blanks, tabs, line ends) at both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def parse_float(text: Column, pattern: str = FLOAT_TEXT) -> Column:

@@ -6,14 +6,16 @@ one per-asset window (``chg_7d``) over already aggregated bars.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barline.functions.names import HEADER_SYNONYMS, clean_name
 from barline.functions.numeric import clean_numeric, ratio, ratio_or_null
+from barline.operators.sequential import blocked_ffill, blocked_shift
 
 BAR_FIELDS = ("Date", "Datetime", "Open", "High", "Low", "Close", "Adj Close", "Volume")
+# The column lists of the cleaned tables, in their order.
 STOCK_COLUMNS = ["timestamp", "name", "last", "high", "low", "chg_abs", "chg_pct", "vol"]
 STOCK_NUMERIC = ["last", "high", "low", "chg_abs", "vol", "chg_pct"]
 CRYPTO_COLUMNS = ["timestamp", "name", "symbol", "price_usd", "vol_24h", "total_vol", "chg_24h", "chg_7d",
@@ -86,14 +88,19 @@ def stock_shape(bars: DataFrame, name_col: str = "asset_name") -> DataFrame:
 
 
 def crypto_shape(bars: DataFrame, name_col: str = "asset_name", order: str = "timestamp") -> DataFrame:
-    """P3/P4/P5/W15 (cryptos): symbol, 7-row pct change, market-cap proxy, renames."""
+    """P3/P4/P5/W15 (cryptos): symbol, 7-row pct change, market-cap proxy, renames.
+
+    The change is over forward-filled closes.  Fill and lag are block-wise by day, so the bars of
+    one asset are spread over tasks; bars without a time come first, in a block of their own.
+    """
+    text = isinstance(bars.schema[order].dataType, T.StringType)  # of a time as text the first ten characters, its day
     df = bar_changes(bars).withColumn("name", F.col(name_col))
-    w = Window.partitionBy(name_col).orderBy(order)
-    filled = F.last("Close", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumn("_close_pad", filled)
+    df = df.withColumn("_day", F.substring(order, 1, 10) if text else F.to_date(order))
+    df = blocked_ffill(df, [name_col], "_day", [order], ["Close"])
+    df = blocked_shift(df, [name_col], "_day", [order], ["Close_filled"], 7)
     df = df.withColumns({
         "symbol": F.split_part(F.col("name"), F.lit("-"), F.lit(1)),
-        "chg_7d": (ratio(F.col("_close_pad"), F.lag("_close_pad", 7).over(w)) - F.lit(1.0)) * F.lit(100.0),
+        "chg_7d": (ratio(F.col("Close_filled"), F.col("Close_filled_prev")) - F.lit(1.0)) * F.lit(100.0),
         "market_cap": F.col("Close") * F.lit(1e6),
     })
     df = df.withColumnsRenamed({"Close": "price_usd", "Volume": "vol_24h", "chg_pct": "chg_24h"})

@@ -2,7 +2,8 @@
 
 A plain ``Window.partitionBy(asset).orderBy(ts)`` sends every row of an asset
 to one task.  On raw event tables an asset can hold a third of all rows, so
-``lag`` and ``row_number`` over raw rows are computed *block-wise*:
+``lag`` of any distance, forward fill and ``row_number`` over raw rows are
+computed *block-wise*:
 
 1. rows are windowed inside ``(keys, block)`` where ``block`` is monotone in
    the order (normally the calendar day of the timestamp);
@@ -79,6 +80,52 @@ def blocked_row_number(df: DataFrame, keys: Sequence[str], block: str, order: Se
     )
 
 
+def _carry_back(local: DataFrame, carry: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join of per-block values; null keys are equal."""
+    there = [f"_on_{i}" for i in range(len(on))]
+    carry = carry.withColumnsRenamed(dict(zip(on, there)))
+    return local.join(carry, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(on, there)], "left").drop(*there)
+
+
+def blocked_shift(df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str],
+                  values: Sequence[str], k: int, suffix: str = "_prev") -> DataFrame:
+    """Add ``<value><suffix>`` = value ``k`` rows before in ``order`` within ``keys`` (null in the first ``k`` rows).
+
+    ``lag(k)`` inside a block; the first ``k`` rows of a block take theirs from the last ``k`` rows
+    of the blocks before it.  Every block hands on its last (at most ``k``) values, and as each has
+    a row, the ``k`` blocks before always hold them: the window over the summary looks back ``k`` rows.
+    """
+    keys, order, values = list(keys), list(order), list(values)
+    line = Window.partitionBy(*keys, block).orderBy(*_cols(order))
+    local = df.withColumns({
+        "_rn": F.row_number().over(line), "_end": F.lead(F.lit(1)).over(line).isNull(),
+        "_tail": F.collect_list(F.struct(*_cols(values))).over(line.rowsBetween(-(k - 1), 0)),
+        **{v + suffix: F.lag(v, k).over(line) for v in values}})
+    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(-k, -1)
+    tails = local.where("_end").select(*keys, block, F.flatten(F.collect_list("_tail").over(before)).alias("_carry"))
+    out = _carry_back(local, tails, [*keys, block])
+    # the carry's last element is one row before the block's first
+    handed = F.get("_carry", F.size("_carry") - F.lit(k + 1) + F.col("_rn"))
+    out = out.withColumns({v + suffix: F.when(F.col("_rn") > k, F.col(v + suffix)).otherwise(handed[v]) for v in values})
+    return out.drop("_rn", "_end", "_tail", "_carry")
+
+
+def blocked_ffill(df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], values: Sequence[str],
+                  suffix: str = "_filled") -> DataFrame:
+    """Add ``<value><suffix>`` = the last non-null value up to the row in ``order`` within ``keys``."""
+    keys, order, values = list(keys), list(order), list(values)
+    line = Window.partitionBy(*keys, block).orderBy(*_cols(order))
+    upto = line.rowsBetween(Window.unboundedPreceding, 0)
+    local = df.withColumns({"_end": F.lead(F.lit(1)).over(line).isNull(),
+                            **{v + suffix: F.last(v, ignorenulls=True).over(upto) for v in values}})
+    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    tails = local.where("_end").select(*keys, block, *[
+        F.last(v + suffix, ignorenulls=True).over(before).alias("_carry_" + v) for v in values])
+    out = _carry_back(local, tails, [*keys, block])
+    out = out.withColumns({v + suffix: F.coalesce(v + suffix, "_carry_" + v) for v in values})
+    return out.drop("_end", *["_carry_" + v for v in values])
+
+
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
                     out: str = "rank") -> DataFrame:
     """Rows with ``row_number <= k`` per group.

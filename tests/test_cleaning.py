@@ -76,22 +76,14 @@ def test_multilevel_names(spark):
     assert C.stock_shape(n.withColumn("asset_name", F.lit("AAPL"))).collect()[0]["last"] == 150.0
 
 
-def test_sanitizers():
-    assert N.sanitize_artifact_name("S P 500") == "S_P_500"
-    assert N.sanitize_artifact_name("BTC-USD") == "BTC_USD"
-    assert N.sanitize_artifact_name("A.B/C:D") == "A_B_C_D"
-    assert N.registry_name("test_model", "my_catalog", "my_schema") == "my_catalog.my_schema.test_model"
-    assert N.registry_name("My.Model X", None, None) == "my_model_x"
-    assert N.report_name("BTC-USD") == "btc-usd"
-
-
-def test_sanitizer_columns_match_python(spark):
-    names = ["S P 500", "BTC-USD", "A.B/C:D", "x%'\"y"]
-    df = spark.createDataFrame([(n,) for n in names], "n string")
-    got = [r[0] for r in df.select(N.artifact_name_col(F.col("n"))).collect()]
-    assert got == [N.sanitize_artifact_name(n) for n in names]
-    reg = [r[0] for r in df.select(N.registry_name_col(F.col("n"))).collect()]
-    assert reg == [N.registry_name(n) for n in names]
+def test_name_columns(spark):
+    df = spark.createDataFrame([("S P 500",), ("BTC-USD",), ("A.B/C:D",), ("x%'\"y",), (None,)], "n string")
+    n = F.col("n")
+    got = [tuple(r) for r in df.select(N.artifact_name_col(n), N.report_name_col(n), N.registry_name_col(n, None, None)).collect()]
+    assert got == [("S_P_500", "s_p_500", "s_p_500"), ("BTC_USD", "btc-usd", "btc-usd"), ("A_B_C_D", "a_b/c:d", "a_b/c:d"),
+                   ("x___y", "x%'\"y", "x%'\"y"), (None, None, None)]
+    named = spark.createDataFrame([("test_model",)], "n string").select(N.registry_name_col(n, "my_catalog", "my_schema")).first()[0]
+    assert named == "my_catalog.my_schema.test_model"
 
 
 def test_preprocess_stocks_drops_missing(spark):
