@@ -87,15 +87,21 @@ def stock_shape(bars: DataFrame, name_col: str = "asset_name") -> DataFrame:
     return df.select(*_existing(df, STOCK_COLUMNS))
 
 
+def _block_of(df: DataFrame, order: str):
+    """A column that never falls along ``order``: the day of a time, also of one as text, or 64 numbers a block."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.StringType):
+        return F.substring(order, 1, 10)
+    return F.floor(F.col(order) / 64) if isinstance(kind, T.NumericType) else F.to_date(order)
+
+
 def crypto_shape(bars: DataFrame, name_col: str = "asset_name", order: str = "timestamp") -> DataFrame:
     """P3/P4/P5/W15 (cryptos): symbol, 7-row pct change, market-cap proxy, renames.
 
     The change is over forward-filled closes.  Fill and lag are block-wise by day, so the bars of
     one asset are spread over tasks; bars without a time come first, in a block of their own.
     """
-    text = isinstance(bars.schema[order].dataType, T.StringType)  # of a time as text the first ten characters, its day
-    df = bar_changes(bars).withColumn("name", F.col(name_col))
-    df = df.withColumn("_day", F.substring(order, 1, 10) if text else F.to_date(order))
+    df = bar_changes(bars).withColumn("name", F.col(name_col)).withColumn("_day", _block_of(bars, order))
     df = blocked_ffill(df, [name_col], "_day", [order], ["Close"])
     df = blocked_shift(df, [name_col], "_day", [order], ["Close_filled"], 7)
     df = df.withColumns({
