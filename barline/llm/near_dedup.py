@@ -5,6 +5,9 @@ its words if it has fewer).  Two texts are linked if the weighted Jaccard
 similarity of their multisets, sum of minima over sum of maxima, is at least
 ``THRESHOLD``; a class is a connected set of linked texts.
 
+A node is a distinct text: rows with equal texts (by their whole MD5) are copies of
+one node, signed once a task and joined to its class by the text's key.
+
 1. Signature.  Each shingle owns a Poisson process over (weight level, time);
    a text sees the points below its count.  Levels are discretised to integers
    and held in doubling blocks [0,1), [1,2), [2,4), ...: a block is one process
@@ -14,23 +17,25 @@ similarity of their multisets, sum of minima over sum of maxima, is at least
    equal to their weighted Jaccard similarity.  Points are drawn up to the time
    by which all registers are expected to be filled, and further if one is not.
 2. ``BANDS`` bands of ``ROWS`` registers are hashed to bucket keys.  Two texts of
-   similarity 0.8 miss all bands with probability 6e-5.  A signature keeps 8 bits
-   a register.
+   similarity 0.8 miss all bands with probability 0.0013, of 0.85 with 1e-5; of
+   0.5 they meet with 0.13.  A signature keeps 8 bits a register.
 3. Stars, never all pairs: a text is compared with the smallest member that any
    of its buckets has, and in a second round with the smallest member of the
    largest class in those of its buckets that hold several classes.  Signatures
    that agree in under ``SCREEN`` of the registers (4 standard deviations below
-   0.8) are dropped, equal texts are links at once, and all others are verified
-   on their whole texts.
-4. Buckets that then still hold several classes are searched whole: members
-   outside the bucket's largest class are compared with all other members in
-   blocks of bounded size, and what passes the screen is verified.  So no link
-   between texts sharing a bucket is lost to the stars.
-5. Classes are found by label propagation with pointer jumping, each round
+   0.8) are dropped, all others are verified on their whole texts.
+4. Best partners: in buckets that then still hold several classes, every member
+   outside the largest class is compared with all other members, in blocks of
+   bounded size, and goes on with the one text of another class it agrees with
+   most.  One pair a member is verified, which joins copies to their common source.
+5. Buckets that still hold several classes are searched once more in the same
+   blocks, and all pairs of different classes that pass the screen are verified,
+   each in the first bucket it shares only.  So no link between texts sharing a
+   bucket is lost to the rounds before.
+6. Classes are found by label propagation with pointer jumping, each round
    written to the shared folder.
 
-A node is a row's doc_id and text, so an id that repeats with other texts is as
-many documents as it has texts; rows equal in both are copies of one.  A class is
+An id that repeats with other texts is as many documents as it has texts.  A class is
 numbered by its smallest doc_id; if several classes have the same smallest id, one
 has it and each other one a negative number from its texts, as has a class without
 an id.  Texts without words are linked only to equal texts; null texts to nothing
@@ -54,11 +59,12 @@ from barline.llm.text import MIX1, MULT, Words, fresh, hash_strings, mix, pieces
 SHINGLE = 5
 THRESHOLD = (8, 10)  # a fraction, compared in integers
 REGISTERS = 512
-BANDS = 32
-ROWS = 6
+BANDS = 36
+ROWS = 8
 SCREEN = 0.73
 STAR_ROUNDS = 2
 QUERY_BLOCK, OTHER_BLOCK = 512, 2048
+PIECE = 2 << 20  # bytes of text signed or compared at a time
 
 
 # ---------------------------------------------------------------- signatures
@@ -129,11 +135,14 @@ def signatures(n: int, text: np.ndarray, key: np.ndarray, count: np.ndarray, reg
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """(node, digest, sig, bands) of every row of (node, digest, text) with a text."""
+    """(node, digest, sig, bands) of the rows of (node, digest, text) with a text, once per node and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()  # 64 bits for each row of one input partition
         for batch in batches:
-            for part in pieces(batch):
+            node = batch.column("node").to_pylist()
+            fresh_at = [i for i, v in enumerate(node) if not (v in done or done.add(v))]
+            for part in pieces(batch.take(pa.array(fresh_at, pa.int64())), limit=PIECE):
                 n = part.num_rows
                 words = split_words(part.column("text"))
                 times = signatures(n, *shingle_counts(words)).view(np.uint64)
@@ -143,8 +152,7 @@ def sign(docs: DataFrame) -> DataFrame:
                     for k in range(ROWS):
                         bands = mix(bands * MULT + times[:, k * BANDS:(k + 1) * BANDS] + np.uint64(k + 1))
                     bands = mix(bands + (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * MIX1).view(np.int64)
-                digest = part.column("digest").to_numpy(zero_copy_only=False)
-                lists = [b if c else digest[i:i + 1] for i, (b, c) in enumerate(zip(bands, words.counts))]
+                lists = [b if c else b[:0] for b, c in zip(bands, words.counts)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), part.column("digest"), pa.array([s.tobytes() for s in sig], pa.binary()),
                      pa.array(lists, pa.list_(pa.int64()))], names=["node", "digest", "sig", "bands"])
@@ -197,13 +205,14 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b): the pairs that are sure or reach the threshold on their whole texts."""
     open_pairs = pairs.where(~F.col("sure"))
     needed = open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = written(docs.join(needed, "node", "left_semi").where(F.col("text").isNotNull()).select("node", "text"), "pair_texts")
+    texts = docs.join(needed, "node", "left_semi").where(F.col("text").isNotNull()).select("node", "text")
+    texts = written(texts.dropDuplicates(["node"]), "pair_texts")
     both = open_pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "ta", 4 << 20):
+            for part in pieces(batch, "ta", PIECE):
                 good = overlaps(part.column("ta"), part.column("tb"))
                 yield part.select(["a", "b"]).filter(pa.array(good))
 
@@ -246,14 +255,19 @@ def star_pairs(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     return offers.groupBy(F.col("node").alias("b")).agg(F.min("leader").alias("a")).select("a", "b")
 
 
-def leftover_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b, sure): screened pairs between different classes inside one bucket, searched in blocks."""
+def searched(buckets: DataFrame, sigs: DataFrame, labels: DataFrame, best: bool) -> DataFrame:
+    """(a, b, agree): screened pairs between different classes inside one bucket, searched in blocks.
+
+    With ``best`` only the partner that a member outside its bucket's largest class agrees with most;
+    else all, each pair in the first bucket it shares if ``sigs`` has the bands.
+    """
     members = mixed_members(buckets, labels).join(sigs, "node")
     query_blocks = F.ceil((F.col("n") - F.col("n_main")) / QUERY_BLOCK).cast("long")
     other_blocks = F.ceil(F.col("n") / OTHER_BLOCK).cast("long")
     place = lambda blocks, salt: F.pmod(F.xxhash64("node", F.lit(salt)), blocks)
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    common = ("key", "node", "label", "sig")
+    once = not best and "bands" in sigs.columns
+    common = ("key", "node", "label", "sig", *(["bands"] if once else []))
     queries = members.where(F.col("label") != F.col("main")).select(
         *common, F.lit(True).alias("query"), place(query_blocks, 1).alias("q"), upto(other_blocks).alias("o"))
     others = members.select(*common, F.lit(False).alias("query"), upto(query_blocks).alias("q"), place(other_blocks, 2).alias("o"))
@@ -261,16 +275,46 @@ def leftover_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> Da
     def search(block: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(block["sig"]), "u1").reshape(len(block), REGISTERS)
         node, label, query = (block[c].to_numpy() for c in ("node", "label", "query"))
-        found = []
+        bands = np.stack(block["bands"].to_list()) if once else None
+        here = block["key"].iloc[0]
+        found, agreed = [], []
         other = np.flatnonzero(~query)
         for i in np.flatnonzero(query):
             far = other[label[other] != label[i]]
-            hit = far[agreement(sig[far], sig[i]) >= SCREEN]
-            found.append(np.stack([np.minimum(node[hit], node[i]), np.maximum(node[hit], node[i])], axis=1))
-        return pd.DataFrame(np.concatenate(found) if found else np.zeros((0, 2), np.int64), columns=["a", "b"])
+            alike = agreement(sig[far], sig[i])
+            if best:
+                pick = np.array([alike.argmax()])[: len(alike)] if len(alike) else np.zeros(0, np.int64)
+                pick = pick[alike[pick] >= SCREEN]
+            else:
+                pick = np.flatnonzero(alike >= SCREEN)
+            if once and len(pick):  # the first band that both have in common
+                same = bands[far[pick]] == bands[i]
+                pick = pick[bands[i][same.argmax(axis=1)] == here]
+            hit = far[pick]
+            found.append(np.stack([np.full(len(hit), node[i]), node[hit]], axis=1))
+            agreed.append(alike[pick])
+        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        out = pd.DataFrame(pairs, columns=["a", "b"])
+        out["agree"] = np.concatenate(agreed) if agreed else np.zeros(0)
+        return out
+
+    return queries.unionByName(others).groupBy("key", "q", "o").applyInPandas(search, "a long, b long, agree double")
+
+
+def unsure(pairs: DataFrame) -> DataFrame:
+    """(a, b, sure): distinct pairs with a < b, to be verified."""
+    return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("sure", F.lit(False))
+
 
-    near = queries.unionByName(others).groupBy("key", "q", "o").applyInPandas(search, "a long, b long")
-    return near.where(F.col("a") != F.col("b")).distinct().withColumn("sure", F.lit(False))
+def best_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b, sure): every member of a mixed bucket, outside the bucket's largest class, with its best partner in another class."""
+    found = searched(buckets, sigs, labels, best=True)
+    return unsure(found.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b")))
+
+
+def leftover_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b, sure): all screened pairs between different classes that share a bucket."""
+    return unsure(searched(buckets, sigs, labels, best=False))
 
 
 def node_of(doc_id: Column, text: Column) -> Column:
@@ -278,26 +322,45 @@ def node_of(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
 
+def text_nodes(src: DataFrame) -> DataFrame:
+    """``src`` with ``node``, 64 bits that stand for a text; different texts (by MD5) that share them are told apart.
+
+    At 10^10 texts a few pairs share 64 bits: then all but the one with the least MD5 take theirs from the MD5.
+    """
+    rows = src.withColumn("node", F.when(F.col("empty"), F.col("who")).otherwise(F.xxhash64("text"))).withColumn("md5", F.md5("text"))
+    met = rows.where("not empty").groupBy("node").agg(F.min("md5").alias("least"), F.max("md5").alias("most"))
+    twins = written(met.where("least != most").select("node", "least"), "twins")
+    if not twins.isEmpty():
+        own = F.when(F.col("least").isNotNull() & (F.col("md5") != F.col("least")), F.xxhash64("md5", F.lit(1))).otherwise(F.col("node"))
+        rows = rows.join(twins, "node", "left").withColumn("node", own).drop("least")
+    return rows.drop("md5")
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, node, empty, label): the smallest node of each row's class; ``empty`` rows have a null text."""
+    """(doc_id, who, empty, label): the smallest node of each row's class; ``empty`` rows have a null text."""
     prepare(docs.sparkSession)
-    src = docs.select(F.col(doc_id).alias("doc_id"), node_of(F.col(doc_id), F.col(text)).alias("node"), F.col(text).alias("text"))
-    # 60 bits of MD5 stand for a text: equal digests are taken for equal texts
-    digest = F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long")
-    sigs = written(sign(src.select("node", digest.alias("digest"), "text")), "signatures")
-    buckets = sigs.select(F.explode("bands").alias("key"), "node").distinct()
+    src = docs.select(F.col(doc_id).alias("doc_id"), node_of(F.col(doc_id), F.col(text)).alias("who"),
+                      F.col(text).isNull().alias("empty"), F.col(text).alias("text"))
+    src = text_nodes(src)
+    signed = written(sign(src.select("node", F.col("node").alias("digest"), "text")), "signatures")
+    buckets = signed.select(F.explode("bands").alias("key"), "node").distinct()
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     buckets = written(buckets.join(shared, "key"), "buckets")
-    texts, links, labels = src.select("node", "text"), None, None
-    for _ in range(STAR_ROUNDS):
-        found = verified(written(screened(star_pairs(buckets, labels), sigs), "pairs"), texts)
+    # only texts that share a bucket are compared; a text signed by several tasks counts once
+    sigs = signed.join(buckets.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    sigs = written(sigs.select("node", "digest", "sig", "bands"), "shared_signatures")
+    texts = src.where("not empty").select("node", "text")
+    links, labels = None, None
+    for k in range(STAR_ROUNDS + 1):
+        pairs = screened(star_pairs(buckets, labels), sigs) if k < STAR_ROUNDS else best_pairs(buckets, sigs.select("node", "sig"), labels)
+        found = verified(written(pairs, "pairs"), texts)
         links = written(found if links is None else links.unionByName(found), "links")
         labels = components(links)
-    rest = written(leftover_pairs(buckets, sigs.select("node", "sig"), labels), "pairs")
+    rest = written(leftover_pairs(buckets, sigs.select("node", "sig", "bands"), labels), "pairs")
     if not rest.isEmpty():
         labels = components(links.unionByName(verified(rest, texts)))
-    rows = src.select("doc_id", "node", F.col("text").isNull().alias("empty")).join(labels, "node", "left")
-    return written(rows.select("doc_id", "node", "empty", F.coalesce("label", "node").alias("label")), "classes")
+    rows = src.select("doc_id", "who", "node", "empty").join(labels, "node", "left")
+    return written(rows.select("doc_id", "who", "empty", F.coalesce("label", "node").alias("label")), "classes")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -315,7 +378,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one row of the smallest document of each class, and all rows with a null text."""
     node, columns = fresh(docs, "_node"), docs.columns
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node").alias("node")))
-    kept = classes(docs.select("doc_id", "text")).where("not empty").groupBy("label").agg(first["node"].alias(node)).select(node)
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("who")))
+    kept = classes(docs.select("doc_id", "text")).where("not empty").groupBy("label").agg(first["who"].alias(node)).select(node)
     rows = docs.where(F.col("text").isNotNull()).withColumn(node, node_of(F.col("doc_id"), F.col("text"))).dropDuplicates([node])
     return rows.join(kept, node, "left_semi").select(*columns).unionByName(docs.where(F.col("text").isNull()))
