@@ -26,8 +26,8 @@ one node, signed once a task and joined to its class by the text's key.
    0.8) are dropped, all others are verified on their whole texts.
 4. Best partners: in buckets that then still hold several classes, every member
    outside the largest class is compared with all other members, in blocks of
-   bounded size, and goes on with the one text of another class it agrees with
-   most.  One pair a member is verified, which joins copies to their common source.
+   bounded size, and goes on with the ``PARTNERS`` texts of other classes it agrees
+   with most.  Only these pairs are verified, which joins copies to their common source.
 5. Buckets that still hold several classes are searched once more in the same
    blocks, and all pairs of different classes that pass the screen are verified,
    each in the first bucket it shares only.  So no link between texts sharing a
@@ -54,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.text import MIX1, MULT, Words, fresh, hash_strings, mix, pieces, prepare, rolling, split_words, written
+from barline.llm.text import MIX1, MULT, Words, forget, fresh, hash_strings, mix, pieces, prepare, rolling, split_words, written
 
 SHINGLE = 5
 THRESHOLD = (8, 10)  # a fraction, compared in integers
@@ -63,6 +63,7 @@ BANDS = 36
 ROWS = 8
 SCREEN = 0.73
 STAR_ROUNDS = 2
+PARTNERS = 3
 QUERY_BLOCK, OTHER_BLOCK = 512, 2048
 PIECE = 2 << 20  # bytes of text signed or compared at a time
 
@@ -202,7 +203,7 @@ def overlaps(a: pa.Array, b: pa.Array) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b): the pairs that are sure or reach the threshold on their whole texts."""
+    """(a, b): the pairs that are sure or reach the threshold on their whole texts, written."""
     open_pairs = pairs.where(~F.col("sure"))
     needed = open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = docs.join(needed, "node", "left_semi").where(F.col("text").isNotNull()).select("node", "text")
@@ -216,7 +217,9 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 good = overlaps(part.column("ta"), part.column("tb"))
                 yield part.select(["a", "b"]).filter(pa.array(good))
 
-    return pairs.where("sure").select("a", "b").unionByName(both.mapInArrow(run, "a long, b long").distinct())
+    out = written(pairs.where("sure").select("a", "b").unionByName(both.mapInArrow(run, "a long, b long").distinct()), "verified")
+    forget(texts)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -258,7 +261,7 @@ def star_pairs(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
 def searched(buckets: DataFrame, sigs: DataFrame, labels: DataFrame, best: bool) -> DataFrame:
     """(a, b, agree): screened pairs between different classes inside one bucket, searched in blocks.
 
-    With ``best`` only the partner that a member outside its bucket's largest class agrees with most;
+    With ``best`` only the partners that a member outside its bucket's largest class agrees with most;
     else all, each pair in the first bucket it shares if ``sigs`` has the bands.
     """
     members = mixed_members(buckets, labels).join(sigs, "node")
@@ -283,7 +286,7 @@ def searched(buckets: DataFrame, sigs: DataFrame, labels: DataFrame, best: bool)
             far = other[label[other] != label[i]]
             alike = agreement(sig[far], sig[i])
             if best:
-                pick = np.array([alike.argmax()])[: len(alike)] if len(alike) else np.zeros(0, np.int64)
+                pick = np.argsort(-alike, kind="stable")[:PARTNERS]
                 pick = pick[alike[pick] >= SCREEN]
             else:
                 pick = np.flatnonzero(alike >= SCREEN)
@@ -307,9 +310,10 @@ def unsure(pairs: DataFrame) -> DataFrame:
 
 
 def best_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b, sure): every member of a mixed bucket, outside the bucket's largest class, with its best partner in another class."""
-    found = searched(buckets, sigs, labels, best=True)
-    return unsure(found.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b")))
+    """(a, b, sure): every member of a mixed bucket, outside the bucket's largest class, with its best partners in other classes."""
+    found = searched(buckets, sigs, labels, best=True).groupBy("a").agg(F.collect_set(F.struct("agree", "b")).alias("p"))
+    top = F.slice(F.sort_array("p", asc=False), 1, PARTNERS)  # of at most PARTNERS a block and bucket
+    return unsure(found.select("a", F.explode(top).alias("p")).select("a", "p.b"))
 
 
 def leftover_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -349,6 +353,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     # only texts that share a bucket are compared; a text signed by several tasks counts once
     sigs = signed.join(buckets.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
     sigs = written(sigs.select("node", "digest", "sig", "bands"), "shared_signatures")
+    forget(signed)
     texts = src.where("not empty").select("node", "text")
     links, labels = None, None
     for k in range(STAR_ROUNDS + 1):

@@ -52,6 +52,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of ``written`` tables that no later step reads, neither itself nor to recompute a lost part."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def n_words(text: str = "text") -> Column:
     """Number of words of a text column (long); null texts count 0."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
