@@ -7,12 +7,15 @@ a whole series:
 1. rows are grouped by (keys, block of ``width`` positions), and each block is
    folded to its map;
 2. the maps are composed, block after block, to the state that enters each
-   block: one window per key, or first inside groups of ``width`` blocks and
-   then over the groups (``levels`` times);
+   block: by one window per key (``levels=1``), or first inside groups of
+   ``width`` blocks and then over the groups (once more for every level);
 3. the entering state is applied inside the block, and the rows come back out.
 
-With ``levels=0`` the blocks of one key meet in one task, which suits series that
-a calendar bounds, and no join is planned.  With more levels only the maps meet,
+With ``levels=0``, for series that a calendar bounds, no maps are made: the blocks of
+one key meet in one task, and the recursion runs through them once.  Its values are
+those of a row-by-row loop to the last bit, so equal averages in flat stretches stay
+equal, which rank statistics on them need.  No join is planned.  With more levels only
+the maps meet,
 one row for every ``width`` rows, and their groups; a key that holds most of the
 rows is spread over as many tasks as it has blocks.  All of it is in Catalyst:
 aggregates, windows and higher-order functions.
@@ -54,7 +57,9 @@ class Average:
     def step(self, state: str, row: str) -> str:
         """SQL of the state after a row."""
         v = f"CAST({row}.`{self.value}` AS DOUBLE)"
-        return f"IF({v} IS NULL, {state}, {1.0 - self.alpha!r}D * {state} + {float(self.alpha)!r}D * {v})"
+        mixed = f"{state} * {1.0 - self.alpha!r}D + {v} * {float(self.alpha)!r}D"
+        # the first observation is the first state, and an unchanged value stays as it is to the last bit
+        return f"CASE WHEN {v} IS NULL OR {state} = {v} THEN {state} WHEN {state} IS NULL THEN {v} ELSE {mixed} END"
 
     def one(self, row: str, then: str, otherwise: str) -> str:
         """SQL choosing by whether the row is an observation."""
@@ -86,8 +91,23 @@ def _inside(series: Mapping[str, Average]) -> Column:
     return F.expr(f"aggregate(_rows, {start}, {step}, s -> s.out)")
 
 
+def replayed(blocks: DataFrame, keys: Sequence[str], block: str, series: Mapping[str, Average]) -> DataFrame:
+    """(keys, block, _rows, _in): the entering states by the recursion itself, block after block, once over a key's rows."""
+    after = _struct(**{n: _struct(e=a.step(f"s.{n}.e", "r"), n=a.one("r", f"s.{n}.n + 1L", f"s.{n}.n")) for n, a in series.items()})
+    kind = "struct<" + ",".join(f"{n}:struct<e:double,n:bigint>" for n in series) + ">"
+    start = _struct(**{n: _struct(e="CAST(NULL AS DOUBLE)", n="0L") for n in series})
+    step = _struct(s=f"aggregate(b._rows, t.s, (s, r) -> {after})", out="concat(t.out, array(t.s))")
+    series_of = blocks.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(block, "_rows"))).alias("_blocks"))
+    begin = _struct(s=f"CAST({start} AS {kind})", out=f"CAST(array() AS array<{kind}>)")
+    states = series_of.withColumn("_states", F.expr(f"aggregate(_blocks, {begin}, (t, b) -> {step}, t -> t.out)"))
+    flat = states.select(*keys, F.inline(F.arrays_zip("_blocks", "_states")))
+    return flat.select(*keys, F.col(f"_blocks.{block}").alias(block), F.col("_blocks._rows").alias("_rows"), F.col("_states").alias("_in"))
+
+
 def entering(blocks: DataFrame, keys: Sequence[str], block: str, names: Sequence[str], width: int, levels: int) -> DataFrame:
     """``blocks`` with ``_in``, the state e and the number of observations n before each block, by name, from ``_map``."""
+    if "_rows" in blocks.columns:
+        return joined(blocks, entering(blocks.select(*keys, block, "_map"), keys, block, names, width, levels).drop("_map"), [*keys, block])
     if levels == 0:
         line = Window.partitionBy(*keys).orderBy(block)
         before = line.rowsBetween(Window.unboundedPreceding, -1)
@@ -126,7 +146,10 @@ def ema_scan(df: DataFrame, keys: Sequence[str], pos: Column, series: Mapping[st
     rest = [c for c in df.columns if c not in keys]
     rows = df.select(*keys, *rest, pos.cast("long").alias("_pos")).withColumn("_block", F.floor(F.col("_pos") / width))
     blocks = rows.groupBy(*keys, "_block").agg(F.sort_array(F.collect_list(F.struct("_pos", *rest))).alias("_rows"))
-    solved = entering(blocks.withColumn("_map", _block_map(series)), keys, "_block", names, width, levels)
+    if levels == 0:
+        solved = replayed(blocks, keys, "_block", series)
+    else:
+        solved = entering(blocks.withColumn("_map", _block_map(series)), keys, "_block", names, width, levels - 1)
     told = solved.withColumn("_out", _inside(series)).select(*keys, F.inline(F.arrays_zip("_rows", "_out")))
     shown = {n: F.expr(f"IF(_out.{n}.n >= {max(1, a.fewest)}, _out.{n}.e, NULL)").alias(n) for n, a in series.items()}
     place = {c: F.col(c) for c in keys} | {c: F.col("_rows")[c].alias(c) for c in rest} | shown

@@ -27,7 +27,7 @@ def series():
     return out
 
 
-@pytest.mark.parametrize("width,levels", [(64, 0), (8, 2), (5, 0), (16, 1)])
+@pytest.mark.parametrize("width,levels", [(64, 0), (8, 2), (5, 1), (16, 3)])
 def test_scan_equals_the_recursion(spark, width, levels):
     data = series()
     rows = [(k, i * (3 if k == "gap" else 1) - 350, v, "x") for k, vs in data.items() for i, v in enumerate(vs)]  # negative positions too
