@@ -2,7 +2,7 @@
 
 All window indicators share one ``WindowSpec`` (partition by asset, order by
 day), so Catalyst plans a single exchange and sort for the whole chain.  The
-recursive EMA family (MACD, signal, RSI) is a blocked scan of affine maps
+recursive EMA family (MACD, signal, RSI) runs through blocks of days
 (``linear_scan.ema_scan``), window functions and joins throughout.
 Each asset's partition is its daily series, whose length is bounded by the
 calendar, not by the raw row count.
@@ -66,7 +66,7 @@ def position(df: DataFrame, order: str) -> Column:
 
 def ema_family(daily: DataFrame, cfg: FeatureConfig = FeatureConfig(), key: str = "asset_name",
                order: str = "day", x: str = "close", keep_emas: bool = False, block: int = WIDTH) -> DataFrame:
-    """MACD line, signal, histogram and RSI, the recursive (EMA) indicators, as blocked affine scans.
+    """MACD line, signal, histogram and RSI, the recursive (EMA) indicators, by the blocked recursion.
 
     One scan gives the fast and slow averages and the averages of gains and losses,
     a second one the signal, whose input starts where the MACD line does.
