@@ -26,6 +26,20 @@ TUNING_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
+# Stateful streams keep their state in RocksDB, off the heap; a batch uploads the
+# changes of the state, not the whole of it.
+STATE_STORE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def state_store(spark: SparkSession) -> None:
+    """Streams started from here on keep their state in RocksDB (read when a query starts)."""
+    for key, value in STATE_STORE_CONF.items():
+        spark.conf.set(key, value)
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the library depends on (idempotent)."""

@@ -43,6 +43,57 @@ def test_live_scores_do_not_depend_on_files_or_order(spark, tmp_path, files):
         assert r["forecast"] == (want if want is None else pytest.approx(want))
 
 
+def test_live_scores_span_gaps_blocks_and_null_closes(spark, tmp_path):
+    """Days far apart, late days before the first one, a null close and a null day, one row a batch."""
+    from barline.streaming import daily_close as SD
+    from barline.streaming import live_score as SL
+
+    feed = [(500, 100.0), (10, 90.0), (501, 101.0), (0, 85.0), (200, None), (64, 95.0), (63, 94.0), (None, 1.0), (502, 99.0)]
+    for i, c in feed:
+        spark.createDataFrame([("A", i, c), ("no model", i, c)], "asset_name string, i int, close double").select(
+            "asset_name", F.date_add(F.lit("2024-01-01").cast("date"), F.col("i")).alias("day"), "close").coalesce(1).write.mode(
+            "append").parquet(str(tmp_path / "feed"))
+    model = spark.createDataFrame([("A", 80.0, 120.0, [0.1, 0.2, 0.3])],
+                                  "asset_name string, x_min double, x_max double, weights array<double>")
+    stream = spark.readStream.schema(C.FEED_SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "feed"))
+    got = SL.newest_scores(SD.run_to_table(spark, SL.live_scores(stream, model, 2), "test-gaps")).orderBy("day").collect()
+    series = [c for i, c in sorted((i, c) for i, c in feed if i is not None)]
+    assert [r["close"] for r in got] == series
+    for k, r in enumerate(got):
+        pair = series[k - 1:k + 1] if k else [None]
+        want = None if None in pair else (0.1 + (pair[0] - 80) / 40 * 0.2 + (pair[1] - 80) / 40 * 0.3) * 40 + 80
+        assert r["forecast"] == (want if want is None else pytest.approx(want))
+
+
+def test_live_state_written_does_not_grow_with_history(spark, tmp_path):
+    """One more day writes the same state rows and scores the same days after 100 days as after 3,000."""
+    from barline.session import scratch_path
+    from barline.streaming import live_score as SL
+
+    model = spark.createDataFrame([("A", 0.0, 1.0, [0.0, 0.5, 0.5])],
+                                  "asset_name string, x_min double, x_max double, weights array<double>")
+    written = []
+    for history in (100, 3000):
+        feed, root = str(tmp_path / f"feed{history}"), scratch_path(spark, "test-state")
+
+        def run(low, high):
+            spark.range(low, high, 1, 1).select(
+                F.lit("A").alias("asset_name"), F.date_add(F.lit("2010-01-01").cast("date"), F.col("id").cast("int")).alias("day"),
+                (F.col("id") / 3000).alias("close")).write.mode("append").parquet(feed)
+            scores = SL.live_scores(spark.readStream.schema(C.FEED_SCHEMA).parquet(feed), model, 2)
+            query = scores.writeStream.format("parquet").option("path", f"{root}/out").option(
+                "checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start()
+            query.awaitTermination()
+            assert query.exception() is None
+            state = [p for p in query.recentProgress if p["numInputRows"]][-1]["stateOperators"][0]
+            return state["numRowsUpdated"]
+
+        run(0, history)
+        before = spark.read.parquet(f"{root}/out").count()
+        written.append((run(history, history + 1), spark.read.parquet(f"{root}/out").count() - before))
+    assert written[0] == written[1] and written[0][1] == 1
+
+
 def test_stream_live_score_forecasts(spark):
     out = C.QUERIES["stream_live_score"](spark, SF001)
     assert out.count() == C._daily(spark, SF001).count()
