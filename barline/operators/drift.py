@@ -1,9 +1,11 @@
-"""Drift monitoring: reference/current split, two-sample KS per column, summary.
+"""Drift monitoring: reference/current split, a test per column (two-sample KS, or
+chi-square where a column has few values), summary.
 
 Fixed values of the source monitor: windows of 60 reference + 30 current rows
 when an asset has more than 90 rows, otherwise a 0.66 split; the drop list
 below; a column drifts when the KS p-value is below 0.05; an asset drifts
-when the drifted share reaches 0.5.
+when the drifted share reaches 0.5; a column of at most 5 distinct values is tested
+by chi-square.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ SMALL_SPLIT = 0.66
 P_THRESHOLD = 0.05
 SHARE_THRESHOLD = 0.5
 KS_TERMS = 100
+FEW_VALUES = 5
+GAMMA_TERMS = 200
 
 
 def drift_columns(df: DataFrame) -> list[str]:
@@ -141,6 +145,75 @@ def ks_statistics(split: DataFrame, columns: Sequence[str], key: str = "asset_na
     return stats.withColumn("p_value", tested).withColumn("drifted", F.col("p_value") < F.lit(P_THRESHOLD))
 
 
+def _ln_gamma_halves(twice: Column) -> Column:
+    """ln Gamma(twice / 2) for a whole ``twice`` >= 1, by Gamma(z + 1) = z Gamma(z)."""
+    odd = twice % 2 == 1
+    start = F.when(odd, F.lit(0.5)).otherwise(F.lit(1.0))
+    steps = F.floor((twice - 1) / 2).cast("int")
+    factors = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(factors, F.when(odd, F.log(F.sqrt(F.pi()))).otherwise(F.lit(0.0)),
+                       lambda acc, k: acc + F.log(start + k - 1))
+
+
+def chi_square_pvalue(statistic: Column, dof: Column, terms: int = GAMMA_TERMS) -> Column:
+    """Upper tail of the chi-square law, Q(dof / 2, statistic / 2), as one expression.
+
+    The regularised incomplete gamma function by its power series below
+    ``a + 1`` and by its continued fraction above, both folded from the last
+    term back.  No degree of freedom (a constant column) gives 1, an infinite
+    statistic 0, a missing one null.
+    """
+    a, x = dof.cast("double") / 2, statistic / 2
+    last_first = F.sequence(F.lit(terms), F.lit(1), F.lit(-1))
+    series = F.aggregate(last_first, F.lit(1.0), lambda acc, k: F.lit(1.0) + x / (a + k) * acc)
+    tail = F.aggregate(last_first, F.lit(0.0), lambda acc, k: k * (k - a) / (x + 2 * k + 1 - a - acc))
+    ln_front = a * F.log(x) - x - _ln_gamma_halves(dof.cast("int"))
+    q = F.when(x < a + 1, F.lit(1.0) - F.exp(ln_front) / a * series).otherwise(F.exp(ln_front) / (x + 1 - a - tail))
+    # greatest and least pass over nulls, so a missing statistic is told apart first
+    return F.when(statistic.isNull(), F.lit(None).cast("double")).when((dof < 1) | (statistic <= 0), F.lit(1.0)).when(
+        statistic == float("inf"), F.lit(0.0)).otherwise(F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0)))
+
+
+def drift_tests(split: DataFrame, columns: Sequence[str], key: str = "asset_name",
+                few_values: int = FEW_VALUES) -> DataFrame:
+    """A21 with the test chosen by column: one row per (asset, column) with its
+    ``n_values``, ``test`` ('ks' or 'chi_square'), statistic, p-value and flag.
+
+    Values are counted per side once (partial aggregation); both statistics
+    come from these counts.  KS: the largest gap of the two running shares.
+    Chi-square, for at most ``few_values`` distinct values over both sides: current
+    counts against the reference counts scaled to the current size; a value that
+    the reference lacks makes it infinite.  Null and NaN are missing.  A side
+    without values gives null results; a column without any gives no row.
+    """
+    # the split keeps at most 90 rows an asset, which bounds the window below
+    value = F.nullif(F.col("value"), F.lit(float("nan")))
+    long = split.select(F.col(key), "side", *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [key, "side"], list(columns), "column", "value").withColumn("value", value).where(F.col("value").isNotNull())
+    counts = long.groupBy(key, "column", "value").agg(
+        F.count_if(F.col("side") == "reference").alias("ref"), F.count_if(F.col("side") == "current").alias("cur"))
+    g = Window.partitionBy(key, "column")
+    upto = g.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wide = counts.select(
+        key, "column", "ref", "cur", F.sum("ref").over(g).alias("n_ref"), F.sum("cur").over(g).alias("n_cur"),
+        F.sum("ref").over(upto).alias("below_ref"), F.sum("cur").over(upto).alias("below_cur"))
+    gap = F.abs(F.try_divide(F.col("below_ref"), F.col("n_ref")) - F.try_divide(F.col("below_cur"), F.col("n_cur")))
+    expected = F.try_divide(F.col("ref") * F.col("n_cur").cast("double"), F.col("n_ref"))
+    part = F.when(expected > 0, (F.col("cur") - expected) * (F.col("cur") - expected) / expected).when(
+        (expected == 0) & (F.col("cur") > 0), F.lit(float("inf")))
+    stats = wide.groupBy(key, "column").agg(
+        F.count(F.lit(1)).alias("n_values"), F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"),
+        F.max(gap).alias("_ks"), F.sum(part).alias("_chi"))
+    both, few = (F.col("n_ref") > 0) & (F.col("n_cur") > 0), F.col("n_values") <= few_values
+    p = F.when(few, chi_square_pvalue(F.col("_chi"), F.col("n_values") - 1)).otherwise(
+        ks_pvalue(F.col("n_ref").cast("double"), F.col("n_cur").cast("double"), F.col("_ks")))
+    tested = stats.select(
+        key, "column", "n_values", "n_ref", "n_cur", F.when(few, "chi_square").otherwise("ks").alias("test"),
+        F.when(both, F.when(few, F.col("_chi")).otherwise(F.col("_ks"))).alias("statistic"),
+        F.when(both, p).alias("p_value"))
+    return tested.withColumn("drifted", F.col("p_value") < F.lit(P_THRESHOLD))
+
+
 def drift_summary(ks: DataFrame, key: str = "asset_name", threshold: float = SHARE_THRESHOLD) -> DataFrame:
     """Drifted share per asset, flag and the resulting action."""
     agg = ks.groupBy(key).agg(

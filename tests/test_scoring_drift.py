@@ -1,6 +1,7 @@
 """Request routing, batch summary, drift split and KS statistic."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -207,3 +208,42 @@ def test_one_sided_asset_does_not_stop_the_drift_test(spark):
                                                      ["x"]).collect()}
     assert got["A"]["p_value"] is not None and got["B"]["p_value"] is None and got["B"]["n_ref"] == 0
     assert drift_summary(spark.createDataFrame(list(got.values()))).count() == 2
+
+
+def test_chi_square_pvalue_against_closed_forms(spark):
+    from pyspark.sql import functions as F
+
+    def tail(x, dof):  # closed forms: erfc and exp with their finite sums
+        if dof % 2 == 0:
+            return math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(dof // 2))
+        return math.erfc(math.sqrt(x / 2)) + math.exp(-x / 2) * sum(
+            (x / 2) ** (k - 0.5) / math.gamma(k + 0.5) for k in range(1, (dof + 1) // 2))
+
+    cases = [(x, dof) for dof in range(1, 12) for x in (1e-6, 0.1, 1.0, 2.9, 3.1, 7.0, 13.0, 40.0, 120.0)]
+    got = spark.createDataFrame(cases, "x double, dof int").select("x", "dof", D.chi_square_pvalue(F.col("x"), F.col("dof")).alias("p"))
+    for r in got.collect():
+        assert r["p"] == pytest.approx(tail(r["x"], r["dof"]), rel=1e-9, abs=1e-14)
+    edge = spark.createDataFrame([(0.0, 0), (0.0, 3), (math.inf, 2), (None, 2)], "x double, dof int")
+    assert [r[0] for r in edge.select(D.chi_square_pvalue(F.col("x"), F.col("dof"))).collect()] == [1.0, 1.0, 0.0, None]
+
+
+def test_drift_test_is_chosen_by_the_number_of_values(spark):
+    rows = [("A", "reference", float(i % 3), 7.0, i / 10, 1.0, None) for i in range(60)]
+    rows += [("A", "current", 0.0 if i < 25 else 1.0, 7.0, i / 10, 2.0 if i == 0 else 1.0, 5.0) for i in range(30)]
+    rows += [("A", "current", None, None, math.nan, None, None)]
+    split = spark.createDataFrame(rows, "asset_name string, side string, three double, same double, many double, unseen double, one_sided double")
+    got = {r["column"]: r for r in D.drift_tests(split, ["three", "same", "many", "unseen", "one_sided"]).collect()}
+    # 25, 5, 0 against 10 each
+    assert got["three"]["test"] == "chi_square" and got["three"]["statistic"] == pytest.approx(22.5 + 2.5 + 10)
+    assert got["three"]["p_value"] == pytest.approx(math.exp(-17.5)) and got["three"]["drifted"]
+    assert (got["same"]["test"], got["same"]["p_value"], got["same"]["drifted"]) == ("chi_square", 1.0, False)
+    assert got["many"]["test"] == "ks" and got["many"]["statistic"] == pytest.approx(0.5) and got["many"]["n_cur"] == 30
+    assert got["unseen"]["statistic"] == math.inf and got["unseen"]["p_value"] == 0.0
+    assert got["one_sided"]["statistic"] is None and got["one_sided"]["drifted"] is None
+    plain = D.ks_statistics(split.where("many = many AND NOT isnan(many)"), ["many"]).collect()[0]
+    assert (plain["ks_stat"], plain["p_value"]) == (got["many"]["statistic"], got["many"]["p_value"])
+
+
+def test_drift_tests_empty_table(spark):
+    empty = spark.createDataFrame([], "asset_name string, side string, three double")
+    assert D.drift_tests(empty, ["three"]).count() == 0
