@@ -20,7 +20,7 @@ from barline.operators.calendar import daily_resample
 from barline.operators.indicators import add_indicators
 from barline.plans import oracle as O
 from barline.plans.features import feature_table
-from barline.session import configure
+from barline.session import configure, materialize
 from barline.sources import fixtures as fx
 
 ROUND = O.ROUND
@@ -866,6 +866,8 @@ def q_batch_predict_summary(spark, sf):
 
 
 # ---------------------------------------------------------- model jobs ----
+from barline.operators import model_store as MS  # noqa: E402
+from barline.operators import models as MD  # noqa: E402
 from barline.plans import training as TR  # noqa: E402
 
 CFG = fx.FIXTURE_CONFIG
@@ -998,6 +1000,47 @@ def q_model_store(spark, sf):
     return rounded(TR.B.predict_boost(test, cols, loaded).select("asset_name", "day", "lstm_pred", "prediction"))
 
 
+@register("champion_scores", O.with_views(["daily"], _L1_CTES + [("verfit", """
+SELECT asset_name, v, regr_slope(scaled, x) AS slope, regr_intercept(scaled, x) AS intercept
+FROM split1, (VALUES ('1'), ('2'), ('3')) t(v) WHERE split = 'train' OR (split = 'val' AND v >= '2') OR v = '3'
+GROUP BY 1, 2"""), ("champion", """
+SELECT asset_name, CASE left(asset_name, 1) WHEN '1' THEN '2' WHEN '2' THEN '3' WHEN '3' THEN '1' WHEN '4' THEN '9' END AS version
+FROM (SELECT DISTINCT asset_name FROM scaled)"""), ("last1", """
+SELECT * FROM scaled QUALIFY row_number() OVER (PARTITION BY asset_name ORDER BY day DESC) = 1""")], f"""
+SELECT l.asset_name, c.version, CASE WHEN c.version IS NULL THEN 'no alias' WHEN f.v IS NULL THEN 'version not stored' END AS failure,
+       round(l.close, 4) AS current_price,
+       {O.r('(f.intercept + f.slope * l.scaled) * (l.x_max - l.x_min) + l.x_min')} AS forecast_price
+FROM last1 l JOIN champion c USING (asset_name) LEFT JOIN verfit f ON f.asset_name = l.asset_name AND f.v = c.version""", recursive=True))
+def q_champion_scores(spark, sf):
+    """S10 (L=1): three versions of every asset's model stored, the champions loaded by alias, live rows scored with them.
+
+    Version 1 is fitted on the first 60 % of an asset's days, 2 on 80 %, 3 on all.
+    Aliases name versions 2, 3 and 1, one that is not stored, and none for the fifth asset.
+    """
+    s1 = _l1(spark, sf)
+    parts = F.when(F.col("split") == "train", F.array(*map(F.lit, "123"))).when(
+        F.col("split") == "val", F.array(*map(F.lit, "23"))).otherwise(F.array(F.lit("3")))
+    seqs = s1.seqs.withColumn("version", F.explode(parts)).withColumn("_fit", F.concat("version", F.lit("@"), "asset_name"))
+    fits = MD.fit_lookback(seqs, 1, 0.0, "_fit").select(
+        F.substring_index("_fit", "@", 1).alias("version"), F.expr("substring(_fit, instr(_fit, '@') + 1)").alias("asset_name"),
+        "weights", "n")
+    scaler = s1.scaled.groupBy("asset_name").agg(F.first("x_min").alias("x_min"), F.first("x_max").alias("x_max"))
+    name = NM.registry_name_col(NM.model_base_col(F.col("asset_name"))).alias("model_name")
+    root = scratch_path(spark, "model-versions")
+    MS.save_versions(fits.join(scaler, "asset_name").select("*", name), root)
+
+    assets = scaler.select("asset_name", name)
+    first = F.substring("asset_name", 1, 1)
+    version = F.when(first == "1", "2").when(first == "2", "3").when(first == "3", "1").when(first == "4", "9")
+    aliases = materialize(assets.select("model_name", F.lit("Champion").alias("alias"), version.alias("version")).where(
+        F.col("version").isNotNull()), "aliases")
+    loaded = MS.load_by_alias(assets, aliases, MS.stored_versions(spark, root))
+    live = MD.last_row(SQ.lookback(s1.scaled, 1, include_current=True)).select("asset_name", "close", "seq", name)
+    pred = SQ.unscale(MD.lookback_predict(F.col("seq"), F.col("weights"), 1), F.col("x_min"), F.col("x_max"))
+    return rounded(live.join(loaded.drop("asset_name"), "model_name", "left").select(
+        "asset_name", "version", "failure", F.col("close").alias("current_price"), pred.alias("forecast_price")))
+
+
 @register("hyperparam_search")
 def q_hyperparam_search(spark, sf):
     """M7: seeded random search over the tuned parameters, RMSE on the last 20 %."""
@@ -1046,8 +1089,6 @@ def _stream_scores(spark, sf, look_back: int, ridge: float):
     h = SQ.minmax_fit(daily.where(F.col("day") <= cut))
     h = h.withColumn("scaled", SQ.scale(F.col("close"), F.col("x_min"), F.col("x_max")))
     seqs = SQ.lookback(h, look_back).withColumn("y", F.col("scaled"))
-    from barline.operators import models as MD
-
     weights = MD.fit_lookback(seqs, look_back, ridge)
     scaler = h.groupBy("asset_name").agg(F.first("x_min").alias("x_min"), F.first("x_max").alias("x_max"))
     stream = SD.file_stream(spark, feed, FEED_SCHEMA)
