@@ -1149,3 +1149,44 @@ def q_batch_predict_values(spark, sf):
         F.col("serving_name").alias("asset_name"), "x_min", "x_max", "weights")
     out = S.score_requests(_requests(spark, sf), models, LOOK_BACK)
     return rounded(out.withColumn("n_rows", F.col("n_rows").cast("long")))
+
+
+_LINES_SQL = """
+SELECT o_orderkey AS k, o_orderdate AS d, CAST(o_totalprice AS DECIMAL(18, 2)) AS p,
+       concat(o_orderkey, ',', o_orderpriority, ',',
+              CASE WHEN o_orderkey % 29 = 0 THEN 'yesterday' ELSE strftime(o_orderdate, '%Y-%m-%d 00:00:00') END,
+              CASE WHEN o_orderkey % 23 = 0 THEN '' WHEN o_orderkey % 17 = 0 THEN ',n/a' WHEN o_orderkey % 13 = 0 THEN ','
+                   ELSE concat(',', CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR)) END,
+              CASE WHEN o_orderkey % 31 = 0 THEN ',extra' ELSE '' END) AS line,
+       o_orderkey % 29 = 0 OR o_orderkey % 17 = 0 AND o_orderkey % 23 <> 0 OR o_orderkey % 31 = 0 AND o_orderkey % 23 <> 0
+         OR o_orderkey % 23 = 0 AS rejected, o_orderpriority AS a
+FROM orders"""
+
+
+@register("csv_rejects", f"""
+WITH lines AS ({_LINES_SQL})
+SELECT rejected, CASE WHEN rejected THEN line END AS line, CASE WHEN NOT rejected THEN k END AS order_key,
+       CASE WHEN NOT rejected THEN a END AS asset_name, CASE WHEN NOT rejected THEN CAST(d AS TIMESTAMP) END AS ts,
+       CASE WHEN NOT rejected AND k % 13 <> 0 THEN CAST(p AS DOUBLE) END AS price
+FROM lines""")
+def q_csv_rejects(spark, sf):
+    """All orders as CSV lines, some broken; the good ones as typed rows with a timestamp, the others as rejected lines.
+
+    Broken: a time or price that is no such value, a missing or an additional field.
+    An empty price is null.
+    """
+    o = read_table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    key = F.col("o_orderkey")
+    price = F.when(key % 23 == 0, "").when(key % 17 == 0, ",n/a").when(key % 13 == 0, ",").otherwise(
+        F.concat(F.lit(","), F.col("o_totalprice").cast("decimal(18,2)").cast("string")))
+    time = F.when(key % 29 == 0, "yesterday").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd 00:00:00"))
+    line = F.concat(key.cast("string"), F.lit(","), F.col("o_orderpriority"), F.lit(","), time, price,
+                    F.when(key % 31 == 0, ",extra").otherwise(""))
+    path = scratch_path(spark, "dirty-csv")
+    o.select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("order_key", T.LongType()), T.StructField("asset_name", T.StringType()),
+                           T.StructField("ts", T.TimestampNTZType()), T.StructField("price", T.DoubleType())])
+    rows, rejected = FI.read_csv_lenient(spark, path, schema, "yyyy-MM-dd HH:mm:ss", header=False)
+    return rows.withColumn("rejected", F.lit(False)).unionByName(
+        rejected.select("line", F.lit(True).alias("rejected")), allowMissingColumns=True).select(
+            "rejected", "line", *schema.names)
