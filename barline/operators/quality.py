@@ -7,18 +7,21 @@ negative values among non-null entries.  A check whose column is absent (or,
 for the sign check, entirely null) is not emitted at all.
 
 Every statistic of a dataset comes from a single ``agg`` (map-side partial
-aggregation), the duplicate count from one ``groupBy(keys)``; check rows are
-produced with ``stack`` — nothing is collected.
+aggregation), or from metrics observed while the dataset is written; the
+duplicate count comes from one ``groupBy(keys)``, and check rows from ``stack``.
+Nothing is collected but those metrics, one number each.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barline.session import materialize
+
 CHECK_SCHEMA = "dataset string, check_id int, check_name string, passed boolean, observed double"
 
 
@@ -52,21 +55,57 @@ def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def validate_dataset(df: DataFrame, rules: DatasetRules, name: str) -> DataFrame:
-    """All checks of one dataset as rows (dataset, check_id, check_name, passed, observed)."""
+def _columns(df: DataFrame, rules: DatasetRules) -> tuple[list[str], list[str]]:
+    """The rules' numeric columns that ``df`` has, and those of them that are numeric."""
     types = {f.name: f.dataType for f in df.schema.fields}
     present = [c for c in rules.numeric_columns if c in types]
-    numeric = [c for c in present if isinstance(types[c], T.NumericType)]
-    missing = [c for c in rules.required_columns if c not in types]
+    return present, [c for c in present if isinstance(types[c], T.NumericType)]
 
+
+def _statistics(df: DataFrame, rules: DatasetRules) -> list[Column]:
+    """The aggregates the checks need: row count, nulls, and negatives and values of numeric columns."""
+    present, numeric = _columns(df, rules)
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(present):
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{i}"))
-    for i, c in enumerate(present):
         if c in numeric:
-            aggs.append(F.count_if(F.col(c) < 0).alias(f"neg_{i}"))
-            aggs.append(F.count(F.col(c)).alias(f"nn_{i}"))
-    stats = df.agg(*aggs)
+            aggs += [F.count_if(F.col(c) < 0).alias(f"neg_{i}"), F.count(F.col(c)).alias(f"nn_{i}")]
+    return aggs
+
+
+def validate_dataset(df: DataFrame, rules: DatasetRules, name: str) -> DataFrame:
+    """All checks of one dataset as rows (dataset, check_id, check_name, passed, observed).
+
+    A plain query: the statistics and the duplicate count scan ``df`` apart.
+    ``write_checked`` takes the same checks while the dataset is written.
+    """
+    return _check_rows(df, df.agg(*_statistics(df, rules)), rules, name)
+
+
+def write_checked(df: DataFrame, rules: DatasetRules, name: str) -> tuple[DataFrame, DataFrame]:
+    """A9 in the scan that writes the dataset: (the written table, its checks as by ``validate_dataset``).
+
+    The statistics are metrics observed by the writing tasks: they sit above
+    every shuffle of ``df``, in the stage whose tasks count once each however
+    often they are tried.  The duplicate count then reads the key columns of the
+    written table; ``df`` itself is computed once.  The table lies in the
+    checkpoint folder.
+    """
+    seen = Observation()
+    table = materialize(df.observe(seen, *_statistics(df, rules)), f"checked-{name}")
+    present, numeric = _columns(df, rules)
+    metrics = ["n", *[f"null_{i}" for i in range(len(present))],
+               *[f"{m}_{i}" for i, c in enumerate(present) if c in numeric for m in ("neg", "nn")]]
+    found = seen.get  # one number a metric; none where the plan is known to be empty
+    stats = df.sparkSession.createDataFrame([tuple(int(found.get(m) or 0) for m in metrics)],
+                                            ", ".join(f"{m} long" for m in metrics))
+    return table, _check_rows(table, stats, rules, name)
+
+
+def _check_rows(df: DataFrame, stats: DataFrame, rules: DatasetRules, name: str) -> DataFrame:
+    """The checks as rows, from the one-row frame of ``_statistics`` and the duplicate count of ``df``."""
+    present, numeric = _columns(df, rules)
+    missing = [c for c in rules.required_columns if c not in df.columns]
 
     rows = []  # (id, name, passed-expr, observed-expr, emit-expr)
     cid = 0
@@ -84,7 +123,7 @@ def validate_dataset(df: DataFrame, rules: DatasetRules, name: str) -> DataFrame
     for i, c in enumerate(present):
         ratio = f"try_divide(CAST(null_{i} AS DOUBLE), CAST(n AS DOUBLE))"
         add(f"Null ratio for '{c}'", f"coalesce({ratio} <= {float(rules.max_null_ratio)!r}D, false)", ratio)
-    keys = [k for k in rules.duplicate_keys if k in types]
+    keys = [k for k in rules.duplicate_keys if k in df.columns]
     dup_id = None
     if keys:
         cid += 1

@@ -263,8 +263,8 @@ def _customer_crypto(spark, sf):
 
 
 def _dq(spark, sf):
-    a = Q.validate_dataset(_dirty_stocks(spark, sf), Q.STOCK_RULES, "dirty_stocks")
-    b = Q.validate_dataset(_customer_crypto(spark, sf), Q.CRYPTO_RULES, "customer_crypto")
+    _, a = Q.write_checked(_dirty_stocks(spark, sf), Q.STOCK_RULES, "dirty_stocks")
+    _, b = Q.write_checked(_customer_crypto(spark, sf), Q.CRYPTO_RULES, "customer_crypto")
     return a.unionByName(b)
 
 

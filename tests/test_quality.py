@@ -80,3 +80,30 @@ def test_missing_assets(spark):
     data = spark.createDataFrame([("A",), ("A",), ("C",)], "asset_name string")
     got = [r["asset_name"] for r in Q.missing_assets(asset_frame(spark, cfg), data).collect()]
     assert got == ["B"]
+
+
+def test_checks_taken_while_writing_equal_the_plain_ones(spark):
+    schema = "timestamp int, name string, last double, high string, extra long"
+    rows = [(i % 7 if i % 5 else None, f"n{i % 3}", float(i - 4) if i % 4 else None, None, i) for i in range(200)]
+    for data in (rows, rows[:1], [], [(1, "a", None, "x", 1)]):
+        df = spark.createDataFrame(data, schema)
+        shuffled = df.repartition(5, "extra")
+        table, checks = Q.write_checked(shuffled, Q.STOCK_RULES, "s")
+        plain = Q.validate_dataset(df, Q.STOCK_RULES, "s")
+        assert sorted(map(tuple, checks.collect())) == sorted(map(tuple, plain.collect()))
+        assert sorted(map(str, table.collect())) == sorted(map(str, df.collect()))
+
+
+def test_write_checked_computes_the_dataset_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    df = spark.range(100).selectExpr("id AS timestamp", "'a' AS name", "cast(id AS double) AS last").mapInArrow(
+        count, "timestamp long, name string, last double")
+    _, checks = Q.write_checked(df, Q.STOCK_RULES, "once")
+    assert checks.where("check_name = 'DataFrame not empty'").collect()[0]["observed"] == 100.0
+    assert checks.count() > 0 and calls.value == 100
