@@ -6,9 +6,9 @@ on the existing key columns (rows beyond the first, nulls equal), and no
 negative values among non-null entries.  A check whose column is absent (or,
 for the sign check, entirely null) is not emitted at all.
 
-Every statistic of a dataset comes from a single ``agg`` (map-side partial
-aggregation), or from metrics observed while the dataset is written; the
-duplicate count comes from one ``groupBy(keys)``, and check rows from ``stack``.
+Every statistic of a dataset comes from one scan: aggregated per duplicate key
+(map-side partial aggregation) and summed, or observed while the dataset is
+written.  Check rows come from ``stack``.
 Nothing is collected but those metrics, one number each.
 """
 
@@ -62,6 +62,10 @@ def _columns(df: DataFrame, rules: DatasetRules) -> tuple[list[str], list[str]]:
     return present, [c for c in present if isinstance(types[c], T.NumericType)]
 
 
+def _keys(df: DataFrame, rules: DatasetRules) -> list[str]:
+    return [k for k in rules.duplicate_keys if k in df.columns]
+
+
 def _statistics(df: DataFrame, rules: DatasetRules) -> list[Column]:
     """The aggregates the checks need: row count, nulls, and negatives and values of numeric columns."""
     present, numeric = _columns(df, rules)
@@ -76,10 +80,17 @@ def _statistics(df: DataFrame, rules: DatasetRules) -> list[Column]:
 def validate_dataset(df: DataFrame, rules: DatasetRules, name: str) -> DataFrame:
     """All checks of one dataset as rows (dataset, check_id, check_name, passed, observed).
 
-    A plain query: the statistics and the duplicate count scan ``df`` apart.
-    ``write_checked`` takes the same checks while the dataset is written.
+    One scan: the statistics are taken per duplicate key, then summed, so the
+    shuffle that finds the duplicates carries them along.  ``write_checked`` takes
+    the same checks while the dataset is written.
     """
-    return _check_rows(df, df.agg(*_statistics(df, rules)), rules, name)
+    keys = _keys(df, rules)
+    stats = _statistics(df, rules)
+    if not keys:
+        return _check_rows(df, df.agg(*stats), rules, name)
+    per_key = df.groupBy(*[F.col(_q(k)).alias(f"key_{i}") for i, k in enumerate(keys)]).agg(*stats)
+    totals = [F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in per_key.columns[len(keys):]]
+    return _check_rows(df, per_key.agg(*totals, F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_dupes")), rules, name)
 
 
 def write_checked(df: DataFrame, rules: DatasetRules, name: str) -> tuple[DataFrame, DataFrame]:
@@ -97,13 +108,14 @@ def write_checked(df: DataFrame, rules: DatasetRules, name: str) -> tuple[DataFr
     metrics = ["n", *[f"null_{i}" for i in range(len(present))],
                *[f"{m}_{i}" for i, c in enumerate(present) if c in numeric for m in ("neg", "nn")]]
     found = seen.get  # one number a metric; none where the plan is known to be empty
-    stats = df.sparkSession.createDataFrame([tuple(int(found.get(m) or 0) for m in metrics)],
-                                            ", ".join(f"{m} long" for m in metrics))
-    return table, _check_rows(table, stats, rules, name)
+    stats = [F.lit(int(found.get(m) or 0)).alias(m) for m in metrics]
+    keys = _keys(df, rules)
+    one = duplicate_count(table, keys).select("n_dupes", *stats) if keys else df.sparkSession.range(1).select(*stats)
+    return table, _check_rows(table, one, rules, name)
 
 
 def _check_rows(df: DataFrame, stats: DataFrame, rules: DatasetRules, name: str) -> DataFrame:
-    """The checks as rows, from the one-row frame of ``_statistics`` and the duplicate count of ``df``."""
+    """The checks as rows, from the one-row frame of ``_statistics`` and its ``n_dupes``."""
     present, numeric = _columns(df, rules)
     missing = [c for c in rules.required_columns if c not in df.columns]
 
@@ -123,32 +135,15 @@ def _check_rows(df: DataFrame, stats: DataFrame, rules: DatasetRules, name: str)
     for i, c in enumerate(present):
         ratio = f"try_divide(CAST(null_{i} AS DOUBLE), CAST(n AS DOUBLE))"
         add(f"Null ratio for '{c}'", f"coalesce({ratio} <= {float(rules.max_null_ratio)!r}D, false)", ratio)
-    keys = [k for k in rules.duplicate_keys if k in df.columns]
-    dup_id = None
+    keys = _keys(df, rules)
     if keys:
-        cid += 1
-        dup_id = cid
-    sign_rows = []
+        add("No duplicates on [" + ", ".join(f"'{k}'" for k in keys) + "]", "n_dupes = 0", "CAST(n_dupes AS DOUBLE)")
     for i, c in enumerate(present):
         if c in numeric:
-            cid += 1
-            sign_rows.append((cid, f"Column '{c}' has no negative values", f"neg_{i} = 0",
-                              f"CAST(neg_{i} AS DOUBLE)", f"nn_{i} > 0"))
-
-    def stack(items):
-        body = ", ".join(
-            f"{i}, {_lit(n)}, {p}, {o}, {e}" for i, n, p, o, e in items)
-        return stats.selectExpr(
-            f"stack({len(items)}, {body}) AS (check_id, check_name, passed, observed, emit)")
-
-    out = stack(rows + sign_rows)
-    if dup_id is not None:
-        label = "No duplicates on [" + ", ".join(f"'{k}'" for k in keys) + "]"
-        dups = duplicate_count(df, keys).select(
-            F.lit(dup_id).alias("check_id"), F.lit(label).alias("check_name"),
-            (F.col("n_dupes") == 0).alias("passed"), F.col("n_dupes").cast("double").alias("observed"),
-            F.lit(True).alias("emit"))
-        out = out.unionByName(dups)
+            add(f"Column '{c}' has no negative values", f"neg_{i} = 0", f"CAST(neg_{i} AS DOUBLE)", f"nn_{i} > 0")
+
+    body = ", ".join(f"{i}, {_lit(n)}, {p}, {o}, {e}" for i, n, p, o, e in rows)
+    out = stats.selectExpr(f"stack({len(rows)}, {body}) AS (check_id, check_name, passed, observed, emit)")
     return out.where("emit").select(
         F.lit(name).alias("dataset"), F.col("check_id").cast("int"), "check_name",
         F.col("passed").cast("boolean"), F.col("observed").cast("double"))
