@@ -518,48 +518,6 @@ def q_drift_ks(spark, sf):
     return rounded(_ks(spark, sf).select("asset_name", "column", "ks_stat", "n_ref", "n_cur", "p_value", "drifted"))
 
 
-_FEW_SQL = f"""
-SELECT *, CAST(CASE WHEN log_return IS NULL THEN NULL ELSE sign(log_return) END AS DOUBLE) AS direction,
-       CAST(month(day) % 3 AS DOUBLE) AS quarter_month FROM split"""
-_TEST_COLS = [*_DRIFT_COLS, "direction", "quarter_month"]
-_TESTS_SQL = """
-SELECT asset_name, "column", count(*) AS n_values, CAST(any_value(n_ref) AS BIGINT) AS n_ref,
-       CAST(any_value(n_cur) AS BIGINT) AS n_cur, max(abs(f_ref - f_cur)) AS ks,
-       sum(CASE WHEN ref = 0 THEN CAST('inf' AS DOUBLE)
-                ELSE pow(cur - CAST(ref AS DOUBLE) * n_cur / n_ref, 2) / (CAST(ref AS DOUBLE) * n_cur / n_ref) END) AS chi
-FROM (SELECT *, sum(ref) OVER g AS n_ref, sum(cur) OVER g AS n_cur, sum(ref) OVER w / sum(ref) OVER g AS f_ref,
-             sum(cur) OVER w / sum(cur) OVER g AS f_cur
-      FROM (SELECT asset_name, "column", value, count(*) FILTER (WHERE side = 'reference') AS ref,
-                   count(*) FILTER (WHERE side = 'current') AS cur
-            FROM (UNPIVOT (SELECT asset_name, side, %s FROM few) ON %s INTO NAME "column" VALUE value) GROUP BY 1, 2, 3)
-      WINDOW g AS (PARTITION BY asset_name, "column"),
-             w AS (PARTITION BY asset_name, "column" ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-GROUP BY 1, 2""" % (", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in _TEST_COLS), ", ".join(f'"{c}"' for c in _TEST_COLS))
-# chi-square's upper tail as one minus the lower tail's series in x = chi / 2, with lgamma
-_TEST_P_SQL = """
-SELECT *, CASE WHEN n_values > 5 THEN 'ks' ELSE 'chi_square' END AS test,
-       CASE WHEN n_values > 5 THEN ks ELSE chi END AS statistic,
-       CASE WHEN n_values > 5 AND lam < 0.2 THEN 1.0::DOUBLE
-            WHEN n_values > 5 THEN least(greatest((SELECT sum(2 * (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END)
-                 * exp(-2 * k * k * lam * lam)) FROM range(1, 101) t(k)), 0.0::DOUBLE), 1.0::DOUBLE)
-            WHEN n_values = 1 OR chi = 0 THEN 1.0::DOUBLE WHEN chi > 200 THEN 0.0::DOUBLE
-            ELSE 1 - (SELECT sum(exp((a + k) * ln(chi / 2) - chi / 2 - lgamma(a + k + 1))) FROM range(0, 600) t(k)) END AS p_value
-FROM (SELECT *, sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur)) * ks AS lam, (n_values - 1) / 2.0::DOUBLE AS a FROM tests)"""
-
-
-@register("drift_tests", O.with_views(
-    ["daily"], _FEAT + [("split", _SPLIT_SQL), ("few", _FEW_SQL), ("tests", _TESTS_SQL), ("testp", _TEST_P_SQL)],
-    f"""SELECT asset_name, "column", n_values, n_ref, n_cur, test, {O.r('statistic')} AS statistic,
-       {O.r('p_value')} AS p_value, p_value < 0.05 AS drifted FROM testp""", recursive=True))
-def q_drift_tests(spark, sf):
-    """A21 with the test chosen per column: KS, or chi-square for the direction of the day and the month in its quarter."""
-    f = _features(spark, sf)
-    few = D.split_reference_current(f).withColumn("direction", F.signum("log_return")).withColumn(
-        "quarter_month", (F.month("day") % 3).cast("double"))
-    return rounded(D.drift_tests(few, _TEST_COLS).select(
-        "asset_name", "column", "n_values", "n_ref", "n_cur", "test", "statistic", "p_value", "drifted"))
-
-
 @register("drift_ks_exact")
 def q_drift_ks_exact(spark, sf):
     """A21 with the exact small-sample p-value (lattice-path count) in place of the series."""
