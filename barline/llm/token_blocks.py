@@ -17,11 +17,16 @@ sum per partition has to be scanned for global starts.  Rows are range-sorted
 by (doc_id, text), so repeated rows stay separate and reruns agree.  Null texts
 count as empty (the end id alone); a null doc_id sorts first; an empty table
 gives no rows.  Other columns of the input are not read.
+
+Control strings inside texts (``<|endoftext|>`` and the like) get the ids the
+tokenizers library gives them: their control ids, or with ``control_ids=False``
+those of ordinary text.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import sys
 import types
@@ -52,6 +57,12 @@ CLASS[[9, 10, 11, 12, 13, 32]] = SPACE
 CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = LETTER
 CLASS[48:58] = DIGIT
 
+# fixed values: the steps before the merge model for which cutting at white space and by byte classes is right
+CUT_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+CUT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+CUT_SPLIT = {"type": "Split", "pattern": {"Regex": CUT_PATTERN}, "behavior": "Removed", "invert": True}
+CUT_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
 
 # ---------------------------------------------------------------- blocks
 
@@ -146,18 +157,28 @@ class PieceIds:
     text's ids are its pieces' ids in order.  Simple texts (``SIMPLE``) are
     lower-cased and cut by byte classes here; any other text is cut at white
     space, which always ends a piece, and each distinct word is encoded whole by
-    the tokenizer.  Known pieces are kept under two independent 64-bit hashes.
+    the tokenizer.  Known pieces are kept under two independent 64-bit hashes.  A text
+    with a control string is never simple.  A file whose steps before the merge model
+    differ from these (``cuts`` is false) has its texts encoded whole, one at a time.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, control_ids: bool = True):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        added = spec["added_tokens"]
+        self.controls = [t["content"] for t in added]
+        plain = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) and len(t["content"].split()) == 1
+                    for t in added)
+        self.cuts = plain and spec["normalizer"] == {"type": "Sequence", "normalizers": CUT_NORMALIZERS} and (
+            spec["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [CUT_SPLIT, CUT_BYTES]})
         self.whole, self.piece = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.piece.normalizer = normalizers.Sequence([])
         self.piece.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        for t in (self.whole, self.piece):
-            t.encode_special_tokens = True
+        self.whole.encode_special_tokens = not control_ids
+        self.piece.encode_special_tokens = True  # no piece holds a whole control string
         self.clear()
 
     def clear(self) -> None:
@@ -191,12 +212,13 @@ class PieceIds:
         return self.flat, self.starts[at], self.sizes[at]
 
 
-def piece_ids(path: str) -> PieceIds:
+def piece_ids(path: str, control_ids: bool = True) -> PieceIds:
     """This worker's encoder for a tokenizer file (kept between tasks)."""
     held = sys.modules.setdefault("_barline_piece_ids", types.ModuleType("_barline_piece_ids"))
-    if path not in vars(held):
-        setattr(held, path, PieceIds(path))
-    return getattr(held, path)
+    name = f"{path} {control_ids}"
+    if name not in vars(held):
+        setattr(held, name, PieceIds(path, control_ids))
+    return getattr(held, name)
 
 
 def cut_simple(text: pa.Array) -> Words:
@@ -228,7 +250,13 @@ def _encode(words: Words, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> t
 def encode_texts(text: pa.Array, coder: PieceIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts, each followed by ``end_id``, and the ids per text."""
     text = pc.fill_null(text, "")
-    simple = pc.match_substring_regex(text, SIMPLE).to_numpy(zero_copy_only=False)
+    if not coder.cuts:
+        own = [np.array([*coder.whole.encode(t.as_py(), add_special_tokens=False).ids, end_id], np.uint32) for t in text]
+        return np.concatenate([*own, np.zeros(0, np.uint32)]), np.fromiter(map(len, own), np.int64, len(own))
+    simple = pc.match_substring_regex(text, SIMPLE)
+    for control in coder.controls:
+        simple = pc.and_not(simple, pc.match_substring(text, control))
+    simple = simple.to_numpy(zero_copy_only=False)
     counts, groups = np.zeros(len(text), np.int64), []
     for own, cut, tokenizer, seed in ((np.flatnonzero(simple), cut_simple, coder.piece, 0),
                                       (np.flatnonzero(~simple), split_words, coder.whole, 2)):
@@ -252,14 +280,14 @@ CHUNKS = T.StructType([
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-                 end_id: int = END_ID) -> None:
+                 end_id: int = END_ID, control_ids: bool = True) -> None:
     """Encode all documents and write their chunks to ``path`` in ascending ``doc_id`` order."""
     prepare(docs.sparkSession)
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = src.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = piece_ids(tokenizer)
+        coder = piece_ids(tokenizer, control_ids)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             for piece in pieces(batch, "text"):

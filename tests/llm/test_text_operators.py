@@ -84,15 +84,20 @@ def test_blocks_round_trip():
             assert (token_blocks.decode_blocks(token_blocks.encode_blocks(ids)) == ids).all()
 
 
-def test_token_files_hold_the_library_s_ids(spark, tmp_path):
+CONTROLS = ["<|endoftext|>", "a<|startoftext|>b <|ENDOFTEXT|> é<|endoftext|>É", "it's<|endoftext|>'s", "x " * 50 + "<|endoftext|>\n1"]
+
+
+@pytest.mark.parametrize("name, control_ids", [
+    ("word_bpe_49k.json", True), ("word_bpe_49k.json", False), ("byte_bpe_50k.json", True), ("byte_bpe_50k.json", False)])
+def test_token_files_hold_the_library_s_ids(spark, tmp_path, name, control_ids):
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(tokenizer_path())
-    whole.encode_special_tokens = True
-    texts = [*ODD, "Hello, World! abc123 ÉÀ ñ" * 3, "Σς ΑΣ. ſt İ"]
+    whole = Tokenizer.from_file(tokenizer_path(name))
+    whole.encode_special_tokens = not control_ids
+    texts = [*ODD, "Hello, World! abc123 ÉÀ ñ" * 3, "Σς ΑΣ. ſt İ", *CONTROLS]
     frame = docs_of(spark, texts).unionByName(docs_of(spark, texts[:2])).unionByName(
         spark.createDataFrame([(None, "no id", None, None, "", "")], DOCS))
-    token_blocks.write_tokens(frame, str(tmp_path / "t"), tokenizer_path())
+    token_blocks.write_tokens(frame, str(tmp_path / "t"), tokenizer_path(name), control_ids=control_ids)
     rows = sorted(token_blocks.read_tokens(spark, str(tmp_path / "t")).collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in rows] == [None, 0, 0, 1, 1, *range(2, len(texts))]
     at = 0
