@@ -1,12 +1,13 @@
 """Sharding by a permutation-filled lookup table (operator 10), in DataFrame functions only.
 
 Every shard has a preference order over the slots of a prime-sized table:
-``(offset + j * skip) mod size`` for j = 0, 1, ...  Shards take turns; in its
-turn a shard claims the first slot of its order that is still free, until all
-slots are taken.  A row belongs to the shard of slot ``hash(key) mod size``, one
-look-up in a broadcast table of ``size`` rows (a parameter, so its size is
-bounded).  Slots differ by at most one between shards, and removing a shard
-moves few rows besides its own.
+``(offset + j * skip) mod size`` for j = 0, 1, ..., both from its name's MD5.
+Shards take turns; in its turn a shard claims the first slot of its order that is
+still free, until all slots are taken.  The table depends on the shards' names and
+its size alone, not on any data, so it is filled once where the query is built.  A row
+belongs to the shard of slot ``hash(key) mod size``, one look-up in a broadcast
+table of ``size`` rows (a parameter, so its size is bounded).  Shards differ by at
+most one slot, and removing a shard moves few slots besides its own.
 
 Null keys hash as the empty text.  Equal keys always meet in one shard;
 repeated rows each get a row.  An empty table gives no rows; a column named
@@ -15,52 +16,44 @@ like an output column is replaced.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLOTS = 6553  # a prime, about 100 slots a shard
 SHARDS = 64
-NEAR = 48  # preferences looked at first; the rest of the order follows when none of them is free
 
 
-def hashed(text: Column, start: int = 1) -> Column:
-    """60 bits of a text's MD5 as a long, from hex digit ``start`` on."""
-    return F.conv(F.substring(F.md5(text), start, 15), 16, 10).cast("long")
+def hashed(text: Column) -> Column:
+    """60 bits of a text's MD5 as a long."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def shard_names(shards: int) -> list[str]:
+    return [f"shard-{i}" for i in range(shards)]
+
+
+def filled_slots(names: Sequence[str], slots: int = SLOTS) -> list[int]:
+    """The position in ``names`` of the shard that each slot of the table belongs to."""
+    orders = []
+    for name in names:
+        digest = hashlib.md5(name.encode()).hexdigest()
+        offset, skip = int(digest[:15], 16) % slots, int(digest[16:31], 16) % (slots - 1) + 1
+        orders.append((slot % slots for slot in range(offset, offset + slots * skip, skip)))
+    owner = [-1] * slots
+    for turn in range(slots):
+        shard = turn % len(names)
+        claimed = next(slot for slot in orders[shard] if owner[slot] < 0)
+        owner[claimed] = shard
+    return owner
 
 
 def lookup_table(spark: SparkSession, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
     """(slot, shard) of a table of ``slots`` (a prime) filled in turns by ``shards`` shards."""
-    names = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda i: F.concat(F.lit("shard-"), i.cast("string")))
-    prefs = F.transform(names, lambda name: F.struct(
-        (hashed(name) % slots).cast("int").alias("offset"),
-        (hashed(name, 17) % (slots - 1) + 1).cast("int").alias("skip")))
-    start = F.struct(prefs.alias("prefs"), F.array_repeat(F.lit(-1), slots).alias("owner"),
-                     F.array_repeat(F.lit(0), shards).alias("next"))
-
-    def bound(value: Column, use) -> Column:
-        """``use(value)`` with the value computed once."""
-        return F.transform(F.array(value), use)[0]
-
-    def turn(state: Column, t: Column) -> Column:
-        shard = (t % shards).cast("int")
-        owner, pref, first = state["owner"], state["prefs"][shard], state["next"][shard]
-        slot_of = lambda j: ((pref["offset"] + j.cast("long") * pref["skip"]) % slots).cast("int")
-
-        def free(low: Column, high: Column) -> Column:
-            return F.get(F.filter(F.sequence(low, high), lambda j: F.get(owner, slot_of(j)) < 0), F.lit(0))
-
-        def claimed(j: Column) -> Column:
-            return bound(slot_of(j), lambda slot: F.struct(
-                state["prefs"].alias("prefs"),
-                F.concat(F.slice(owner, F.lit(1), slot), F.array(shard), F.slice(owner, slot + 2, F.lit(slots))).alias("owner"),
-                F.concat(F.slice(state["next"], F.lit(1), shard), F.array(j + 1),
-                         F.slice(state["next"], shard + 2, F.lit(shards))).alias("next")))
-
-        top = F.lit(slots - 1)
-        return bound(F.coalesce(free(first, F.least(first + NEAR, top)), free(F.least(first + NEAR, top), top)), claimed)
-
-    filled = F.aggregate(F.sequence(F.lit(0), F.lit(slots - 1)), start, turn, lambda state: state["owner"])
-    return spark.range(1).select(filled.alias("owner")).select(F.posexplode("owner").alias("slot", "shard"))
+    owners = F.split(F.lit(",".join(map(str, filled_slots(shard_names(shards), slots)))), ",").cast("array<int>")
+    return spark.range(1).select(F.posexplode(owners).alias("slot", "shard"))
 
 
 def place(df: DataFrame, key: str, table: DataFrame, slots: int = SLOTS) -> DataFrame:

@@ -244,3 +244,18 @@ def test_shards_take_turns_and_place_rows(spark):
     placed = sharding.place(rows, "doc_id", sharding.lookup_table(spark, 7, 101), 101).collect()
     assert len(placed) == 3 and len({r["shard"] for r in placed if r["doc_id"] == 1}) == 1
     assert all(0 <= r["shard"] < 7 for r in placed)
+
+
+def test_removing_a_shard_moves_few_other_slots():
+    names = sharding.shard_names(20)
+    before = [names[i] for i in sharding.filled_slots(names, 2003)]
+    for gone in ("shard-0", "shard-11", "shard-19"):
+        rest = [n for n in names if n != gone]
+        after = [rest[i] for i in sharding.filled_slots(rest, 2003)]
+        assert max(map(after.count, rest)) - min(map(after.count, rest)) <= 1
+        others = [(a, b) for a, b in zip(before, after) if a != gone]
+        assert sum(a != b for a, b in others) < 0.1 * len(others)
+
+
+def test_sharding_of_an_empty_table(spark):
+    assert sharding.place(frame(spark, []), "doc_id", sharding.lookup_table(spark)).count() == 0
