@@ -6,8 +6,9 @@
    source; the excess goes to the others by weight.  Closed form: with caps
    sorted by cap / weight, a source is capped if its ratio is at most the level
    that the remaining words and weights give at its place.
-3. Order: a hash of the id is each document's random key.  Equal key ranges of
-   every source (``RANGES``, the key's leading hex digits) are sorted apart, and
+3. Order: a hash of the id and the text is each document's random key, so rows
+   that share an id are spread too.  Rows alike in id, source and text are one
+   counted row until the end.  Equal key ranges of every source (``RANGES``, the key's leading hex digits) are sorted apart, and
    a prefix sum over the small table of (source, range) totals gives the words
    before each range, so a source holding a third of all rows is spread evenly.
 4. Cut: a target of t words over a source of s words takes every document
@@ -15,9 +16,9 @@
    exact number of words; the last one is taken in part.
 
 Null texts have 0 words.  Null sources are one source.  Rows of equal key are
-ordered by id, size and text hash, so repeated rows that are alike get the same
-set of results and reruns agree.  An empty table gives no rows.  Only the id,
-source and text columns are read.
+ordered by id, size and text hash, so reruns agree; repeated rows that are alike
+are taken one after another.  An empty table gives no rows.  Only the id, source
+and text columns are read.
 """
 
 from __future__ import annotations
@@ -61,7 +62,8 @@ def sized(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     """Id, source, words, random key and text hash of every document, written without the texts."""
     prepare(docs.sparkSession)
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    key = F.md5(F.concat(blank(F.col("doc_id").cast("string")), F.lit("-"), F.md5(blank(F.col("text")))))
     return written(src.select("doc_id", "source", n_words().alias("size"), key.alias("key"),
                               F.xxhash64("text").alias("tie")), "mixing_sizes")
 
@@ -69,8 +71,8 @@ def sized(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
 def cut(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     """Add source_size, target, taken (words) and copies (whole documents; the last one by its larger part)."""
     block = F.substring("key", 1, RANGES)
-    rows = sizes.withColumn("block", block)
-    totals = rows.groupBy("source", "block").agg(F.sum("size").alias("_n"))
+    rows = sizes.groupBy("doc_id", "source", "size", "key", "tie").agg(F.count(F.lit(1)).alias("_rows")).withColumn("block", block)
+    totals = sizes.withColumn("block", block).groupBy("source", "block").agg(F.sum("size").alias("_n"))
     earlier = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(F.col("source").alias("_s"), F.col("block").alias("_b"),
                             F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
@@ -78,8 +80,10 @@ def cut(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     offsets = offsets.join(goals, F.col("_s").eqNullSafe(F.col("_g"))).drop("_g")
     inside = Window.partitionBy("source", "block").orderBy("key", "doc_id", "size", "tie").rowsBetween(
         Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    rows = rows.withColumn("_in", F.coalesce(F.sum(F.col("size") * F.col("_rows")).over(inside), F.lit(0)))
     rows = rows.join(offsets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")))
+    rows = rows.withColumn("_row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1)))
+    rows = rows.withColumn("_in", F.col("_in") + F.col("_row") * F.col("size"))
     goal = F.round("target").cast("long")
     epochs = F.coalesce(F.floor(F.try_divide(goal, F.col("source_size"))), F.lit(0))
     rest = goal - epochs * F.col("source_size")

@@ -150,7 +150,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op5_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || '-' || md5(coalesce(text, ''))) AS key FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n FROM d GROUP BY source),
 w AS (
   SELECT source, n, 2.0::DOUBLE * n AS cap,

@@ -220,6 +220,24 @@ def test_mix_meets_its_targets(spark, corpus):
     assert mixing.mix(frame(spark, [])).count() == 0
 
 
+def test_mix_spreads_rows_of_one_id_and_counts_repeated_rows(spark):
+    """A third of the rows share a null id, a third are one row repeated; every source still meets its target."""
+    rows = [(None, f"n{i} " * (1 + i % 7), "a") for i in range(300)] + [(9, "same words here", "a")] * 300 + [
+        (1000 + i, f"x{i} y", "b") for i in range(300)]
+    sizes = mixing.sized(frame(spark, rows))
+    of_null = sizes.where("doc_id is null").select(F.substring("key", 1, 2).alias("k")).distinct().count()
+    assert of_null > 100  # of 256 ranges
+    got = mixing.mix(frame(spark, rows)).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((i, len(t.split())) for i, t, _ in rows)
+    taken, want = Counter(), {r["source"]: r["target"] for r in got}
+    for r in got:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - want[s]) <= 1 for s in "ab")
+    partly = [r["taken"] for r in got if r["doc_id"] == 9]  # whole epochs plus one more, cut in one row at most
+    assert len({t for t in partly}) <= 3
+
+
 def fill(shards, slots):
     import hashlib
 
