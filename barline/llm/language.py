@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,16 +147,23 @@ def predict(model: dict, text: pa.Array) -> tuple[list[str], np.ndarray, np.ndar
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_train: int = MAX_TRAIN) -> dict:
     """Train on at most ``max_train`` labelled documents outside the held-out fifth.
 
-    Only their ids are ranked; the collected texts and the broadcast ids are
-    bounded by the parameter.
+    Languages take turns in hash order of (id, text), so each has its share however rare
+    it is (with more languages than ``max_train``, some have none).  Rows of one id, text
+    and language are one document.  Keys are ranked without texts; the broadcast keys and
+    the collected texts are bounded by the parameter, whatever ids repeat.
     """
     src = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.col(lang).alias("_lang")).where(
         F.col("_lang").isNotNull() & F.col("_text").isNotNull() & F.col("_id").isNotNull() & (remainder("_id", 5) != 0))
-    ids = src.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(max_train).collect()
-    if not ids:
+    src = src.withColumn("_tie", F.xxhash64("_text"))
+    key = ["_lang", "_id", "_tie"]
+    # one row a document, and in each task at most max_train of a language, before the one sort by turns
+    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id", "_tie"), "_id", "_tie")
+    ranked = src.select(key).distinct().withColumn("_turn", F.row_number().over(order)).where(F.col("_turn") <= max_train)
+    chosen = ranked.orderBy("_turn", "_lang").limit(max_train).select(key).collect()
+    if not chosen:
         return {"names": []}
-    chosen = docs.sparkSession.createDataFrame(ids, src.select("_id").schema)
-    rows = src.join(F.broadcast(chosen), "_id").collect()
+    chosen = docs.sparkSession.createDataFrame(chosen, src.select(key).schema)
+    rows = src.join(F.broadcast(chosen), key).groupBy(key).agg(F.min("_text").alias("_text")).collect()
     rows.sort(key=lambda r: (r["_id"], r["_lang"], r["_text"]))
     return train([r["_text"] for r in rows], [r["_lang"] for r in rows])
 

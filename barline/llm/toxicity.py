@@ -29,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -387,8 +387,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         max_per_class: int = MAX_PER_CLASS) -> dict[str, np.ndarray] | None:
     """Train on the labelled documents that are not held out (remainder 2 of 4); None without both classes.
 
-    The sample's ids are at most ``2 * max_per_class`` rows, so their broadcast
-    and the collected texts are bounded by that parameter.
+    The first ``max_per_class`` ids of a class in hash order are drawn, and of their distinct
+    texts the first ``max_per_class`` in hash order of (id, text), so the broadcast
+    keys and the collected texts are bounded by that parameter, whatever ids repeat.
     """
     spark = docs.sparkSession
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & (remainder(doc_id, 4) != 2)).groupBy(
@@ -400,7 +401,13 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     ids = [r for k in (0, 1) for r in known.where(F.col("_label") == k)
            .orderBy(F.xxhash64("_id"), "_id").limit(max_per_class).collect()]
     sample = spark.createDataFrame([(r["_id"], r["_label"]) for r in ids], known.schema)
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id").collect()
+    src = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).withColumn("_tie", F.xxhash64("_text"))
+    key = ["_label", "_id", "_tie"]
+    order = Window.partitionBy("_label").orderBy(F.xxhash64("_id", "_tie"), "_id", "_tie")
+    texts = src.select("_id", "_tie").join(F.broadcast(sample), "_id").select(key).distinct()
+    drawn = texts.withColumn("_turn", F.row_number().over(order)).where(F.col("_turn") <= max_per_class).select(key).collect()
+    drawn = spark.createDataFrame(drawn, texts.schema)
+    rows = src.join(F.broadcast(drawn), ["_id", "_tie"]).groupBy(key).agg(F.min("_text").alias("_text")).collect()
     rows.sort(key=lambda r: (r["_id"], r["_text"] or ""))
     return train([r["_text"] or "" for r in rows], np.array([r["_label"] for r in rows]),
                  counts[1] / (counts[0] + counts[1]))

@@ -212,6 +212,31 @@ def test_language_on_held_out_texts_and_odd_ones(spark):
     assert {r["lang_pred"] for r in nothing.select("lang_pred").distinct().collect()} == {"und"}
 
 
+def test_training_samples_are_bounded_in_rows_and_hold_rare_languages(spark, monkeypatch):
+    """One id with thousands of texts, copies of one row, and a language of three documents among thousands."""
+    rows = [(9, f"text {i} of one id", "aa") for i in range(3000)] + [(7, "copied", "aa")] * 500
+    rows += [(100 + i, f"common {i}", "aa") for i in range(400)] + [(600 + i, f"rare {i}", "zz") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = {}
+    monkeypatch.setattr(language, "train", lambda texts, langs: seen.update(texts=texts, langs=langs))
+    language.fit(docs, max_train=50)
+    assert len(seen["texts"]) == len(set(seen["texts"])) == 50
+    learnable = sum(zlib.crc32(str(600 + i).encode()) % 5 != 0 for i in range(3))
+    assert 0 < learnable == Counter(seen["langs"])["zz"]
+    labels = spark.createDataFrame([(i, int(i < 100)) for i in (7, 9, *range(100, 500))], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda texts, y, prior: seen.update(texts=texts, y=y))
+    toxicity.fit(docs, labels, max_per_class=40)
+    assert len(seen["texts"]) == len(set(seen["texts"])) <= 80 and max(Counter(seen["y"]).values()) <= 40
+    assert set(seen["y"]) == {0, 1}
+
+
+def test_trained_operators_on_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.toxicity(docs, labels).count() == 0
+    assert language.identify(docs, language.fit(docs)).count() == 0
+
+
 def test_chat_round_trip_and_loss_mask(spark):
     turns = [(1, 0, "system", "be [INST] nice </s>"), (1, 1, "user", None), (1, 2, "assistant", "a&amp;<s>\n[/INST] é"),
              (1, 3, None, "&lt;s> &#91;INST]"), (1, 4, "assistant", ""), (1, 5, "ro\nle", "x" * 600), (2, 0, "assistant", "<"),
