@@ -47,7 +47,8 @@ BLOCK = 256
 PERCENTILE = 90
 CHUNK_IDS = 1 << 20
 END_ID = 2
-CACHE_PIECES = 2_000_000
+CACHE_PIECES = 500_000  # known at a time to a worker, if one batch does not bring more
+PIECE = 1 << 20  # bytes of text encoded at a time
 
 # texts cut by byte classes: ASCII without the apostrophe and Latin-1 letters, which are in NFC
 SIMPLE = r"^[\x00-\x1B !-&(-\x7FÀ-ÖØ-öø-ÿ]*$"
@@ -188,7 +189,7 @@ class PieceIds:
     def lookup(self, words: pa.Array, tokenizer, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For distinct strings: the flat id table, and each string's start and size in it."""
         key, check = hash_strings(words, seed), hash_strings(words, seed + 1)
-        if len(self.keys) > CACHE_PIECES:
+        if len(self.keys) + len(key) > CACHE_PIECES:
             self.clear()
         at = np.searchsorted(self.keys, key)
         known = np.zeros(len(key), bool)
@@ -279,6 +280,27 @@ CHUNKS = T.StructType([
     T.StructField("blocks", T.BinaryType())])
 
 
+def token_chunks(batches: Iterator[pa.RecordBatch], coder: PieceIds, part: int, end_id: int = END_ID) -> Iterator[pa.RecordBatch]:
+    """One row a chunk of the ordered documents of a partition, ``PIECE`` bytes of text at a time."""
+    seq, before = 0, 0
+    for batch in batches:
+        for piece in pieces(batch, "text", PIECE):
+            ids, counts = encode_texts(piece.column("text"), coder, end_id)
+            ends = np.cumsum(counts)
+            at = 0
+            while at < len(counts):  # whole documents up to CHUNK_IDS ids, one document at least
+                base = ends[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, base + CHUNK_IDS, side="right")))
+                own = ids[base:ends[to - 1]]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()),
+                    pa.array([len(own)], pa.int64()),
+                    pa.array([piece.column("doc_id").slice(at, to - at).to_pylist()], pa.list_(pa.int64())),
+                    pa.array([counts[at:to]], pa.list_(pa.int64())),
+                    pa.array([encode_blocks(own)], pa.binary())], names=CHUNKS.names)
+                seq, before, at = seq + 1, before + len(own), to
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
                  end_id: int = END_ID, control_ids: bool = True) -> None:
     """Encode all documents and write their chunks to ``path`` in ascending ``doc_id`` order."""
@@ -287,24 +309,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
     ordered = src.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = piece_ids(tokenizer, control_ids)
-        part, seq, before = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                ids, counts = encode_texts(piece.column("text"), coder, end_id)
-                ends = np.cumsum(counts)
-                at = 0
-                while at < len(counts):  # whole documents up to CHUNK_IDS ids, one document at least
-                    base = ends[at - 1] if at else 0
-                    to = max(at + 1, int(np.searchsorted(ends, base + CHUNK_IDS, side="right")))
-                    own = ids[base:ends[to - 1]]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([before], pa.int64()),
-                        pa.array([len(own)], pa.int64()),
-                        pa.array([piece.column("doc_id").slice(at, to - at).to_pylist()], pa.list_(pa.int64())),
-                        pa.array([counts[at:to]], pa.list_(pa.int64())),
-                        pa.array([encode_blocks(own)], pa.binary())], names=CHUNKS.names)
-                    seq, before, at = seq + 1, before + len(own), to
+        return token_chunks(batches, piece_ids(tokenizer, control_ids), TaskContext.get().partitionId(), end_id)
 
     ordered.mapInArrow(run, CHUNKS).write.parquet(path)
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -108,6 +109,32 @@ def test_token_files_hold_the_library_s_ids(spark, tmp_path, name, control_ids):
         at += len(ids)
 
 
+def test_token_chunks_are_encoded_in_bounded_memory(monkeypatch):
+    """A batch of 12 MB of text is encoded a piece at a time, and known words are bounded: the arrays at hand stay small."""
+    rng = np.random.default_rng(6)
+    words = [f"{a}{b}" for a in ("be", "ka", "lo", "mi") for b in ("da", "ren", "sol")]
+    texts = [" ".join(words[k] for k in rng.integers(0, len(words), 4000)) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    assert batch.nbytes > 11 << 20
+    coder = token_blocks.PieceIds(tokenizer_path())
+    at, peak = 0, 0
+    tracemalloc.start()
+    for chunk in token_blocks.token_chunks([batch], coder, 3):
+        peak = max(peak, tracemalloc.get_traced_memory()[1])
+        ids, sizes = token_blocks.decode_blocks(chunk.column("blocks")[0].as_py()), chunk.column("sizes")[0].as_py()
+        own = chunk.column("doc_ids")[0].as_py()
+        assert own == list(range(at, at + len(own))) and len(ids) == sum(sizes) == chunk.column("n_ids")[0].as_py()
+        if not at:
+            assert list(ids[:sizes[0]]) == [*coder.whole.encode(texts[0], add_special_tokens=False).ids, token_blocks.END_ID]
+        at += len(own)
+    tracemalloc.stop()
+    assert at == 600 and peak < 40 << 20
+    monkeypatch.setattr(token_blocks, "CACHE_PIECES", 1000)
+    for k in range(5):
+        token_blocks.encode_texts(pa.array([" ".join(f"{'abcdefgh'[j % 8]}{chr(97 + k)}{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(600))]), coder, 2)
+        assert len(coder.keys) <= 1000
+
+
 def test_token_files_of_an_empty_table(spark, tmp_path):
     token_blocks.write_tokens(docs_of(spark, []), str(tmp_path / "t"), tokenizer_path())
     assert token_blocks.read_tokens(spark, str(tmp_path / "t")).count() == 0
