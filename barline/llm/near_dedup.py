@@ -29,9 +29,11 @@ one node, signed once a task and joined to its class by the text's key.
    bounded size, and goes on with the ``PARTNERS`` texts of other classes it agrees
    with most.  Only these pairs are verified, which joins copies to their common source.
 5. Buckets that still hold several classes are searched once more in the same
-   blocks, and all pairs of different classes that pass the screen are verified,
-   each in the first bucket it shares only.  So no link between texts sharing a
-   bucket is lost to the rounds before.
+   blocks, now with the texts: all pairs of different classes that pass the screen
+   are verified inside the block, the most alike first and each in the first bucket
+   it shares only, unless links of the block already join the two.  A block gives the
+   links that join classes anew, fewer than it has members, so no list of pairs
+   is written, and no link between texts sharing a bucket is lost to the rounds before.
 6. Classes are found by label propagation with pointer jumping, each round
    written to the shared folder.
 
@@ -51,6 +53,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,8 +67,10 @@ ROWS = 8
 SCREEN = 0.73
 STAR_ROUNDS = 2
 PARTNERS = 3
-QUERY_BLOCK, OTHER_BLOCK = 512, 2048
-PIECE = 2 << 20  # bytes of text signed or compared at a time
+QUERY_BLOCK, OTHER_BLOCK = 512, 2048  # units, of which a text has one and another for each UNIT bytes
+UNIT = 16 << 10
+PAIRS = 256  # verified at a time inside a block
+PIECE = 1 << 20  # bytes of text signed or compared at a time
 
 
 # ---------------------------------------------------------------- signatures
@@ -136,7 +141,7 @@ def signatures(n: int, text: np.ndarray, key: np.ndarray, count: np.ndarray, reg
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """(node, digest, sig, bands) of the rows of (node, digest, text) with a text, once per node and task."""
+    """(node, digest, sig, bands, units) of the rows of (node, digest, text) with a text, once per node and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()  # 64 bits for each row of one input partition
@@ -154,11 +159,12 @@ def sign(docs: DataFrame) -> DataFrame:
                         bands = mix(bands * MULT + times[:, k * BANDS:(k + 1) * BANDS] + np.uint64(k + 1))
                     bands = mix(bands + (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * MIX1).view(np.int64)
                 lists = [b if c else b[:0] for b, c in zip(bands, words.counts)]
+                units = 1 + pc.binary_length(part.column("text")).to_numpy(zero_copy_only=False).astype(np.int64) // UNIT
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), part.column("digest"), pa.array([s.tobytes() for s in sig], pa.binary()),
-                     pa.array(lists, pa.list_(pa.int64()))], names=["node", "digest", "sig", "bands"])
+                     pa.array(lists, pa.list_(pa.int64())), pa.array(units)], names=["node", "digest", "sig", "bands", "units"])
 
-    return docs.where(F.col("text").isNotNull()).mapInArrow(run, "node long, digest long, sig binary, bands array<long>")
+    return docs.where(F.col("text").isNotNull()).mapInArrow(run, "node long, digest long, sig binary, bands array<long>, units long")
 
 
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -202,24 +208,38 @@ def overlaps(a: pa.Array, b: pa.Array) -> np.ndarray:
     return (high > 0) & (low * THRESHOLD[1] >= high * THRESHOLD[0])
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b): the pairs that are sure or reach the threshold on their whole texts, written."""
-    open_pairs = pairs.where(~F.col("sure"))
-    needed = open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.join(needed, "node", "left_semi").where(F.col("text").isNotNull()).select("node", "text")
-    texts = written(texts.dropDuplicates(["node"]), "pair_texts")
-    both = open_pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
+def holding(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """``overlaps`` of any number of pairs, in bounded memory."""
+    parts = pieces(pa.RecordBatch.from_arrays([a, b], names=["a", "b"]), "a", PIECE)
+    return np.concatenate([np.zeros(0, bool), *[overlaps(p.column("a"), p.column("b")) for p in parts]])
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): the pairs that are sure or reach the threshold on their whole texts (one row a node), written."""
+    both = pairs.where(~F.col("sure")).join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "ta", PIECE):
-                good = overlaps(part.column("ta"), part.column("tb"))
-                yield part.select(["a", "b"]).filter(pa.array(good))
+            yield batch.select(["a", "b"]).filter(pa.array(holding(batch.column("ta"), batch.column("tb"))))
+
+    return written(pairs.where("sure").select("a", "b").unionByName(both.mapInArrow(run, "a long, b long").distinct()), "verified")
 
-    out = written(pairs.where("sure").select("a", "b").unionByName(both.mapInArrow(run, "a long, b long").distinct()), "verified")
-    forget(texts)
-    return out
+
+def joining(text: pa.Array, label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of the pairs (a[k], b[k]) that reach the threshold and join classes that no link before them joins."""
+    _, own = np.unique(label, return_inverse=True)
+    found = []
+    for at in range(0, len(a), PAIRS):
+        some = np.arange(at, min(at + PAIRS, len(a)))
+        some = some[own[a[some]] != own[b[some]]]
+        if len(some):
+            good = some[holding(text.take(pa.array(a[some])), text.take(pa.array(b[some])))]
+            for k in good:
+                if own[a[k]] != own[b[k]]:
+                    own[own == own[b[k]]] = own[a[k]]
+                    found.append(k)
+    return np.array(found, np.int64)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -238,9 +258,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def mixed_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several classes, with the bucket's size, its largest class and that class's smallest member."""
-    members = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    per_class = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
+    """Members of the buckets that hold several classes, with the bucket's size, its largest class and that class's smallest member.
+
+    Sizes are in units of text if ``buckets`` has them, else in members.
+    """
+    units = F.col("units") if "units" in buckets.columns else F.lit(1)
+    members = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"), units.alias("units"))
+    per_class = members.groupBy("key", "label").agg(F.sum("units").alias("n"), F.min("node").alias("least"))
     largest = F.max_by(F.struct("label", "least", F.col("n").alias("n_main")), F.struct("n", "label"))
     mixed = per_class.groupBy("key").agg(F.sum("n").alias("n"), largest.alias("_m"), F.count(F.lit(1)).alias("classes"))
     mixed = mixed.where("classes > 1").select("key", "n", F.col("_m.label").alias("main"), F.col("_m.least").alias("leader"),
@@ -262,7 +286,8 @@ def searched(buckets: DataFrame, sigs: DataFrame, labels: DataFrame, best: bool)
     """(a, b, agree): screened pairs between different classes inside one bucket, searched in blocks.
 
     With ``best`` only the partners that a member outside its bucket's largest class agrees with most;
-    else all, each pair in the first bucket it shares if ``sigs`` has the bands.
+    else all, each pair in the first bucket it shares if ``sigs`` has the bands.  If ``sigs`` has the
+    texts, only pairs that reach the threshold and join classes that the block's pairs before do not.
     """
     members = mixed_members(buckets, labels).join(sigs, "node")
     query_blocks = F.ceil((F.col("n") - F.col("n_main")) / QUERY_BLOCK).cast("long")
@@ -270,18 +295,21 @@ def searched(buckets: DataFrame, sigs: DataFrame, labels: DataFrame, best: bool)
     place = lambda blocks, salt: F.pmod(F.xxhash64("node", F.lit(salt)), blocks)
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     once = not best and "bands" in sigs.columns
-    common = ("key", "node", "label", "sig", *(["bands"] if once else []))
-    queries = members.where(F.col("label") != F.col("main")).select(
-        *common, F.lit(True).alias("query"), place(query_blocks, 1).alias("q"), upto(other_blocks).alias("o"))
-    others = members.select(*common, F.lit(False).alias("query"), upto(query_blocks).alias("q"), place(other_blocks, 2).alias("o"))
+    verify = "text" in sigs.columns
+    common = ("key", "node", "label", "sig", *(["bands"] if once else []), *(["text"] if verify else []))
+    asks, whole = F.col("label") != F.col("main"), (query_blocks <= 1) & (other_blocks <= 1)  # a bucket in one block is sent once
+    queries = members.where(asks & ~whole).select(
+        *common, F.lit(True).alias("query"), F.lit(False).alias("other"), place(query_blocks, 1).alias("q"), upto(other_blocks).alias("o"))
+    others = members.select(
+        *common, (asks & whole).alias("query"), F.lit(True).alias("other"), upto(query_blocks).alias("q"), place(other_blocks, 2).alias("o"))
 
     def search(block: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(block["sig"]), "u1").reshape(len(block), REGISTERS)
         node, label, query = (block[c].to_numpy() for c in ("node", "label", "query"))
         bands = np.stack(block["bands"].to_list()) if once else None
         here = block["key"].iloc[0]
-        found, agreed = [], []
-        other = np.flatnonzero(~query)
+        a, b, agreed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        other = np.flatnonzero(block["other"].to_numpy())
         for i in np.flatnonzero(query):
             far = other[label[other] != label[i]]
             alike = agreement(sig[far], sig[i])
@@ -293,13 +321,15 @@ def searched(buckets: DataFrame, sigs: DataFrame, labels: DataFrame, best: bool)
             if once and len(pick):  # the first band that both have in common
                 same = bands[far[pick]] == bands[i]
                 pick = pick[bands[i][same.argmax(axis=1)] == here]
-            hit = far[pick]
-            found.append(np.stack([np.full(len(hit), node[i]), node[hit]], axis=1))
+            a.append(np.full(len(pick), i))
+            b.append(far[pick])
             agreed.append(alike[pick])
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        out = pd.DataFrame(pairs, columns=["a", "b"])
-        out["agree"] = np.concatenate(agreed) if agreed else np.zeros(0)
-        return out
+        a, b, agreed = (np.concatenate(x) for x in (a, b, agreed))
+        if verify and len(a):
+            order = np.argsort(-agreed, kind="stable")
+            at = order[joining(pa.array(block["text"], pa.string()), label, a[order], b[order])]
+            a, b, agreed = a[at], b[at], agreed[at]
+        return pd.DataFrame({"a": node[a], "b": node[b], "agree": agreed})
 
     return queries.unionByName(others).groupBy("key", "q", "o").applyInPandas(search, "a long, b long, agree double")
 
@@ -317,7 +347,7 @@ def best_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> DataFr
 
 
 def leftover_pairs(buckets: DataFrame, sigs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b, sure): all screened pairs between different classes that share a bucket."""
+    """(a, b, sure): all screened pairs between different classes that share a bucket; with texts, the links that join them."""
     return unsure(searched(buckets, sigs, labels, best=False))
 
 
@@ -347,23 +377,28 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
                       F.col(text).isNull().alias("empty"), F.col(text).alias("text"))
     src = text_nodes(src)
     signed = written(sign(src.select("node", F.col("node").alias("digest"), "text")), "signatures")
-    buckets = signed.select(F.explode("bands").alias("key"), "node").distinct()
-    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    buckets = written(buckets.join(shared, "key"), "buckets")
-    # only texts that share a bucket are compared; a text signed by several tasks counts once
-    sigs = signed.join(buckets.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    # a key is shared if it has different texts; a text signed by several tasks counts once
+    # dealt by key once: both sides of the join read the same columns, so they read the same exchange
+    held = signed.select(F.explode("bands").alias("key"), "node", "units").repartition("key")
+    shared = held.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.max("units").alias("units"))
+    shared = shared.where("least != most and units > 0").select("key")
+    buckets = written(held.join(shared, "key").distinct(), "buckets")
+    # only texts that share a bucket are compared; their list grows with the corpus and is never sent whole to every task
+    sharing = written(buckets.select("node").distinct(), "sharing").hint("merge")
+    sigs = signed.join(sharing, "node", "left_semi").dropDuplicates(["node"])
     sigs = written(sigs.select("node", "digest", "sig", "bands"), "shared_signatures")
     forget(signed)
-    texts = src.where("not empty").select("node", "text")
+    texts = src.where("not empty").select("node", "text").join(sharing, "node", "left_semi").dropDuplicates(["node"])
+    texts = written(texts, "shared_texts")
     links, labels = None, None
     for k in range(STAR_ROUNDS + 1):
         pairs = screened(star_pairs(buckets, labels), sigs) if k < STAR_ROUNDS else best_pairs(buckets, sigs.select("node", "sig"), labels)
         found = verified(written(pairs, "pairs"), texts)
         links = written(found if links is None else links.unionByName(found), "links")
         labels = components(links)
-    rest = written(leftover_pairs(buckets, sigs.select("node", "sig", "bands"), labels), "pairs")
+    rest = written(leftover_pairs(buckets, sigs.select("node", "sig", "bands").join(texts, "node"), labels), "joining").select("a", "b")
     if not rest.isEmpty():
-        labels = components(links.unionByName(verified(rest, texts)))
+        labels = components(links.unionByName(rest))
     rows = src.select("doc_id", "who", "node", "empty").join(labels, "node", "left")
     return written(rows.select("doc_id", "who", "empty", F.coalesce("label", "node").alias("label")), "classes")
 

@@ -127,6 +127,40 @@ def test_leftover_search_finds_links_the_star_misses(spark):
     assert (2, 3) in {(r["a"], r["b"]) for r in pairs}
 
 
+def test_leftover_search_verifies_inside_blocks(spark):
+    """Copies of two sources, linked within each: no more links than join them, however many pairs pass the screen."""
+    rng = np.random.default_rng(4)
+    rows, sources = [], [[f"{s}{k}" for k in rng.integers(0, 900, 300)] for s in "ab"]
+    for i in range(40):
+        w = list(sources[i % 2])
+        w[int(rng.integers(0, 300))] = f"n{i}"
+        rows.append((i, " ".join(w), None))
+    rows.append((40, " ".join(sources[0][:250] + [f"x{k}" for k in range(50)]), None))  # 0.70 like source a: no link
+    docs = frame(spark, rows).select(F.col("doc_id").alias("node"), F.col("doc_id").alias("digest"), "text")
+    sigs = near_dedup.sign(docs).select("node", "sig", "units").join(docs.select("node", "text"), "node")
+    buckets = spark.createDataFrame([(key, i, 1) for key in (9, 8) for i in range(41)], "key long, node long, units long")
+    labels = spark.createDataFrame([], "node long, label long")
+    screened = near_dedup.leftover_pairs(buckets, sigs.select("node", "sig"), labels).count()
+    links = near_dedup.leftover_pairs(buckets, sigs, labels).select("a", "b")
+    assert screened >= 2 * 190 and 38 <= links.count() <= 2 * 38
+    got = {r["node"]: r["label"] for r in near_dedup.components(links).collect()}
+    assert got == {i: i % 2 for i in range(40)}
+
+
+@pytest.mark.parametrize("units", [1, 300])
+def test_search_in_one_block_and_in_many_finds_the_same_pairs(spark, units):
+    """Long texts take more units, so that a block's bytes are bounded."""
+    rng = np.random.default_rng(5)
+    w = [f"a{k}" for k in rng.integers(0, 900, 300)]
+    rows = [(i, " ".join(w[:-1] + [f"n{i}"]), None) for i in range(30)]
+    sigs = near_dedup.sign(frame(spark, rows).select(F.col("doc_id").alias("node"), F.col("doc_id").alias("digest"), "text"))
+    assert [r[0] for r in near_dedup.sign(spark.createDataFrame([(1, 1, "w " * near_dedup.UNIT)], "node long, digest long, text string"))
+            .select("units").collect()] == [3]
+    buckets = spark.createDataFrame([(9, i, units) for i in range(30)], "key long, node long, units long")
+    pairs = near_dedup.leftover_pairs(buckets, sigs.select("node", "sig"), spark.createDataFrame([], "node long, label long")).collect()
+    assert {(r["a"], r["b"]) for r in pairs} == {(a, b) for a in range(30) for b in range(a + 1, 30)}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (102, 101)], "a long, b long")
     got = {r["node"]: r["label"] for r in near_dedup.components(edges).collect()}
