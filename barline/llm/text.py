@@ -6,6 +6,9 @@ have no words.  All helpers work on whole texts.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from dataclasses import dataclass
 
 import numpy as np
@@ -61,6 +64,17 @@ def forget(*tables: DataFrame) -> None:
             path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release() -> None:
+    """Give memory that this process has freed back to the system.
+
+    A driver that has trained goes on for long; the C library and Arrow would keep the training's memory for it.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError, TypeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def n_words(text: str = "text") -> Column:
     """Number of words of a text column (long); null texts count 0."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))

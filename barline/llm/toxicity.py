@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.text import Words, hash_strings, pieces, prepare, ragged, split_words, subword_ids
+from barline.llm.text import Words, hash_strings, pieces, prepare, ragged, release, split_words, subword_ids
 
 WINDOW = 64
 STRIDE = 32
@@ -42,6 +42,7 @@ EMBED = 8
 CHAR_BUCKETS = 1 << 17
 CHAR_SIZES = (3, 4)
 MIN_DOCS = 3
+WORD_BLOCK = 1 << 13  # words whose n-grams are hashed at a time
 MAX_PER_CLASS = 1000
 UPDATES = 400
 BATCH_DOCS = 20  # of each class
@@ -70,11 +71,15 @@ class Inputs:
         return Inputs(self.key[words], self.n_chars[words], self.chars[ragged(self.starts[words], self.n_chars[words])])
 
 
-def word_inputs(uniques: pa.Array) -> Inputs:
-    plain = pc.utf8_trim(pc.utf8_lower(uniques), SIGNS)
-    owner, chars = subword_ids(plain, CHAR_SIZES, CHAR_BUCKETS)
-    order = np.argsort(owner, kind="stable")
-    return Inputs(hash_strings(plain), np.bincount(owner, minlength=len(plain)), chars[order])
+def word_inputs(uniques: pa.Array, block: int = WORD_BLOCK) -> Inputs:
+    """Inputs of distinct words, ``block`` words at a time: the n-grams of all at once would take many times the result."""
+    parts = []
+    for at in range(0, max(len(uniques), 1), block):
+        plain = pc.utf8_trim(pc.utf8_lower(uniques.slice(at, block)), SIGNS)
+        owner, chars = subword_ids(plain, CHAR_SIZES, CHAR_BUCKETS)
+        order = np.argsort(owner, kind="stable")
+        parts.append((hash_strings(plain), np.bincount(owner, minlength=len(plain)), chars[order]))
+    return Inputs(*map(np.concatenate, zip(*parts)))
 
 
 def windows(counts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -409,8 +414,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     drawn = spark.createDataFrame(drawn, texts.schema)
     rows = src.join(F.broadcast(drawn), ["_id", "_tie"]).groupBy(key).agg(F.min("_text").alias("_text")).collect()
     rows.sort(key=lambda r: (r["_id"], r["_text"] or ""))
-    return train([r["_text"] or "" for r in rows], np.array([r["_label"] for r in rows]),
-                 counts[1] / (counts[0] + counts[1]))
+    model = train([r["_text"] or "" for r in rows], np.array([r["_label"] for r in rows]),
+                  counts[1] / (counts[0] + counts[1]))
+    del rows
+    release()
+    return model
 
 
 def score_texts(p: dict[str, np.ndarray], text: pa.Array) -> np.ndarray:
